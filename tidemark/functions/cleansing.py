@@ -131,7 +131,7 @@ def zip_code(c: Column) -> Column:
 
 
 def strip_nul(c: Column) -> Column:
-    return F.translate(c, "\u0000", "")
+    return F.replace(c, F.lit("\u0000"), F.lit(""))
 
 
 def escape_quotes(c: Column) -> Column:

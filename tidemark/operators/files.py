@@ -18,23 +18,28 @@ def files_on(files: DataFrame, day: date, column: str = "modificationTime") -> D
 
 
 def file_name(path: Column) -> Column:
-    return F.regexp_extract(path, r"([^/]*)$", 1)
+    return F.substring_index(path, "/", -1)
+
+
+def part_of(path: Column) -> Column:
+    """What follows the last ``_`` of the file name; null where the name has none."""
+    return F.when(F.contains(file_name(path), F.lit("_")), F.substring_index(path, "_", -1))
 
 
 def base_path(path: Column) -> Column:
     """The path without its last ``_part``; unchanged where it has none."""
-    return F.regexp_replace(path, r"_[^_/]*$", "")
+    return F.coalesce(F.left(path, F.length(path) - F.length(part_of(path)) - 1), path)
 
 
 def _with_parts(files: DataFrame) -> DataFrame:
     """Adds ``base`` and ``parts``, the number of files that share the base.
 
-    Counted by aggregation and joined back: a window over the base would bring all
-    files of one base to one task.
+    Counted by aggregation and joined back, with a condition that lets adaptive execution
+    split a base with very many files: a window would bring them all to one task.
     """
     based = files.withColumn("base", base_path(F.col("path")))
     counts = based.groupBy(F.col("base").alias("_base")).agg(F.count(F.lit(1)).alias("parts"))
-    return based.join(counts, F.col("base") == F.col("_base")).drop("_base")
+    return based.join(counts, F.col("base").eqNullSafe(F.col("_base"))).drop("_base")
 
 
 def multipart_groups(files: DataFrame) -> DataFrame:
@@ -50,7 +55,7 @@ def multipart_groups(files: DataFrame) -> DataFrame:
 def normalize_file_names(files: DataFrame) -> DataFrame:
     """Adds ``name``: the base with its part number where there are several parts, else the
     base alone; ``.csv`` is added. Leading zeros go, any number of digits is fine."""
-    part = F.regexp_replace(F.regexp_extract("path", r"_([^_/]*)$", 1), r"^0+(?=.)", "")
+    part = F.regexp_replace(part_of(F.col("path")), r"^0+(?=.)", "")
     name = F.when(F.col("parts") > 1, F.concat_ws("_", file_name(F.col("base")), part)).otherwise(
         file_name(F.col("base"))
     )

@@ -49,9 +49,10 @@ def lookup(
 ) -> DataFrame:
     """Adds ``tgt``: the code list's ``take`` column for this row's code, else ``default``.
 
-    Every column of the table is kept, its ``id`` too.
+    Every column of the table is kept, its ``id`` too. A list used several times can be
+    passed through ``checked`` once.
     """
-    lk = checked(lookup_df)
+    lk = lookup_df if "_lk_id" in lookup_df.columns else checked(lookup_df)
     joined = df.join(
         lk,
         (F.col(src).cast("string") == F.col("_lk_value")) & (F.col(id_col).cast("string") == F.col("_lk_id")),

@@ -49,7 +49,7 @@ def run_ready(steps: DataFrame, log: DataFrame) -> DataFrame:
     newest = run_latest_status(log)
     done = newest.filter(F.col("status") == COMPLETED).select(
         F.col("step_id").alias("_dep_id"), F.col("batch_dt").alias("_dep_dt")
-    )
+    ).filter(F.col("_dep_id").isNotNull())
     names = steps.select(F.col("step_id").alias("_named_id"), F.col("name").alias("_named"))
     checks = F.upper(F.get_json_object("info", "$.dependency_check")).eqNullSafe("TRUE")
     wanted = steps.select("step_id", "name", "depends_on", checks.alias("checks")).join(
@@ -57,7 +57,10 @@ def run_ready(steps: DataFrame, log: DataFrame) -> DataFrame:
     )
     pending = newest.filter("to_run").join(wanted, "step_id")
     joined = pending.join(
-        done, (F.col("_named_id") == F.col("_dep_id")) & (F.col("batch_dt") == F.col("_dep_dt")), "left"
+        # Null-safe so that a dependency which very many steps share can be split.
+        done,
+        F.col("_named_id").eqNullSafe(F.col("_dep_id")) & F.col("batch_dt").eqNullSafe(F.col("_dep_dt")),
+        "left",
     )
     free = F.col("depends_on").isNull() | ~F.col("checks") | F.col("_dep_id").isNotNull()
     return joined.filter(free).select("step_id", "name", "batch_dt")
@@ -74,7 +77,7 @@ def run_groups(steps: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("group_size")
     )
     return (
-        ordered.join(sizes, (F.col("batch_dt") == F.col("_dt")) & (F.col("seq") == F.col("_seq")))
+        ordered.join(sizes, F.col("batch_dt").eqNullSafe(F.col("_dt")) & F.col("seq").eqNullSafe(F.col("_seq")))
         .select("batch_dt", "seq", "step_order", "step_id", "name", "group_size")
         .orderBy("batch_dt", "seq", "step_order", "step_id")
     )

@@ -4,12 +4,18 @@ Keys and rows are compared null-safe, as EXCEPT does. Comparisons are written as
 ``groupBy`` over both sides with presence flags, not as EXCEPT: map-side aggregation
 folds equal rows before the shuffle (so a hot value costs one row per task), both
 sides share one exchange, and no second one is needed to make the result distinct.
+
+Where rows must be joined to an aggregate, the condition is null-safe on the plain
+columns. Beyond keeping rows with null keys, this gives the aggregate an exchange of its
+own right below the join, which is what adaptive execution needs to split a skewed
+partition of the other side; without it a hot key would stay in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,10 +23,13 @@ from pyspark.sql import functions as F
 _IN_LEFT, _IN_RIGHT = "_in_left", "_in_right"
 
 
-def row_key(columns: Sequence[str]) -> Column:
-    """Key columns as one struct: equality on structs is null-safe, and a struct grouped
-    on is still partitioned for a join on the same struct."""
-    return F.struct(*columns)
+def null_safe(columns: Sequence[str], prefix: str) -> Column:
+    """The join condition of columns with their namesakes under a prefix."""
+    return reduce(Column.__and__, [F.col(n).eqNullSafe(F.col(f"{prefix}{n}")) for n in columns])
+
+
+def prefixed(columns: Sequence[str], prefix: str) -> list[Column]:
+    return [F.col(n).alias(f"{prefix}{n}") for n in columns]
 
 
 def presence(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -52,20 +61,17 @@ def change_feed(
 
     ``columns`` must hold the keys; a D row has nulls in the others.
     """
-    delta = snapshot_delta(latest, previous, columns).withColumn("_key", row_key(keys))
-    a = latest.select(row_key(keys).alias("_known"), F.lit(True).alias(_IN_LEFT))
-    b = previous.select(row_key(keys).alias("_known"), F.lit(False).alias(_IN_LEFT))
+    delta = snapshot_delta(latest, previous, columns)
     # Keys of the previous snapshot, and whether the latest one still has them.
-    known = (
-        a.union(b)
-        .groupBy("_known")
-        .agg(F.max(_IN_LEFT).alias(_IN_LEFT), F.min(_IN_LEFT).alias("_left_only"))
-        .filter(~F.col("_left_only"))
+    known = presence(latest, previous, keys).filter(_IN_RIGHT)
+    known = known.select(*prefixed(keys, "_known_"), _IN_LEFT)
+    upserts = delta.join(known, null_safe(keys, "_known_"), "left").select(
+        F.when(F.col(_IN_LEFT).isNull(), "I").otherwise("U").alias("op"), *columns
     )
-    upserts = delta.join(known, F.col("_key") == F.col("_known"), "left").select(
-        F.when(F.col("_known").isNull(), "I").otherwise("U").alias("op"), *columns
+    # Taken from the same aggregate, so that Spark reuses its exchange.
+    gone = known.filter(~F.col(_IN_LEFT)).select(
+        F.lit("D").alias("op"), *[F.col(f"_known_{n}").alias(n) for n in keys]
     )
-    gone = known.filter(~F.col(_IN_LEFT)).select(F.lit("D").alias("op"), "_known.*")
     return upserts.unionByName(gone, allowMissingColumns=True)
 
 
@@ -75,8 +81,8 @@ def anti_keys(target: DataFrame, keyed: DataFrame, keys: Sequence[str]) -> DataF
     Repeated keys are folded before the shuffle; adaptive execution broadcasts the key
     set when it turns out small and splits skewed partitions of the target otherwise.
     """
-    gone = keyed.select(row_key(keys).alias("_gone")).distinct()
-    return target.join(gone, row_key([target[k] for k in keys]) == F.col("_gone"), "left_anti")
+    gone = keyed.select(*prefixed(keys, "_gone_")).distinct()
+    return target.join(gone, null_safe(keys, "_gone_"), "left_anti")
 
 
 def upsert_merge(target: DataFrame, upserts: DataFrame, keys: Sequence[str]) -> DataFrame:

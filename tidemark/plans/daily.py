@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.projection import add_audit_columns, require_rows, strip_nul
-from tidemark.operators.snapshots import anti_keys, snapshot_deletes, snapshot_delta, upsert_merge
+from tidemark.operators.snapshots import anti_keys, snapshot_deletes, snapshot_delta
 from tidemark.sources import storage
 from tidemark.sources.tables import (
     drop_old_snapshots,
@@ -64,7 +64,9 @@ def daily_snapshot(
         publish(staged, deleted)
 
     current = current_version(spark, target, run_date, [*compare, *audit])
-    merged = upsert_merge(anti_keys(current, deleted, keys), staged, keys)
+    # Deleted and replaced keys leave in one pass over the target.
+    leaving = deleted.union(staged.select(*keys))
+    merged = anti_keys(current, leaving, keys).unionByName(staged)
     version = write_snapshot(merged, target, run_date)
     for folder in (root, target, f"{root.rstrip('/')}_staging", f"{root.rstrip('/')}_deleted"):
         drop_old_snapshots(spark, folder, keep)

@@ -18,7 +18,7 @@ _AT = datetime(2024, 1, 2, 6, 30)
 
 @query("strip_nul", "SELECT doc_id, text, lang FROM documents")
 def _strip(t: Tables) -> DataFrame:
-    spoiled = F.regexp_replace("text", " ", " \u0000").alias("text")
+    spoiled = F.replace(F.col("text"), F.lit(" "), F.lit(" \u0000")).alias("text")
     return p.strip_nul(t.documents.select("doc_id", spoiled, "lang"), ["text"])
 
 

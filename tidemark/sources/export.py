@@ -14,6 +14,11 @@ from tidemark.sources.files import list_files, write_manifest
 
 log = logging.getLogger(__name__)
 
+# Rows per file of a key, files per task, and shuffle partitions of an export.
+MAX_RECORDS = 1_000_000
+FILES_PER_TASK = 64
+MAX_TASKS = 50_000
+
 # Above this many rows, output that asks for a single file is split into several.
 SINGLE_FILE_ROWS = 5_000_000
 # Fixed value: timestamps as text, with their microseconds.
@@ -22,33 +27,40 @@ _TEXT = {"escape": '"', "timestampFormat": TIMESTAMP_TEXT, "timestampNTZFormat":
 _CSV_ONLY = ("delimiter", "header", "addquotes")
 
 
-def export_by_key(df: DataFrame, key: str, out: str, max_records: int | None = None, folder: str = "key") -> None:
+def export_by_key(
+    df: DataFrame, key: str, out: str, max_records: int = MAX_RECORDS, folder: str = "key"
+) -> None:
     """One CSV file with a header per key value, under ``{folder}={value}``, in a single job.
 
-    Rows without a key are left out. Keys with more than ``max_records`` rows are spread
+    Rows without a key are left out. A key with more than ``max_records`` rows is spread
     over as many tasks and files as that needs, by a hash of the row, so that a hot key
     does not end up in one task; every other key stays one file.
     """
-    rows = df.filter(F.col(key).isNotNull()).withColumn(folder, F.col(key))
-    slot = F.lit(0)
-    if max_records:
-        # Only keys above the cap: at most rows / max_records of them. Stored, so that
-        # Spark knows the size and broadcasts it only within its threshold.
-        path = scratch_dir(df.sparkSession, "large-keys")
-        (
-            rows.groupBy(F.col(key).alias("_large"))
-            .agg(F.ceil(F.count(F.lit(1)) / max_records).alias("_files"))
-            .filter("_files > 1")
-            .write.parquet(path)
-        )
-        large = df.sparkSession.read.parquet(path)
-        slot = F.coalesce(F.pmod(F.xxhash64(*df.columns), F.col("_files")), F.lit(0))
-        rows = rows.join(large, F.col(key) == F.col("_large"), "left")
-    placed = rows.withColumn("_slot", slot).repartition(folder, "_slot").select(*df.columns, folder)
-    writer = placed.write.partitionBy(folder).mode("overwrite").options(header=True, **_TEXT)
-    if max_records:
-        writer = writer.option("maxRecordsPerFile", max_records)
-    writer.csv(out)
+    spark = df.sparkSession
+    rows = df.filter(F.col(key).isNotNull())
+    # Only keys above the cap are kept: at most rows / max_records of them. Stored, so that
+    # Spark knows the size and broadcasts it only within its threshold.
+    sizes, path = Observation(), scratch_dir(spark, "large-keys")
+    (
+        rows.groupBy(F.col(key).alias("_large"))
+        .agg(F.ceil(F.count(F.lit(1)) / max_records).alias("_files"))
+        .observe(sizes, F.sum("_files").alias("files"))
+        .filter("_files > 1")
+        .write.parquet(path)
+    )
+    slot = F.coalesce(F.pmod(F.xxhash64(*df.columns), F.col("_files")), F.lit(0))
+    # Creating files takes longer than filling them, so tasks are sized by number of files.
+    tasks = min(MAX_TASKS, math.ceil((sizes.get.get("files") or 1) / FILES_PER_TASK))
+    (
+        rows.join(spark.read.parquet(path), F.col(key) == F.col("_large"), "left")
+        .withColumns({folder: F.col(key), "_slot": slot})
+        .repartition(tasks, folder, "_slot")
+        .select(*df.columns, folder)
+        .write.partitionBy(folder)
+        .mode("overwrite")
+        .options(header=True, maxRecordsPerFile=max_records, **_TEXT)
+        .csv(out)
+    )
 
 
 def _flag(value) -> bool:
@@ -90,7 +102,9 @@ def unload(
     if not _flag(parallel):
         files = max(1, math.ceil(df.count() / single_file_rows))
     if order_by:
-        result = result.repartitionByRange(*([files] if files else []), *order_by).sortWithinPartitions(*order_by)
+        # A row hash ends the range key, so one very frequent value still spreads over files.
+        ranges = [*order_by, F.xxhash64(*result.columns)]
+        result = result.repartitionByRange(*([files] if files else []), *ranges).sortWithinPartitions(*order_by)
     elif files:
         result = result.repartition(files)
     # The count sits in the stage that writes, whose finished tasks count once each.
