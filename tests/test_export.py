@@ -1,0 +1,180 @@
+from __future__ import annotations
+
+import glob
+import gzip
+import json
+import logging
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.sources.export import export_by_key, has_rejects, unload, write_rejects
+from tidemark.sources.files import list_files, load_cdc, load_full, read_manifest, write_manifest
+
+
+def _accounts(out):
+    counts = {}
+    for path in glob.glob(f"{out}/key=*/*.csv"):
+        with open(path) as lines:
+            header, *data = lines.read().splitlines()
+        assert header == "id,account"
+        counts.setdefault(path.split("key=")[1].split("/")[0], []).append(len(data))
+    return counts
+
+
+def test_export_splits_only_the_hot_account(spark, tmp_path):
+    df = spark.range(3000).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, "hot")
+        .when(F.col("id") % 3 == 1, F.concat(F.lit("a"), F.col("id") % 30))
+        .otherwise(F.when(F.col("id") % 2 == 0, "b c/d"))
+        .alias("account"),
+    )
+    out = str(tmp_path / "out")
+    export_by_key(df, "account", out, max_records=500)
+    counts = _accounts(out)
+    assert sum(counts["hot"]) == 1000 and len(counts["hot"]) >= 2 and max(counts["hot"]) <= 500
+    others = {k: v for k, v in counts.items() if k != "hot"}
+    assert all(len(v) == 1 for v in others.values())
+    # Rows without an account are left out, every other row is there.
+    assert sum(map(sum, counts.values())) == df.filter("account IS NOT NULL").count()
+
+
+def test_export_replaces_an_older_one(spark, tmp_path):
+    out = str(tmp_path / "out")
+    export_by_key(spark.createDataFrame([(1, "x")], "id int, account string"), "account", out)
+    export_by_key(spark.createDataFrame([(1, "y")], "id int, account string"), "account", out)
+    assert set(_accounts(out)) == {"y"}
+
+
+def test_empty_export(spark, tmp_path):
+    export_by_key(spark.createDataFrame([(1, None)], "id int, account string"), "account", str(tmp_path / "out"))
+    assert _accounts(str(tmp_path / "out")) == {}
+
+
+ROWS = [(1, 'say "hi", all', None), (2, "two\nlines", "x"), (3, "a|b", "é")]
+
+
+def test_unload_csv_options(spark, tmp_path):
+    df = spark.createDataFrame(ROWS, "id int, a string, b string")
+    out = str(tmp_path / "out")
+    rows = unload(
+        df,
+        out,
+        delimiter="|",
+        header="true",
+        addquotes=True,
+        compression="gzip",
+        parallel="OFF",
+        file_prefix="export_",
+        custom_headers=["X", "Y", "Z"],
+    )
+    assert rows == 3
+    (path,) = glob.glob(f"{out}/export_*.csv.gz")
+    with gzip.open(path, "rt") as text:
+        assert text.readline() == '"X"|"Y"|"Z"\n'
+    back = spark.read.schema("X int, Y string, Z string").csv(out, sep="|", header=True, escape='"', multiLine=True)
+    assert sorted(tuple(r) for r in back.collect()) == sorted(ROWS, key=lambda r: r[0])
+
+
+def test_null_and_empty_text_differ(spark, tmp_path):
+    out = str(tmp_path / "out")
+    unload(spark.createDataFrame([(1, None, ""), (2, "", None)], "id int, a string, b string").coalesce(1), out)
+    (path,) = glob.glob(f"{out}/*.csv")
+    assert open(path).read() == '1,,""\n2,"",\n'
+
+
+def test_unload_keeps_microseconds(spark, tmp_path):
+    out = str(tmp_path / "out")
+    unload(spark.sql("SELECT TIMESTAMP_NTZ'2024-01-02 03:04:05.123456' AS t"), out, file_extension=".txt")
+    (path,) = glob.glob(f"{out}/*.txt")
+    assert open(path).read() == "2024-01-02 03:04:05.123456\n"
+
+
+def test_unload_threshold_and_single_file_bound(spark, tmp_path):
+    df = spark.range(1500)
+    assert unload(df.coalesce(1), str(tmp_path / "a"), "parquet", breakup_threshold="500") == 1500
+    assert len(glob.glob(str(tmp_path / "a" / "*.parquet"))) == 3
+    assert unload(df, str(tmp_path / "b"), "csv", parallel="OFF") == 1500
+    assert len(glob.glob(str(tmp_path / "b" / "*.csv"))) == 1
+    assert unload(df, str(tmp_path / "c"), "csv", parallel="OFF", single_file_rows=600) == 1500
+    assert len(glob.glob(str(tmp_path / "c" / "*.csv"))) == 3
+
+
+def test_unload_in_order(spark, tmp_path):
+    df = spark.range(1000).withColumn("v", (F.col("id") * 7919) % 1000)
+    unload(df, str(tmp_path / "o"), order_by=["v"], parallel="OFF", single_file_rows=300)
+    last = -1
+    for path in sorted(glob.glob(str(tmp_path / "o" / "*.csv"))):
+        values = [int(line.split(",")[1]) for line in open(path)]
+        assert values == sorted(values) and (not values or values[0] > last)
+        last = values[-1] if values else last
+
+
+def test_parquet_ignores_csv_options_with_a_warning(spark, tmp_path, caplog):
+    with caplog.at_level(logging.WARNING):
+        assert unload(spark.range(3), str(tmp_path / "p"), "parquet", delimiter="|", header=True) == 3
+    assert "delimiter is ignored" in caplog.text and "header is ignored" in caplog.text
+    assert spark.read.parquet(str(tmp_path / "p")).count() == 3
+    assert glob.glob(str(tmp_path / "p" / "*.snappy.parquet"))
+    with pytest.raises(ValueError):
+        unload(spark.range(1), str(tmp_path / "q"), "orc")
+
+
+def test_empty_unload_counts_nothing(spark, tmp_path):
+    assert unload(spark.range(3).filter("id > 5"), str(tmp_path / "e")) == 0
+    assert unload(spark.range(0), str(tmp_path / "f"), "parquet") == 0
+
+
+def test_manifest_lists_what_was_written(spark, tmp_path):
+    out = str(tmp_path / "m")
+    unload(spark.range(100), out, "parquet", manifest="true", breakup_threshold=10)
+    urls = read_manifest(spark, f"{out}_manifest")
+    assert sorted(os.path.basename(u) for u in urls) == sorted(
+        os.path.basename(p) for p in glob.glob(f"{out}/*.parquet")
+    )
+    (part,) = glob.glob(f"{out}_manifest/*.json")
+    entry = json.loads(open(part).readline())["entries"][0]
+    assert set(entry) == {"url", "length"} and entry["length"] > 0
+
+
+def test_a_long_manifest_has_several_documents(spark, tmp_path):
+    files = spark.range(1000).select(F.concat(F.lit("f/"), "id").alias("path"), F.col("id").alias("length"))
+    write_manifest(files, str(tmp_path / "m"), entries=100)
+    assert spark.read.json(str(tmp_path / "m")).count() == 10
+    assert sorted(read_manifest(spark, str(tmp_path / "m"))) == sorted(f"f/{i}" for i in range(1000))
+
+
+def test_loads(spark, tmp_path):
+    for n, records in {"1": [{"id": 1, "name": "a", "op": "I"}], "2": [{"id": 2, "name": "b"}]}.items():
+        (tmp_path / f"{n}.json").write_text("".join(json.dumps(r) + "\n" for r in records))
+    (tmp_path / "manifest").write_text(
+        json.dumps({"entries": [{"url": str(tmp_path / "1.json")}, {"url": str(tmp_path / "2.json")}]}, indent=1)
+    )
+    schema = spark.createDataFrame([], "id long, name string").schema
+    paths = read_manifest(spark, str(tmp_path / "manifest"))
+    assert sorted(tuple(r) for r in load_full(spark, paths, schema).collect()) == [(1, "a"), (2, "b")]
+    assert sorted(tuple(r) for r in load_cdc(spark, paths, schema).collect()) == [(1, "a", "I"), (2, "b", None)]
+    (tmp_path / "1.json").write_text("{not json\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        load_full(spark, paths, schema).collect()
+
+
+def test_listing_does_not_read_contents(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "a.csv").write_text("xyz")
+    (tmp_path / "b.txt").write_text("1")
+    listed = {os.path.basename(r.path): r.length for r in list_files(spark, str(tmp_path)).collect()}
+    assert listed == {"a.csv": 3, "b.txt": 1}
+    only = list_files(spark, str(tmp_path), "*.csv")
+    assert [os.path.basename(r.path) for r in only.collect()] == ["a.csv"]
+    assert "content" not in only._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rejects(spark, tmp_path):
+    bad = spark.createDataFrame([("x", "a")], "a string, reject_reason string")
+    write_rejects(bad, str(tmp_path), "r1")
+    write_rejects(bad.limit(0), str(tmp_path), "r2")
+    assert has_rejects(spark, str(tmp_path), "r1") and not has_rejects(spark, str(tmp_path), "r2")
+    assert not has_rejects(spark, str(tmp_path), "never ran")

@@ -6,10 +6,11 @@ import logging
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import scratch_dir
+from tidemark.sources import storage
 from tidemark.sources.files import list_files, write_manifest
 
 log = logging.getLogger(__name__)
@@ -61,6 +62,7 @@ def export_by_key(
         .options(header=True, maxRecordsPerFile=max_records, **_TEXT)
         .csv(out)
     )
+    storage.delete(spark, path)
 
 
 def _flag(value) -> bool:
@@ -137,6 +139,7 @@ def write_rejects(rejects: DataFrame, root: str, run_id: str) -> None:
     rejects.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{run_id}")
 
 
-def has_rejects(rejects_root: str, run_id: str, spark) -> bool:
+def has_rejects(spark: SparkSession, root: str, run_id: str) -> bool:
     """Whether a run left rejected records."""
-    return not spark.read.parquet(f"{rejects_root.rstrip('/')}/{run_id}").isEmpty()
+    path = f"{root.rstrip('/')}/{run_id}"
+    return storage.exists(spark, path) and not spark.read.parquet(path).isEmpty()

@@ -35,9 +35,9 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
 
 
 def write_manifest(files: DataFrame, out: str, entries: int = MANIFEST_ENTRIES) -> None:
-    """Writes ``{"entries": [{"url", "length"}]}``, one JSON row per ``entries`` files or so.
+    """Writes ``{"entries": [{"url", "length"}]}``, one JSON document per ``entries`` files or so.
 
-    A small output has a single row; the rows of a large one are made in parallel.
+    A small output has a single document; those of a large one are made in parallel.
     """
     chunks = max(1, math.ceil(files.count() / entries))
     entry = F.struct(F.col("path").alias("url"), "length")
@@ -46,6 +46,7 @@ def write_manifest(files: DataFrame, out: str, entries: int = MANIFEST_ENTRIES)
         .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
         .select("entries")
         .write.mode("overwrite")
+        .option("maxRecordsPerFile", 1)
         .json(out)
     )
 
