@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.schema import TYPES, parse_schema
@@ -94,3 +95,14 @@ def test_split_rejects_covers_every_row(spark):
 def test_distinct_keys(spark):
     df = spark.createDataFrame([(1,), (1,), (None,), (2,)], "k int")
     assert sorted(r.k for r in p.distinct_keys(df, "k").collect()) == [1, 2]
+
+
+TEXTS = ["1", " 12 ", "+3", "-4", "\t5", "6\n", "1.5", ".5", "5.", "1e3", "-1e-2", "x", "", " ", "12ab", "é1", "\u00a01"]
+TEXTS += ["99999999999", "--1", "+", "NaN", "Infinity", "0x10", "1_000", "\u0000" + "7", "\u0661", ":1", "\x7f7", "~", None]
+
+
+@pytest.mark.parametrize("target", ["tinyint", "int", "bigint", "decimal(12,2)", "DECIMAL(38, 0)", "double", "boolean", "date"])
+def test_skipping_hopeless_casts_loses_nothing(spark, target):
+    df = spark.createDataFrame([(t,) for t in TEXTS], "t string")
+    got = p.cast_columns(df.withColumn("plain", F.col("t").try_cast(target)), [{"column": "t", "data_type": target}])
+    assert got.filter(~F.col("t").eqNullSafe(F.col("plain"))).collect() == []

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Declared type name -> Spark type.
@@ -59,3 +61,19 @@ def parse_field(spec: str) -> tuple[str, T.StructField]:
 
 def parse_schema(specs: list[str]) -> T.StructType:
     return T.StructType([parse_field(s)[1] for s in specs])
+
+
+_NUMBER = re.compile(r"(tinyint|byte|smallint|short|int|integer|bigint|long|decimal|dec|numeric)\b", re.IGNORECASE)
+
+
+def cast_or_null(c: Column, source: T.DataType, target: str | T.DataType) -> Column:
+    """The column cast, null where a value does not fit.
+
+    A failed cast of text to a number costs an exception for each value. Text that starts
+    with a letter, or with any other character from ":" to "~", never casts, so it becomes
+    null without trying.
+    """
+    name = target if isinstance(target, str) else target.simpleString()
+    if isinstance(source, T.StringType) and _NUMBER.match(name.strip()):
+        return F.when((c < ":") | (c >= "\x7f"), c.try_cast(target))
+    return c.try_cast(target)

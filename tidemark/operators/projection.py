@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, datetime
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from tidemark.functions import cleansing as c
-from tidemark.functions.schema import parse_field
+from tidemark.functions.schema import cast_or_null, parse_field
 
 
 class EmptySource(ValueError):
@@ -47,20 +48,22 @@ def cast_all_string(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(n).cast("string").alias(n) for n in df.columns])
 
 
+def _cast(df: DataFrame, column: str, target: str | DataType) -> Column:
+    source = {f.name.lower(): f.dataType for f in df.schema.fields}
+    if column.lower() not in source:
+        raise ValueError(f"cannot cast column {column!r}: the table has no such column")
+    return cast_or_null(F.col(column), source[column.lower()], target)
+
+
 def cast_columns(df: DataFrame, specs: Sequence[dict]) -> DataFrame:
     """``specs``: ``[{"column": ..., "data_type": ...}]``; values that do not fit become null."""
-    known = {n.lower() for n in df.columns}
-    for spec in specs:
-        if spec["column"].lower() not in known:
-            raise ValueError(f"cannot cast column {spec['column']!r}: the table has no such column")
-    casts = {s["column"]: F.col(s["column"]).try_cast(s["data_type"]) for s in specs}
-    return df.withColumns(casts)
+    return df.withColumns({s["column"]: _cast(df, s["column"], s["data_type"]) for s in specs})
 
 
 def apply_schema(df: DataFrame, specs: Sequence[str]) -> DataFrame:
     """The declared columns only, cast to their declared types, names in lower case."""
     fields = [parse_field(s) for s in specs]
-    return df.select(*[F.col(name).try_cast(f.dataType).alias(f.name) for name, f in fields])
+    return df.select(*[_cast(df, name, f.dataType).alias(f.name) for name, f in fields])
 
 
 def require_rows(df: DataFrame, what: str = "source") -> DataFrame:
@@ -78,7 +81,7 @@ def split_rejects(df: DataFrame, specs: Sequence[dict]) -> tuple[DataFrame, Data
     failed = F.concat_ws(
         ",",
         *[
-            F.when(F.col(s["column"]).isNotNull() & F.col(s["column"]).try_cast(s["data_type"]).isNull(), s["column"])
+            F.when(F.col(s["column"]).isNotNull() & _cast(df, s["column"], s["data_type"]).isNull(), s["column"])
             for s in specs
         ],
     )
