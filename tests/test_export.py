@@ -9,6 +9,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.sources import export
 from tidemark.sources.export import export_by_key, has_rejects, unload, write_rejects
 from tidemark.sources.files import list_files, load_cdc, load_full, read_manifest, write_manifest
 
@@ -41,6 +42,16 @@ def test_export_splits_only_the_hot_account(spark, tmp_path):
     assert sum(map(sum, counts.values())) == df.filter("account IS NOT NULL").count()
 
 
+def test_export_splits_an_account_whose_rows_are_all_alike(spark, tmp_path, monkeypatch):
+    df = spark.range(0, 4000, 1, 16).select(F.lit(7).alias("id"), F.lit("copies").alias("account"))
+    out = str(tmp_path / "out")
+    monkeypatch.setattr(export, "FILES_PER_TASK", 1)
+    export_by_key(df, "account", out, max_records=500)
+    # The task number is part of the file name.
+    parts = {os.path.basename(p).split("-")[1] for p in glob.glob(f"{out}/key=copies/*.csv")}
+    assert len(parts) > 2 and sum(_accounts(out)["copies"]) == 4000
+
+
 def test_export_replaces_an_older_one(spark, tmp_path):
     out = str(tmp_path / "out")
     export_by_key(spark.createDataFrame([(1, "x")], "id int, account string"), "account", out)

@@ -197,3 +197,61 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
 
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
+
+
+def test_job_config(spark, tmp_path):
+    from tidemark.__main__ import run
+
+    at = datetime(2024, 1, 1, 6)
+    config = {
+        "source": {"format": "parquet", "options": {"path": str(tmp_path / "src")}},
+        "target": str(tmp_path / "gold"),
+        "snapshots": str(tmp_path / "pre"),
+        "primary_keys": ["k"],
+        "select_columns": ["k", "v"],
+        "string_columns": ["v"],
+    }
+    _source(spark, [(1, "a"), (2, "b")], at).write.parquet(str(tmp_path / "src"))
+    run(spark, config, "init", D1, at)
+    _source(spark, [(1, "A")], at).write.mode("overwrite").parquet(str(tmp_path / "src"))
+    got = run(spark, config, "snapshot", D2, at + timedelta(days=1))
+    assert [(r.k, r.v, r.load_date) for r in got.collect()] == [(1, "A", D2)]
+    with pytest.raises(ValueError, match="load_type"):
+        run(spark, config, "other", D2, at)
+
+
+def test_clean_table(spark):
+    from tidemark.plans.cleanse import clean_table
+
+    df = spark.createDataFrame([(1, "M", " 5 ", "01/05/2024")], "id int, sex string, n string, born_dt string")
+    options = {
+        "dataTypeCastingToString": True,
+        "fixedColumnsCleansingRules": [
+            {"rule": "trim_whitespace", "columns": [{"src_col": "n", "tgt_col": "raw"}]},
+            {"rule": "gender", "columns": [{"src_col": "sex", "tgt_col": "gender"}]},
+        ],
+        "fixed_columns": [{"column": "n", "data_type": "int"}],
+        "global_date_cleansing_rule": {"suffix": ["_dt"]},
+    }
+    codes = spark.createDataFrame([(1, "M", "Male")], "id int, value string, text string")
+    row = clean_table(df, options, "20240102", "T", "S", {"gender": codes}).first().asDict()
+    assert row == {
+        "id": "1", "sex": "M", "n": 5, "raw": " 5 ", "born_dt": "01/05/2024", "gender": "Male",
+        "c_born_dt": "2024-01-05", "schema_name": "s", "load_date": "2024-01-02", "load_time": "t",
+    }
+
+
+def test_export_reports(spark, tmp_path):
+    from tidemark.plans.reports import export_reports, report_payloads
+
+    queries = {
+        "Sales": "SELECT id, concat('N', id) AS name, id % 2 AS accountid FROM range(10)",
+        "None": "SELECT id, 'x' AS name, id AS accountid FROM range(0)",
+    }
+    folders = export_reports(
+        spark, queries, str(tmp_path), "lake/report_name/report_name_Report_dd_yyyy", date(2024, 3, 31), order_by=["id"]
+    )
+    assert folders == {"Sales": f"{tmp_path}/lake/Sales/Sales_Report_02_2024"}
+    payloads = [json.loads(r.payload) for r in report_payloads(spark, folders["Sales"], "Sales_Report_02_2024", date(2024, 3, 31)).collect()]
+    assert sorted(p["account_id"] + p["report_name"] for p in payloads) == ["0N0", "1N1"]
+    assert {(p["report_type"], p["report_date"]) for p in payloads} == {("SalesReport02", "02-2024")}

@@ -51,12 +51,15 @@ def report_metadata(df: DataFrame, file_col: str, order_col: str) -> DataFrame:
     )
 
 
-def report_payload(meta: DataFrame, as_of: date, file_col: str = "file") -> DataFrame:
-    """The JSON attributes that go with each file."""
+def report_payload(
+    meta: DataFrame, as_of: date, file_col: str = "file", name: Column | None = None
+) -> DataFrame:
+    """The JSON attributes that go with each file. The type is taken from the file's name,
+    or from ``name`` where that is given."""
     attributes = F.struct(
         F.col("account_id"),
         F.col("report_name"),
-        report_type(F.col(file_col)).alias("report_type"),
+        report_type(F.col(file_col) if name is None else name).alias("report_type"),
         previous_month(F.lit(as_of), MONTH_IN_PAYLOAD).alias("report_date"),
     )
     return meta.select(file_col, F.to_json(attributes).alias("payload"))

@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import reports as r
+from tidemark.plans.reports import report_payloads
 from tidemark.queries import Tables, query
+from tidemark.session import scratch_dir
+from tidemark.sources.export import export_by_key
 
 # One report file per customer: a row per order, with the priority as display name
 # (empty for low priority) and the account last.
@@ -65,3 +68,19 @@ def _period(t: Tables) -> DataFrame:
     day = F.col("o_orderdate").cast("date")
     path = r.report_path("sales/report_name/report_name_Report_dd_yyyy", F.col("o_orderpriority"), day)
     return t.orders.select("o_orderkey", path.alias("path"), r.previous_month(day, r.MONTH_IN_PAYLOAD).alias("period"))
+
+
+@query(
+    "report_export",
+    """SELECT CAST(to_json({'account_id': CAST(c_nationkey AS VARCHAR),
+  'report_name': replace(min_by(c_name, c_custkey) FILTER (c_mktsegment <> 'BUILDING'), '#', ''),
+  'report_type': 'NationCustomerReport', 'report_date': '05-2024'}) AS VARCHAR) AS payload
+FROM customer GROUP BY c_nationkey""",
+)
+def _export(t: Tables) -> DataFrame:
+    """Customers exported per nation, and the payload of each file written."""
+    out = f"{scratch_dir(t.spark, 'report')}/nation"
+    shown = F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_name")).alias("shown")
+    rows = t.customer.select("c_custkey", shown, "c_acctbal", "c_nationkey")
+    export_by_key(rows, "c_nationkey", out, order_by=["c_custkey"])
+    return report_payloads(t.spark, out, "Nation_Customer_Report", date(2024, 6, 15)).select("payload")

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from fnmatch import fnmatch
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.functions.spread import spread
 from tidemark.sources import storage
 from tidemark.sources.files import list_files
 
@@ -105,9 +105,8 @@ def _register(spark: SparkSession, full: str, path: str, schema: StructType, pre
 def compact_table(df: DataFrame, out: str, keys: Sequence[str], files: int | None = None) -> None:
     """Rewrites a table to a new path as sorted files, in key ranges so that readers can skip.
 
-    A row hash extends the range key, so one very frequent key still spreads over files.
-    Without a file count, adaptive execution sizes the files.
+    The range key ends in a number that spreads the rows of a very frequent key. Without a
+    file count, adaptive execution sizes the files.
     """
-    spread = F.xxhash64(*df.columns)
-    ranged = df.repartitionByRange(*([files] if files else []), *keys, spread)
-    ranged.sortWithinPartitions(*keys).write.mode("overwrite").parquet(out)
+    ranged = df.withColumn("_spread", spread(df)).repartitionByRange(*([files] if files else []), *keys, "_spread")
+    ranged.drop("_spread").sortWithinPartitions(*keys).write.mode("overwrite").parquet(out)

@@ -9,15 +9,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.spread import spread
 from tidemark.session import scratch_dir
 from tidemark.sources import storage
 from tidemark.sources.files import list_files, write_manifest
 
 log = logging.getLogger(__name__)
 
-# Rows per file of a key, files per task, and shuffle partitions of an export.
+# Rows per file of a key; files and rows per task, and most tasks, of an export.
 MAX_RECORDS = 1_000_000
 FILES_PER_TASK = 64
+ROWS_PER_TASK = 4_000_000
 MAX_TASKS = 50_000
 
 # Above this many rows, output that asks for a single file is split into several.
@@ -29,13 +31,19 @@ _CSV_ONLY = ("delimiter", "header", "addquotes")
 
 
 def export_by_key(
-    df: DataFrame, key: str, out: str, max_records: int = MAX_RECORDS, folder: str = "key"
+    df: DataFrame,
+    key: str,
+    out: str,
+    max_records: int = MAX_RECORDS,
+    folder: str = "key",
+    order_by: Sequence[str] = (),
 ) -> None:
     """One CSV file with a header per key value, under ``{folder}={value}``, in a single job.
 
     Rows without a key are left out. A key with more than ``max_records`` rows is spread
-    over as many tasks and files as that needs, by a hash of the row, so that a hot key
-    does not end up in one task; every other key stays one file.
+    over as many tasks and files as that needs, so that a hot key does not end up in one
+    task, even if its rows are all alike; every other key stays one file. Rows of a file
+    are in the order of ``order_by``.
     """
     spark = df.sparkSession
     rows = df.filter(F.col(key).isNotNull())
@@ -44,19 +52,23 @@ def export_by_key(
     sizes, path = Observation(), scratch_dir(spark, "large-keys")
     (
         rows.groupBy(F.col(key).alias("_large"))
-        .agg(F.ceil(F.count(F.lit(1)) / max_records).alias("_files"))
-        .observe(sizes, F.sum("_files").alias("files"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_files", F.ceil(F.col("_rows") / max_records))
+        .observe(sizes, F.sum("_files").alias("files"), F.sum("_rows").alias("rows"))
         .filter("_files > 1")
+        .select("_large", "_files")
         .write.parquet(path)
     )
-    slot = F.coalesce(F.pmod(F.xxhash64(*df.columns), F.col("_files")), F.lit(0))
-    # Creating files takes longer than filling them, so tasks are sized by number of files.
-    tasks = min(MAX_TASKS, math.ceil((sizes.get.get("files") or 1) / FILES_PER_TASK))
+    slot = F.coalesce(F.pmod(spread(rows), F.col("_files")), F.lit(0))
+    # Creating files takes longer than filling small ones, so tasks are sized by both.
+    total = sizes.get
+    tasks = max((total.get("files") or 1) / FILES_PER_TASK, (total.get("rows") or 0) / ROWS_PER_TASK)
     (
         rows.join(spark.read.parquet(path), F.col(key) == F.col("_large"), "left")
         .withColumns({folder: F.col(key), "_slot": slot})
-        .repartition(tasks, folder, "_slot")
+        .repartition(min(MAX_TASKS, math.ceil(tasks)), folder, "_slot")
         .select(*df.columns, folder)
+        .sortWithinPartitions(folder, *order_by)
         .write.partitionBy(folder)
         .mode("overwrite")
         .options(header=True, maxRecordsPerFile=max_records, **_TEXT)
@@ -104,9 +116,10 @@ def unload(
     if not _flag(parallel):
         files = max(1, math.ceil(df.count() / single_file_rows))
     if order_by:
-        # A row hash ends the range key, so one very frequent value still spreads over files.
-        ranges = [*order_by, F.xxhash64(*result.columns)]
-        result = result.repartitionByRange(*([files] if files else []), *ranges).sortWithinPartitions(*order_by)
+        # The range key ends in a number that spreads the rows of a very frequent value.
+        result = result.withColumn("_spread", spread(result))
+        result = result.repartitionByRange(*([files] if files else []), *order_by, "_spread").drop("_spread")
+        result = result.sortWithinPartitions(*order_by)
     elif files:
         result = result.repartition(files)
     # The count sits in the stage that writes, whose finished tasks count once each.
