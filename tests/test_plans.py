@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import os
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark import queries
 from tidemark.operators import files, runs, snapshots
+from tidemark.sources.files import list_files
 from tidemark.sources.tables import read_table
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -42,6 +44,12 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in text
 
 
+def test_a_day_filter_reaches_the_listing(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x")
+    listed = files.files_on(list_files(spark, str(tmp_path)), date(2024, 1, 2))
+    assert "PushedFilters: [IsNotNull(modificationTime), GreaterThanOrEqual(modificationTime" in plan(listed)
+
+
 @needs_tables
 def test_a_snapshot_comparison_shuffles_once(spark):
     latest = spark.read.parquet(f"{FOLDER}/orders.parquet")

@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.streaming.cdc import RELOAD, RESUME, START, cdc_stream, current_table, stored_changes
+from tidemark.streaming.cdc import RELOAD, RESUME, START, cdc_stream, current_table, fold_changes, stored_changes
 
 TABLE = "id long, name string"
 CHANGES = "id long, name string, op string, seq long, at timestamp"
@@ -104,3 +104,24 @@ def test_stream_and_batch_agree(spark, lake):
         lake.run()
     log = spark.createDataFrame([r for wave in waves for r in wave], "id long, name string, op string, seq long")
     assert lake.table() == sorted(tuple(r) for r in cdc_apply(base, log, ["id"]).collect())
+
+
+def test_folding_keeps_the_table_and_late_changes(spark, lake):
+    home = f"{lake.target}/gen-0001"
+    lake.land((1, "a3", "U", 3), (2, "b", "D", 4))
+    lake.run(START, full=lake.full((1, "a"), (2, "b")))
+    lake.land((3, "c", "I", 1))
+    lake.run()
+    before = lake.table()
+    for _ in range(2):
+        fold_changes(spark, lake.target, lake.schema, ["id"])
+        assert lake.table() == before == [(1, "a3"), (3, "c")]
+    assert stored_changes(spark, home, lake.schema).count() == 3
+    # These are older than what was folded, so they change nothing; the last one does.
+    lake.land((1, "late", "U", 2), (2, "late", "U", 3))
+    lake.run()
+    assert lake.table() == before
+    lake.land((2, "back", "I", 5))
+    lake.run()
+    fold_changes(spark, lake.target, lake.schema, ["id"])
+    assert lake.table() == [(1, "a3"), (2, "back"), (3, "c")]

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.snapshots import anti_keys
 
@@ -19,7 +20,9 @@ def last_changes(changes: DataFrame, keys: Sequence[str], seq: str = "seq", op:
     The row-number filter lets Spark keep one row per key in each task before the
     shuffle, so a key with very many records sends few of them.
     """
-    rest = [n for n in changes.columns if n not in {*keys, seq, op}]
+    rest = [
+        f.name for f in changes.schema if f.name not in {*keys, seq, op} and not isinstance(f.dataType, T.MapType)
+    ]
     order = [F.desc(seq), F.when(F.col(op) == DELETE, 0).otherwise(1), F.asc(op), *rest]
     newest = Window.partitionBy(*keys).orderBy(*order)
     return changes.withColumn("_n", F.row_number().over(newest)).filter("_n = 1").drop("_n")

@@ -3,7 +3,8 @@
 A target holds generations, ``gen-NNNN``, each with the full load it started from
 (``base``), the stream's checkpoint, and one folder of changes per micro-batch. A
 batch writes only its own changes, so its cost follows the batch and not the table;
-a replayed batch overwrites its own folder. The table is base plus changes.
+a replayed batch overwrites its own folder. The table is base plus changes. Folding
+the changes now and then keeps the number of folders small.
 """
 
 from __future__ import annotations
@@ -34,6 +35,13 @@ def _generation(target: str, number: int) -> str:
     return f"{target.rstrip('/')}/gen-{number:04d}"
 
 
+def _newest(spark: SparkSession, target: str) -> str:
+    known = _generations(spark, target)
+    if not known:
+        raise ValueError(f"no table under {target}")
+    return _generation(target, known[-1])
+
+
 def cdc_stream(
     spark: SparkSession,
     source: str,
@@ -45,6 +53,7 @@ def cdc_stream(
     full: DataFrame | None = None,
     start_time: datetime | None = None,
     time_col: str | None = None,
+    fmt: str = "json",
     **reader_options: str,
 ) -> StreamingQuery:
     """Takes all change files that have arrived and then stops.
@@ -68,7 +77,7 @@ def cdc_stream(
     else:
         raise ValueError(f"mode must be start, resume or reload, not {mode!r}")
 
-    changes = spark.readStream.schema(schema).options(**reader_options).json(source)
+    changes = spark.readStream.schema(schema).format(fmt).options(**reader_options).load(source)
     if start_time is not None:
         changes = changes.filter(F.col(time_col) >= F.lit(start_time))
 
@@ -83,21 +92,41 @@ def cdc_stream(
     )
 
 
+def _finished(spark: SparkSession, home: str) -> tuple[int, list[str]]:
+    """The newest finished batch, and the folders that hold all changes up to it."""
+    batches: dict[int, str] = {}
+    folded: dict[int, str] = {}
+    for name in storage.complete_folders(spark, f"{home}/changes"):
+        kind, number = name.rsplit("-", 1)
+        (folded if kind == "upto" else batches)[int(number)] = name
+    start = max(folded, default=-1)
+    names = [folded[start]] if folded else []
+    names += [name for number, name in batches.items() if number > start]
+    return max([start, *batches]), [f"{home}/changes/{name}" for name in names]
+
+
 def stored_changes(spark: SparkSession, home: str, schema: T.StructType) -> DataFrame:
     """The changes of all finished batches."""
-    done = storage.complete_folders(spark, f"{home}/changes")
-    if not done:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*[f"{home}/changes/{name}" for name in done])
+    _, folders = _finished(spark, home)
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
+def fold_changes(
+    spark: SparkSession, target: str, schema: T.StructType, keys: Sequence[str], seq: str = "seq"
+) -> None:
+    """Writes the finished batches of the newest generation as one folder, which takes their
+    place. Deletes and sequence numbers are kept, so late changes still settle rightly."""
+    home = _newest(spark, target)
+    last, folders = _finished(spark, home)
+    if len(folders) > 1:
+        folded = last_changes(spark.read.schema(schema).parquet(*folders), keys, seq)
+        folded.write.mode("overwrite").parquet(f"{home}/changes/upto-{last}")
 
 
 def current_table(
     spark: SparkSession, target: str, schema: T.StructType, keys: Sequence[str], seq: str = "seq"
 ) -> DataFrame:
     """The newest generation's table: late and repeated changes are settled by ``seq``."""
-    known = _generations(spark, target)
-    if not known:
-        raise ValueError(f"no table under {target}")
-    home = _generation(target, known[-1])
+    home = _newest(spark, target)
     base = spark.read.parquet(f"{home}/base")
     return cdc_apply(base, stored_changes(spark, home, schema), keys, seq)
