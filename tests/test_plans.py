@@ -66,6 +66,12 @@ def test_the_change_feed_aggregates_the_keys_once(spark):
     assert "ReusedExchange" in final_plan(feed)
 
 
+@needs_tables
+@pytest.mark.parametrize("name", ["run_summary", "change_feed_lineitem"])
+def test_two_uses_of_an_aggregate_share_its_exchange(spark, name):
+    assert "ReusedExchange" in final_plan(queries.BUILDERS[name](spark, FOLDER))
+
+
 @pytest.fixture
 def skewed(spark):
     """Small thresholds, so that a hot key of a small table counts as skewed."""

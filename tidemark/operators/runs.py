@@ -103,7 +103,7 @@ def run_summary(log: DataFrame) -> DataFrame:
     )
     batches = tables.groupBy("batch_dt").agg(
         F.count(F.lit(1)).alias("tables"),
-        F.count_if(F.col("status") == COMPLETED).alias("completed"),
+        F.count(F.when(F.col("status") == COMPLETED, 1)).alias("completed"),
         F.sum("entries").alias("entries"),
         F.sum("failures").alias("failures"),
         F.sum("rows").alias("rows"),
