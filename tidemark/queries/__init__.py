@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,13 +30,21 @@ class Tables:
         return self.spark.read.parquet(self.path(name))
 
 
-def query(name: str, sql: str | None = None):
-    """Registers a builder that takes ``Tables``."""
+def query(name: str, sql: str | None = None, text: Sequence[str] = ()):
+    """Registers a builder that takes ``Tables``.
+
+    Columns in ``text`` (dates, decimals, whole numbers with nulls) are compared as text, since
+    clients show such values in different types.
+    """
 
     def register(build: Callable[[Tables], DataFrame]):
-        BUILDERS[name] = lambda spark, folder: build(Tables(spark, folder))
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            return build(Tables(spark, folder)).withColumns({c: F.col(c).cast("string") for c in text})
+
+        BUILDERS[name] = run
         if sql is not None:
-            ORACLES[name] = sql
+            shown = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in text)
+            ORACLES[name] = f"SELECT * REPLACE ({shown}) FROM ({sql})" if text else sql
         return build
 
     return register

@@ -31,6 +31,7 @@ def _timestamp(t: Tables) -> DataFrame:
 @query(
     "clean_timestamp_date",
     "SELECT event_id, CAST(ts AS DATE) AS ts, TRY_CAST(props AS DATE) AS props FROM events",
+    text=["ts", "props"],
 )
 def _timestamp_date(t: Tables) -> DataFrame:
     return cleansing.apply_rules(t.events.select("event_id", "ts", "props"), _rule("timestamp_date", "ts", "props"))
@@ -79,6 +80,7 @@ def _date(t: Tables) -> DataFrame:
     f"""SELECT d.o_orderkey, due_dt, CAST(o_orderdate AS DATE) AS order_dt, o_custkey AS cust_dt_key,
   {_clean_date_sql('due_dt')} AS c_due_dt, strftime(o_orderdate, '%Y-%m-%d') AS c_order_dt
 FROM {_DATES} d JOIN orders o ON o.o_orderkey = d.o_orderkey""",
+    text=["order_dt"],
 )
 def _date_suffix(t: Tables) -> DataFrame:
     due = formatted_dates(t)

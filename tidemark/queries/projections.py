@@ -35,6 +35,7 @@ def _keys(t: Tables) -> DataFrame:
 @query(
     "add_audit_columns",
     "SELECT c_custkey, c_name, '2024-01-02 06:30:00' AS load_ts, DATE '2024-01-02' AS load_date FROM customer",
+    text=["load_date"],
 )
 def _audit(t: Tables) -> DataFrame:
     audited = p.add_audit_columns(t.customer.select("c_custkey", "c_name"), _AT)
@@ -65,6 +66,7 @@ def _all_string(t: Tables) -> DataFrame:
     """SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, TRY_CAST(o_orderstatus AS INTEGER) AS o_orderstatus,
   CAST(o_totalprice AS DECIMAL(18, 2)) AS o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
   TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS o_orderpriority FROM orders""",
+    text=["o_totalprice", "o_orderdate", "o_orderstatus"],
 )
 def _casts(t: Tables) -> DataFrame:
     coded = t.orders.withColumn("o_orderpriority", F.substring("o_orderpriority", 1, 1))
@@ -83,6 +85,7 @@ def _casts(t: Tables) -> DataFrame:
     """SELECT CAST(l_orderkey AS INTEGER) AS l_orderkey, CAST(l_linenumber AS SMALLINT) AS l_linenumber,
   CAST(l_extendedprice AS DECIMAL(12, 2)) AS l_extendedprice, CAST(l_discount AS VARCHAR) AS l_discount,
   l_returnflag, CAST(l_shipdate AS DATE) AS l_shipdate FROM lineitem""",
+    text=["l_extendedprice", "l_shipdate"],
 )
 def _schema(t: Tables) -> DataFrame:
     specs = [
@@ -141,6 +144,7 @@ def _rejects(t: Tables) -> DataFrame:
     "accepted_rows",
     f"""SELECT o_orderkey, CAST(account AS BIGINT) AS account, CAST(due AS DATE) AS due
 FROM {_CODED} WHERE {_FAILED} = ''""",
+    text=["due"],
 )
 def _accepted(t: Tables) -> DataFrame:
     return p.split_rejects(_coded(t), _SPECS)[0]

@@ -67,6 +67,7 @@ def steps(t: Tables) -> DataFrame:
     "bind_batch_date",
     """SELECT o_orderpriority, count(*) AS n_orders, DATE '1998-07-01' AS batch_dt FROM orders
 WHERE o_orderdate < TIMESTAMP '1998-07-01' GROUP BY 1""",
+    text=["batch_dt"],
 )
 def _bind(t: Tables) -> DataFrame:
     sql = """SELECT o_orderpriority, count(*) AS n_orders, :batch_dt AS batch_dt FROM {orders}
@@ -74,7 +75,7 @@ def _bind(t: Tables) -> DataFrame:
     return runs.bind_batch_date(t.spark, sql, date(2024, 1, 1), date(1998, 7, 1), orders=t.orders)
 
 
-@query("run_latest_status", f"WITH {_LOG}, {_NEWEST} SELECT *, status <> 'COMPLETED' AS to_run FROM newest")
+@query("run_latest_status", f"WITH {_LOG}, {_NEWEST} SELECT *, status <> 'COMPLETED' AS to_run FROM newest", text=["batch_dt"])
 def _latest(t: Tables) -> DataFrame:
     return runs.run_latest_status(run_log(t))
 
@@ -83,6 +84,7 @@ def _latest(t: Tables) -> DataFrame:
     "run_completed",
     f"""WITH {_LOG}, {_STEPS}, {_NEWEST}
 SELECT batch_dt, name AS table_name FROM newest JOIN steps USING (step_id) WHERE status = 'COMPLETED'""",
+    text=["batch_dt"],
 )
 def _completed(t: Tables) -> DataFrame:
     return runs.run_completed(run_log(t), steps(t))
@@ -96,6 +98,7 @@ WHERE n.status <> 'COMPLETED' AND (s.depends_on IS NULL
   OR coalesce(upper(json_extract_string(s.info, '$.dependency_check')), '') <> 'TRUE'
   OR EXISTS (SELECT 1 FROM newest d JOIN steps ds ON ds.step_id = d.step_id
              WHERE ds.name = s.depends_on AND d.batch_dt = n.batch_dt AND d.status = 'COMPLETED'))""",
+    text=["batch_dt"],
 )
 def _ready(t: Tables) -> DataFrame:
     return runs.run_ready(steps(t), run_log(t))
@@ -106,6 +109,7 @@ def _ready(t: Tables) -> DataFrame:
     """SELECT CAST(o_orderdate AS DATE) AS batch_dt, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS seq,
   CASE WHEN o_orderstatus = 'O' THEN 0 ELSE o_custkey END AS step_order, o_orderkey AS step_id,
   o_orderpriority AS name, count(*) OVER (PARTITION BY o_orderdate, o_orderpriority) AS group_size FROM orders""",
+    text=["batch_dt"],
 )
 def _groups(t: Tables) -> DataFrame:
     dated = t.orders.select(
@@ -133,6 +137,7 @@ SELECT batch_dt, NULL, CAST(to_json({{'tables': count(*), 'completed': count(*)
   'rows': CAST(sum(rows) AS BIGINT),
   'error': coalesce(arg_max(error, (failed_at, error)) FILTER (failed_at IS NOT NULL), '')}}) AS VARCHAR)
 FROM tables GROUP BY batch_dt""",
+    text=["batch_dt", "step_id"],
 )
 def _summary(t: Tables) -> DataFrame:
     return runs.run_summary(run_log(t))
@@ -141,6 +146,7 @@ def _summary(t: Tables) -> DataFrame:
 @query(
     "sink_run_log",
     f"WITH {_LOG} SELECT step_id, batch_dt, status, rows, message, CAST(ts AS VARCHAR) AS ts FROM log",
+    text=["batch_dt"],
 )
 def _sink(t: Tables) -> DataFrame:
     path = scratch_dir(t.spark, "log")

@@ -94,6 +94,7 @@ delta AS (SELECT * FROM latest EXCEPT SELECT * FROM prev),
 gone AS (SELECT o_orderkey FROM prev EXCEPT SELECT o_orderkey FROM latest)
 SELECT CASE WHEN o_orderkey IN (SELECT o_orderkey FROM prev) THEN 'U' ELSE 'I' END AS op, * FROM delta
 UNION ALL SELECT 'D', o_orderkey, NULL, NULL, NULL, NULL, NULL FROM gone""",
+    text=["o_custkey"],
 )
 def _feed(t: Tables) -> DataFrame:
     latest = latest_orders(t)
@@ -124,6 +125,7 @@ gone AS (SELECT l_orderkey, l_linenumber FROM prev EXCEPT SELECT l_orderkey, l_l
 SELECT CASE WHEN EXISTS (SELECT 1 FROM prev p WHERE p.l_orderkey = d.l_orderkey AND p.l_linenumber = d.l_linenumber)
             THEN 'U' ELSE 'I' END AS op, d.* FROM delta d
 UNION ALL SELECT 'D', l_orderkey, NULL, NULL, l_linenumber, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM gone""",
+    text=["l_partkey", "l_suppkey"],
 )
 def _feed_lines(t: Tables) -> DataFrame:
     latest = latest_lines(t)
@@ -256,7 +258,7 @@ def dated_files(t: Tables) -> DataFrame:
     return snapshots.with_snapshot_date(t.orders.select(path.alias("path")), token=2)
 
 
-@query("latest_n_dates", f"{_DATED} SELECT DISTINCT snapshot_date FROM files ORDER BY 1 DESC LIMIT 2")
+@query("latest_n_dates", f"{_DATED} SELECT DISTINCT snapshot_date FROM files ORDER BY 1 DESC LIMIT 2", text=["snapshot_date"])
 def _latest_dates(t: Tables) -> DataFrame:
     return snapshots.latest_n_dates(dated_files(t), 2)
 
@@ -264,6 +266,7 @@ def _latest_dates(t: Tables) -> DataFrame:
 @query(
     "previous_snapshot_date",
     f"{_DATED} SELECT DISTINCT snapshot_date FROM files ORDER BY 1 DESC LIMIT 1 OFFSET 1",
+    text=["snapshot_date"],
 )
 def _previous_date(t: Tables) -> DataFrame:
     return snapshots.previous_snapshot_date(dated_files(t))
@@ -272,6 +275,7 @@ def _previous_date(t: Tables) -> DataFrame:
 @query(
     "previous_snapshot_date_rerun",
     f"{_DATED} SELECT max(snapshot_date) AS snapshot_date FROM files WHERE snapshot_date < DATE '2000-06-15'",
+    text=["snapshot_date"],
 )
 def _previous_date_rerun(t: Tables) -> DataFrame:
     return snapshots.previous_snapshot_date(dated_files(t), date(2000, 6, 15))
@@ -281,6 +285,7 @@ def _previous_date_rerun(t: Tables) -> DataFrame:
     "snapshot_retention",
     f"""{_DATED} SELECT DISTINCT snapshot_date FROM files
 WHERE snapshot_date NOT IN (SELECT DISTINCT snapshot_date FROM files ORDER BY 1 DESC LIMIT 2)""",
+    text=["snapshot_date"],
 )
 def _retention(t: Tables) -> DataFrame:
     return snapshots.snapshot_retention(dated_files(t), 2)
