@@ -5,7 +5,6 @@ import json
 from datetime import date, datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark.operators import runs
 from tidemark.plans.daily import current_version, daily_snapshot, initial_load

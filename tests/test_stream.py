@@ -3,7 +3,6 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark.streaming.cdc import RELOAD, RESUME, START, cdc_stream, current_table, fold_changes, stored_changes
 

@@ -51,7 +51,11 @@ def _export_files(t: Tables) -> DataFrame:
     )
 
 
-@query("unload_csv", "SELECT event_id AS \"Id\", ts AS \"At\", user_id AS \"User\", event_type AS \"Kind\", value AS \"Value\", props AS \"Props\" FROM events")
+@query(
+    "unload_csv",
+    """SELECT event_id AS "Id", ts AS "At", user_id AS "User", event_type AS "Kind", value AS "Value",
+  props AS "Props" FROM events""",
+)
 def _csv(t: Tables) -> DataFrame:
     out = f"{scratch_dir(t.spark, 'unload')}/events"
     headers = ["Id", "At", "User", "Kind", "Value", "Props"]

@@ -14,7 +14,11 @@ from tidemark.sources.export import export_by_key, unload
 from tidemark.sources.files import list_files, load_cdc, load_full, read_manifest, write_manifest
 
 
-@query("list_files", "SELECT CAST(c_nationkey AS VARCHAR) AS nation, count(DISTINCT 1) AS files, true AS filled FROM customer GROUP BY 1")
+@query(
+    "list_files",
+    """SELECT CAST(c_nationkey AS VARCHAR) AS nation, count(DISTINCT 1) AS files, true AS filled
+FROM customer GROUP BY 1""",
+)
 def _list(t: Tables) -> DataFrame:
     out = f"{scratch_dir(t.spark, 'list')}/by-nation"
     export_by_key(t.customer, "c_nationkey", out)

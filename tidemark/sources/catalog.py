@@ -30,23 +30,19 @@ def layer_paths(root: str, tables: Sequence[str], layer: str) -> dict[str, list[
 
 
 def _schema(spark: SparkSession, path: str, exclude: Sequence[str]) -> StructType | None:
-    """The folder's merged schema, or null when it holds no files that count."""
-    if not storage.exists(spark, path):
-        return None
+    """The folder's merged schema, or null when no files count."""
     reader = spark.read.option("mergeSchema", True)
     if not exclude:
-        if list_files(spark, path).isEmpty():
-            return None
         return reader.parquet(path).schema
     files = [r["path"] for r in list_files(spark, path).select("path").toLocalIterator()]
     counted = [f for f in files if not any(fnmatch(f, p) or fnmatch(f.rsplit("/", 1)[-1], p) for p in exclude)]
     return reader.option("basePath", path).parquet(*counted).schema if counted else None
 
 
-def _partition_columns(spark: SparkSession, path: str) -> list[str]:
-    file = list_files(spark, path).first()["path"]
-    below = file[file.index(re.sub(r"^\w+:/*", "/", path)) + len(re.sub(r"^\w+:/*", "/", path)) :]
-    return re.findall(r"/([^/=]+)=[^/]*(?=/)", below)
+def _partition_columns(path: str, file: str) -> list[str]:
+    """Names of the ``name=value`` folders between a table's folder and one of its files."""
+    folder = re.sub(r"^\w+:/*", "/", path)
+    return re.findall(r"/([^/=]+)=[^/]*(?=/)", file[file.index(folder) + len(folder) :])
 
 
 def register_tables(
@@ -64,9 +60,11 @@ def register_tables(
         path = path.rstrip("/")
         folder = re.sub(r"\W", "_", path.rsplit("/", 1)[-1].lower())
         name = f"{prefix}_{folder}" if prefix else folder
-        schema = _schema(spark, path, exclude)
+        file = list_files(spark, path).first() if storage.exists(spark, path) else None
+        schema = _schema(spark, path, exclude) if file else None
         if schema is not None:
-            _register(spark, f"`{database}`.`{name}`", path, schema, prefix)
+            partitions = _partition_columns(path, file["path"])
+            _register(spark, f"`{database}`.`{name}`", path, schema, partitions, prefix)
             registered.append(name)
     for row in spark.sql(f"SHOW TABLES IN `{database}`").collect():
         full = f"`{database}`.`{row['tableName']}`"
@@ -78,8 +76,9 @@ def register_tables(
     return registered
 
 
-def _register(spark: SparkSession, full: str, path: str, schema: StructType, prefix: str) -> None:
-    partitions = _partition_columns(spark, path)
+def _register(
+    spark: SparkSession, full: str, path: str, schema: StructType, partitions: Sequence[str], prefix: str
+) -> None:
     if spark.catalog.tableExists(full.replace("`", "")):
         now = spark.table(full).schema
         kept = {f.name: f.dataType for f in now.fields}
