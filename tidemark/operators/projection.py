@@ -29,7 +29,8 @@ def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def add_audit_columns(
     df: DataFrame, at: datetime, ts_col: str = "load_ts", date_col: str = "load_date"
 ) -> DataFrame:
-    """Run time and run day, passed in so that a re-run gives the same rows."""
+    """Run time and run day, passed in so that a re-run gives the same rows. Give the time its
+    zone: Spark takes a time without one to be in the driver's."""
     return df.withColumns({ts_col: F.lit(at), date_col: F.lit(at.date())})
 
 

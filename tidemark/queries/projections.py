@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from tidemark.queries import Tables, query
 from tidemark.session import scratch_dir
 from tidemark.sources.export import write_rejects
 
-_AT = datetime(2024, 1, 2, 6, 30)
+_AT = datetime(2024, 1, 2, 6, 30, tzinfo=timezone.utc)
 
 
 @query("strip_nul", "SELECT doc_id, text, lang FROM documents")

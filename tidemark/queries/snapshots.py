@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -196,7 +196,7 @@ def _stream(t: Tables) -> DataFrame:
     return current_table(t.spark, f"{home}/table", records.schema, ORDER_KEYS)
 
 
-_FIRST, _SECOND = datetime(2024, 1, 1, 6), datetime(2024, 1, 2, 6)
+_FIRST, _SECOND = (datetime(2024, 1, day, 6, tzinfo=timezone.utc) for day in (1, 2))
 
 
 def _with_nul(df: DataFrame) -> DataFrame:
