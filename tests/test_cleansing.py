@@ -188,3 +188,30 @@ def test_a_long_code_list_is_not_broadcast(spark):
     codes = _codes(spark, [(1, "M", "Male")])
     assert "broadcast" in lookups.checked(codes)._jdf.queryExecution().logical().toString().lower()
     assert "broadcast" not in lookups.checked(codes, limit=10)._jdf.queryExecution().logical().toString().lower()
+
+
+AGAIN = [
+    c.ascii_only, c.middle_name, c.last_name, c.name_suffix, c.telephone, c.tax_id, c.address_line, c.city, c.zip_code,
+    c.date_text, c.timestamp_text, c.strip_nul,
+]
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.one_of(st.none(), st.text(max_size=30)), min_size=100, max_size=200))
+def test_cleaning_twice_changes_nothing_more(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    once = df.select(*[clean(F.col("v")).alias(f"c{i}") for i, clean in enumerate(AGAIN)])
+    twice = once.select(*[clean(F.col(f"c{i}")).alias(f"c{i}") for i, clean in enumerate(AGAIN)])
+    assert once.collect() == twice.collect()
+
+
+def test_rule_lists_are_one_projection(spark):
+    df = spark.createDataFrame([("a", "b", "c")], "x string, y string, z string")
+    rules = [
+        {"rule": "ascii_only", "columns": [{"src_col": "x"}]},
+        {"rule": "telephone", "columns": [{"src_col": "y", "tgt_col": "phone"}]},
+        {"rule": "dob", "columns": [{"src_col": "z", "tgt_col": "born"}]},
+        {"rule": "rtrim", "columns": [{"src_col": "y"}]},
+    ]
+    plan = cleansing.apply_rules(df, rules)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Project") == 1

@@ -59,6 +59,11 @@ def test_export_replaces_an_older_one(spark, tmp_path):
     assert set(_accounts(out)) == {"y"}
 
 
+def test_the_folder_column_must_be_new(spark, tmp_path):
+    with pytest.raises(ValueError, match="folder column"):
+        export_by_key(spark.createDataFrame([("a",)], "key string"), "key", str(tmp_path / "out"))
+
+
 def test_empty_export(spark, tmp_path):
     export_by_key(spark.createDataFrame([(1, None)], "id int, account string"), "account", str(tmp_path / "out"))
     assert _accounts(str(tmp_path / "out")) == {}

@@ -1,6 +1,6 @@
 """Runs the daily job: ``spark-submit`` this package with a JSON config file.
 
-    --config PATH --load_type init|snapshot [--run_date yyyy-mm-dd]
+    --config PATH --load_type init|snapshot [--run_date yyyy-mm-dd] [--shuffle_bytes N]
 
 The config names ``source`` (``format``, ``options``), ``target``, ``snapshots``,
 ``primary_keys``, ``select_columns``, ``string_columns`` and, if they differ from the
@@ -45,9 +45,10 @@ def main() -> None:
     parser.add_argument("--config", required=True)
     parser.add_argument("--load_type", required=True, choices=("init", "snapshot"))
     parser.add_argument("--run_date", type=date.fromisoformat, help="yesterday, if not given")
+    parser.add_argument("--shuffle_bytes", type=int, help="size of the largest shuffle to expect")
     args = parser.parse_args()
     now = datetime.now(timezone.utc)
-    spark = build_session()
+    spark = build_session(shuffle_bytes=args.shuffle_bytes)
     config = json.loads(spark.read.option("wholetext", True).text(args.config).first()[0])
     run(spark, config, args.load_type, args.run_date or now.date() - timedelta(days=1), now)
     spark.stop()

@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
+# Shuffled bytes that one task takes on.
+PARTITION_BYTES = 200 * 1024 * 1024
+
+
+def build_session(
+    app: str = "tidemark", master: str | None = None, shuffle_bytes: int | None = None, **conf: str
+) -> SparkSession:
     """A session in UTC with adaptive execution; ANSI mode stays at Spark's default (on).
 
-    The number of shuffle partitions is left to the cluster: adaptive execution
-    merges small ones and splits skewed ones, so only the upper bound matters.
+    ``shuffle_bytes`` is the size of the largest shuffle to expect, such as two snapshots of
+    the largest table. It sets how many partitions shuffles start with; adaptive execution
+    merges those that stay small and splits skewed ones, but never adds any, so the default
+    of 200 is far too few for a very large table.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -21,6 +30,9 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
     )
+    if shuffle_bytes:
+        partitions = max(200, math.ceil(shuffle_bytes / PARTITION_BYTES))
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
     if master:
         builder = builder.master(master)
     for key, value in conf.items():

@@ -45,6 +45,8 @@ def export_by_key(
     task, even if its rows are all alike; every other key stays one file. Rows of a file
     are in the order of ``order_by``.
     """
+    if folder in df.columns:
+        raise ValueError(f"the table has a column {folder!r} already: name another folder column")
     spark = df.sparkSession
     rows = df.filter(F.col(key).isNotNull())
     # Only keys above the cap are kept: at most rows / max_records of them. Stored, so that
