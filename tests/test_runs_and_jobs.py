@@ -199,7 +199,7 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
 
 
 def test_job_config(spark, tmp_path):
-    from tidemark.__main__ import run
+    from tidemark.__main__ import read_config, run
 
     at = datetime(2024, 1, 1, 6)
     config = {
@@ -210,9 +210,12 @@ def test_job_config(spark, tmp_path):
         "select_columns": ["k", "v"],
         "string_columns": ["v"],
     }
-    _source(spark, [(1, "a"), (2, "b")], at).write.parquet(str(tmp_path / "src"))
+    (tmp_path / "job.json").write_text(json.dumps(config, indent=2))
+    config = read_config(spark, str(tmp_path / "job.json"))
+    # This source has no audit columns of its own.
+    spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string").write.parquet(str(tmp_path / "src"))
     run(spark, config, "init", D1, at)
-    _source(spark, [(1, "A")], at).write.mode("overwrite").parquet(str(tmp_path / "src"))
+    spark.createDataFrame([(1, "A")], "k int, v string").write.mode("overwrite").parquet(str(tmp_path / "src"))
     got = run(spark, config, "snapshot", D2, at + timedelta(days=1))
     assert [(r.k, r.v, r.load_date) for r in got.collect()] == [(1, "A", D2)]
     with pytest.raises(ValueError, match="load_type"):

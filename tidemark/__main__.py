@@ -15,16 +15,21 @@ from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans.daily import daily_snapshot, initial_load
+from tidemark.plans.daily import AUDIT_COLUMNS, daily_snapshot, initial_load
 from tidemark.session import build_session
 from tidemark.sources.tables import read_table
 
 
+def read_config(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
+
+
 def run(spark: SparkSession, config: dict, load_type: str, run_date: date, at: datetime) -> DataFrame:
     source = read_table(spark, config["source"]["format"], config["source"].get("options", {}))
     target, snapshots, strings = config["target"], config["snapshots"], config["string_columns"]
+    audit = tuple(config.get("audit_columns", AUDIT_COLUMNS))
     if load_type == "init":
-        return initial_load(source, target, snapshots, run_date, strings)
+        return initial_load(source, target, snapshots, run_date, strings, at, audit)
     if load_type != "snapshot":
         raise ValueError(f"load_type must be init or snapshot, not {load_type!r}")
     return daily_snapshot(
@@ -36,7 +41,7 @@ def run(spark: SparkSession, config: dict, load_type: str, run_date: date, at: d
         config["select_columns"],
         strings,
         at,
-        tuple(config.get("audit_columns", ("load_ts", "load_date"))),
+        audit,
     )
 
 
@@ -49,8 +54,7 @@ def main() -> None:
     args = parser.parse_args()
     now = datetime.now(timezone.utc)
     spark = build_session(shuffle_bytes=args.shuffle_bytes)
-    config = json.loads(spark.read.option("wholetext", True).text(args.config).first()[0])
-    run(spark, config, args.load_type, args.run_date or now.date() - timedelta(days=1), now)
+    run(spark, read_config(spark, args.config), args.load_type, args.run_date or now.date() - timedelta(days=1), now)
     spark.stop()
 
 

@@ -19,13 +19,29 @@ from tidemark.sources.tables import (
 )
 
 
+# Run time and run day of a row's last change.
+AUDIT_COLUMNS = ("load_ts", "load_date")
+
+
 def initial_load(
-    source: DataFrame, target: str, root: str, run_date: date, strings: Sequence[str], keep: int = 2
+    source: DataFrame,
+    target: str,
+    root: str,
+    run_date: date,
+    strings: Sequence[str],
+    at: datetime | None = None,
+    audit: tuple[str, str] = AUDIT_COLUMNS,
+    keep: int = 2,
 ) -> DataFrame:
-    """First run: the whole source becomes the first snapshot and the first target version."""
+    """First run: the whole source becomes the first snapshot and the first target version.
+
+    Give ``at`` where the source does not bring the audit columns itself.
+    """
     clean = strip_nul(require_rows(source), strings)
-    snapshot = write_snapshot(clean, root, run_date)
-    loaded = write_snapshot(snapshot, target, run_date)
+    rows = write_snapshot(clean, root, run_date)
+    if at is not None and not set(audit) <= set(rows.columns):
+        rows = add_audit_columns(rows, at, *audit)
+    loaded = write_snapshot(rows, target, run_date)
     drop_old_snapshots(source.sparkSession, root, keep)
     return loaded
 
@@ -39,7 +55,7 @@ def daily_snapshot(
     compare: Sequence[str],
     strings: Sequence[str],
     at: datetime,
-    audit: tuple[str, str] = ("load_ts", "load_date"),
+    audit: tuple[str, str] = AUDIT_COLUMNS,
     publish: Callable[[DataFrame, DataFrame], None] | None = None,
     keep: int = 2,
 ) -> DataFrame:
@@ -47,8 +63,8 @@ def daily_snapshot(
 
     ``target`` holds dated versions, like the snapshots: Parquet has no MERGE, so the
     merge writes a new version beside the one it reads, and its success marker makes it
-    the current one. ``compare`` leaves out the audit columns, which are set on changed
-    rows only. ``publish(delta, deleted_keys)`` also hands the changes to a serving
+    the current one. It has the ``compare`` columns, which must include the keys, and the
+    audit columns, which are set on changed rows only. ``publish(delta, deleted_keys)`` also hands the changes to a serving
     database, for example with the sinks of ``sources.jdbc``.
     """
     spark = source.sparkSession
