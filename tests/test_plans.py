@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import queries
-from tidemark.operators import files, runs, snapshots
+from tidemark.operators import files, lookups, runs, snapshots
 from tidemark.sources.files import list_files
 from tidemark.sources.tables import read_table
 
@@ -131,3 +131,34 @@ def test_hot_run_groups_are_split(skewed):
     grouped = runs.run_groups(steps)
     assert_split(grouped)
     assert grouped.filter("seq = 0").select("group_size").distinct().first()[0] == 20_000
+
+
+def test_hot_codes_are_split_when_the_code_list_is_long(spark, skewed):
+    table = skewed.select(F.lit(1).alias("id"), F.col("hot").cast("string").alias("code"), F.col("id").alias("row"))
+    codes = skewed.filter("hot = id").select(
+        F.lit(1).alias("id"), F.col("id").cast("string").alias("value"), F.concat(F.lit("t"), "id").alias("text")
+    )
+    found = lookups.state(table, "code", "found", lookups.checked(codes, limit=0))
+    assert_split(found)
+    assert found.count() == 60_000 and found.filter("found IS NULL").isEmpty()
+
+
+def test_hot_dependencies_are_split(spark, skewed):
+    """All steps wait for one of a few others; a third of them for the same."""
+    steps = skewed.select(
+        F.col("id").alias("step_id"),
+        F.concat(F.lit("s"), "id").alias("name"),
+        F.lit('{"dependency_check": "true"}').alias("info"),
+        F.concat(F.lit("s"), "hot").alias("depends_on"),
+    )
+    log = skewed.select(
+        F.col("id").alias("step_id"),
+        F.lit(date(2024, 1, 1)).alias("batch_dt"),
+        F.when(F.col("id") == 0, "COMPLETED").otherwise("START").alias("status"),
+        F.lit(None).cast("long").alias("rows"),
+        F.lit(None).cast("string").alias("message"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("ts"),
+    )
+    ready = runs.run_ready(steps, log)
+    assert_split(ready)
+    assert ready.count() == 19_999

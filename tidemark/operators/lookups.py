@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A code list is sent to every executor only below this measured size.
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 16 * 1024 * 1024
 _ROW_BYTES = 64
 
 

@@ -13,6 +13,7 @@ from tidemark.sources.export import unload
 
 log = logging.getLogger(__name__)
 
+# Option names of an unload.
 _OPTIONS = (
     "delimiter",
     "header",
