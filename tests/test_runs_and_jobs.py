@@ -257,3 +257,18 @@ def test_export_reports(spark, tmp_path):
     payloads = [json.loads(r.payload) for r in report_payloads(spark, folders["Sales"], "Sales_Report_02_2024", date(2024, 3, 31)).collect()]
     assert sorted(p["account_id"] + p["report_name"] for p in payloads) == ["0N0", "1N1"]
     assert {(p["report_type"], p["report_date"]) for p in payloads} == {("SalesReport02", "02-2024")}
+
+
+def test_a_run_that_failed_half_way_is_run_again(spark, tmp_path):
+    _first(spark, tmp_path, [(1, "a"), (2, "b")], D1)
+
+    def fail(*args):
+        raise RuntimeError("database is down")
+
+    with pytest.raises(RuntimeError):
+        _run(spark, tmp_path, [(1, "A")], D2, publish=fail)
+    # The snapshot of the day is there, but the target is as it was.
+    assert storage.snapshot_dates(spark, str(tmp_path / "pre")) == [D1, D2]
+    assert current_version(spark, str(tmp_path / "gold")).count() == 2
+    got = _run(spark, tmp_path, [(1, "A")], D2)
+    assert [(r.k, r.v, r.load_date) for r in got.collect()] == [(1, "A", D2)]

@@ -124,3 +124,23 @@ def test_folding_keeps_the_table_and_late_changes(spark, lake):
     lake.run()
     fold_changes(spark, lake.target, lake.schema, ["id"])
     assert lake.table() == [(1, "a3"), (2, "back"), (3, "c")]
+
+
+def test_a_failed_batch_is_run_again(spark, lake, monkeypatch):
+    from tidemark.streaming import cdc
+
+    lake.land((1, "x", "U", 1))
+    lake.run(START, full=lake.full((1, "a")))
+    lake.land((1, "y", "U", 2), (2, "b", "I", 1))
+
+    def fail(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(cdc, "last_changes", fail)
+        with pytest.raises(Exception, match="lost"):
+            lake.run()
+    assert lake.table() == [(1, "x")]
+    lake.run()
+    assert lake.table() == [(1, "y"), (2, "b")]
+    assert stored_changes(spark, f"{lake.target}/gen-0001", lake.schema).count() == 3

@@ -38,9 +38,11 @@ def run_latest_status(log: DataFrame) -> DataFrame:
 
 
 def run_completed(log: DataFrame, steps: DataFrame) -> DataFrame:
-    """The tables whose newest status is COMPLETED, one row per batch date and table."""
+    """The tables whose newest status is COMPLETED, one row per batch date and table. A step
+    that is no longer configured has no name."""
     done = run_latest_status(log).filter(F.col("status") == COMPLETED)
-    return done.join(steps.select("step_id", "name"), "step_id").select("batch_dt", F.col("name").alias("table_name"))
+    named = done.join(steps.select("step_id", "name"), "step_id", "left")
+    return named.select("batch_dt", F.col("name").alias("table_name"))
 
 
 def run_ready(steps: DataFrame, log: DataFrame) -> DataFrame:

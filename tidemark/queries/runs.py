@@ -83,7 +83,7 @@ def _latest(t: Tables) -> DataFrame:
 @query(
     "run_completed",
     f"""WITH {_LOG}, {_STEPS}, {_NEWEST}
-SELECT batch_dt, name AS table_name FROM newest JOIN steps USING (step_id) WHERE status = 'COMPLETED'""",
+SELECT batch_dt, name AS table_name FROM newest LEFT JOIN steps USING (step_id) WHERE status = 'COMPLETED'""",
     text=["batch_dt"],
 )
 def _completed(t: Tables) -> DataFrame:
