@@ -2,9 +2,22 @@
 
 from __future__ import annotations
 
+from tidemark.llm.decontamination import OP5_SQL, op5_decontamination
 from tidemark.llm.packing import op3_packing
+from tidemark.llm.quality import OP8_SQL, op8_quality
 from tidemark.llm.sharding import op2_sharding
 from tidemark.llm.token_files import op4_token_files
+from tidemark.llm.toxicity import op6_toxicity
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op3_packing, op4_token_files)}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_sharding,
+        op3_packing,
+        op4_token_files,
+        op5_decontamination,
+        op6_toxicity,
+        op8_quality,
+    )
+}
+ORACLES: dict[str, str] = {"op5_decontamination": OP5_SQL, "op8_quality": OP8_SQL}
