@@ -6,12 +6,14 @@ from tidemark.llm.decontamination import OP5_SQL, op5_decontamination
 from tidemark.llm.packing import op3_packing
 from tidemark.llm.quality import OP8_SQL, op8_quality
 from tidemark.llm.sharding import op2_sharding
+from tidemark.llm.suffix_dedup import op1_suffix_dedup
 from tidemark.llm.token_files import op4_token_files
 from tidemark.llm.toxicity import op6_toxicity
 
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_suffix_dedup,
         op2_sharding,
         op3_packing,
         op4_token_files,
