@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm.decontamination import OP5_SQL, op5_decontamination
+from tidemark.llm.near_dedup import op7_near_dedup
 from tidemark.llm.packing import op3_packing
 from tidemark.llm.quality import OP8_SQL, op8_quality
 from tidemark.llm.sharding import op2_sharding
@@ -19,6 +20,7 @@ QUERIES = {
         op4_token_files,
         op5_decontamination,
         op6_toxicity,
+        op7_near_dedup,
         op8_quality,
     )
 }
