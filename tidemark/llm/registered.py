@@ -6,6 +6,7 @@ from tidemark.llm.decontamination import OP5_SQL, op5_decontamination
 from tidemark.llm.near_dedup import op7_near_dedup
 from tidemark.llm.packing import op3_packing
 from tidemark.llm.quality import OP8_SQL, op8_quality
+from tidemark.llm.secret_scan import op9_secret_scan
 from tidemark.llm.sharding import op2_sharding
 from tidemark.llm.suffix_dedup import op1_suffix_dedup
 from tidemark.llm.token_files import op4_token_files
@@ -22,6 +23,7 @@ QUERIES = {
         op6_toxicity,
         op7_near_dedup,
         op8_quality,
+        op9_secret_scan,
     )
 }
 ORACLES: dict[str, str] = {"op5_decontamination": OP5_SQL, "op8_quality": OP8_SQL}
