@@ -38,7 +38,7 @@ BINS = 128
 BANDS = 32
 # Bins that must agree before two sets are compared; 4.9 standard deviations below 80 percent.
 AGREE = 80
-# Centres per bucket of the rounds after the first.
+# Half the centres that a bucket is expected to draw, for each round after the first.
 CENTRES = (4, 12)
 
 _RANK = np.uint64(53)  # bits of a shingle's hash; the rest of a sort key holds its row
@@ -97,9 +97,11 @@ def band_keys(signature: np.ndarray, bands: int) -> np.ndarray:
     return key
 
 
-def describe(docs: DataFrame, size: int, id_column: str, text_column: str) -> DataFrame:
-    """Per row: ``n`` shingles, ``node`` (null for an empty set), signature bytes, bucket keys."""
-    named = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
+def describe(docs: DataFrame, size: int, id_column: str, text_column: str, keep: list[str] = ()) -> DataFrame:
+    """Per row: ``n`` shingles, ``node`` (null for an empty set), signature bytes, bucket keys, and
+    the columns to keep, which are numbers."""
+    keep = list(keep)
+    named = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), *keep)
     kind = named.schema["doc_id"].dataType.simpleString()
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -120,10 +122,11 @@ def describe(docs: DataFrame, size: int, id_column: str, text_column: str) -> Da
                     keys[row] = found
             columns = [batch.column(0)[lo:hi], pa.array(n, pa.int64()), pa.array(node, pa.int64())]
             columns += [pa.array(sketch, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "node", "sketch", "keys"])
+            columns += [batch.column(k)[lo:hi] for k in range(2, 2 + len(keep))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "node", "sketch", "keys", *keep])
 
     schema = f"doc_id {kind}, n long, node long, sketch binary, keys array<long>"
-    return map_arrow(named, ["doc_id", "text"], work, schema)
+    return map_arrow(named, ["doc_id", "text", *keep], work, ", ".join([schema, *(f"{c} long" for c in keep)]))
 
 
 def _full_sets(docs: DataFrame, nodes: DataFrame, size: int, id_column: str, text_column: str) -> DataFrame:
@@ -261,5 +264,24 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, id_column: str = "doc_
     )
 
 
+def keep_one(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """One row of each group of near duplicates, all columns: that with the least id, and one of
+    several rows with that id and text. Texts without a word are no duplicates of others."""
+    text = F.coalesce("text", F.lit(""))
+    marks = {"mark_1": F.xxhash64(text), "mark_2": F.xxhash64(F.lit(1), text)}
+    described = stored(describe(docs.withColumns(marks), size, "doc_id", "text", list(marks)), "signatures")
+    labels, _ = near_links(docs, described, size, "doc_id", "text")
+    rows = described.select("doc_id", *marks, "node").join(labels, "node", "left")
+    alone = F.col("node").isNull()
+    group = [F.coalesce("component", "node").alias("g"), *(F.when(alone, F.col(c)).alias(f"g_{c}") for c in ("doc_id", *marks))]
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *marks))
+    kept = rows.groupBy(*group).agg(first.alias("k"))
+    kept = stored(kept.select(F.col("k.doc_id").alias("kept_id"), F.col("k.mark_1").alias("k1"), F.col("k.mark_2").alias("k2")), "kept")
+    packed = docs.select(F.struct(*docs.columns).alias("whole_row"), F.col("doc_id").alias("kept_id"), marks["mark_1"].alias("k1"), marks["mark_2"].alias("k2"))
+    same = F.col("p.kept_id").eqNullSafe(F.col("q.kept_id")) & (F.col("p.k1") == F.col("q.k1")) & (F.col("p.k2") == F.col("q.k2"))
+    found = packed.alias("p").join(kept.alias("q"), same, "left_semi").dropDuplicates(["kept_id", "k1", "k2"])
+    return found.select(*(F.col(f"whole_row.{c}").alias(c) for c in docs.columns))
+
+
 def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{folder}/documents.parquet"))

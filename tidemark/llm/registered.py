@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidemark.llm.decontamination import OP5_SQL, op5_decontamination
 from tidemark.llm.near_dedup import op7_near_dedup
 from tidemark.llm.packing import op3_packing
+from tidemark.llm.pii import op10_pii
 from tidemark.llm.quality import OP8_SQL, op8_quality
 from tidemark.llm.secret_scan import op9_secret_scan
 from tidemark.llm.sharding import op2_sharding
@@ -24,6 +25,7 @@ QUERIES = {
         op7_near_dedup,
         op8_quality,
         op9_secret_scan,
+        op10_pii,
     )
 }
 ORACLES: dict[str, str] = {"op5_decontamination": OP5_SQL, "op8_quality": OP8_SQL}
