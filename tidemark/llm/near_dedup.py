@@ -39,7 +39,7 @@ BANDS = 32
 # Bins that must agree before two sets are compared; 4.9 standard deviations below 80 percent.
 AGREE = 80
 # Half the centres that a bucket is expected to draw, for each round after the first.
-CENTRES = (4, 12)
+CENTRES = (4,)
 
 _RANK = np.uint64(53)  # bits of a shingle's hash; the rest of a sort key holds its row
 _WORD = np.ones(256, bool)
