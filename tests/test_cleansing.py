@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import cleansing as c
 from tidemark.operators import cleansing, lookups
 
+from tidemark.operators.cleansing import clean_date_suffix  # noqa: E402
+
 
 def one(spark, values, clean):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
@@ -215,3 +217,12 @@ def test_rule_lists_are_one_projection(spark):
     ]
     plan = cleansing.apply_rules(df, rules)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Project") == 1
+
+
+def test_dates_of_typed_columns(spark):
+    row = spark.sql(
+        "SELECT timestamp'2024-01-05 10:11:12' AS a_dt, timestamp_ntz'2023-02-03 00:00:00' AS b_dt, date'2022-03-04' AS c_dt,"
+        " CAST(NULL AS timestamp) AS d_dt"
+    )
+    got = clean_date_suffix(row, ["_dt"]).first()
+    assert (got.c_a_dt, got.c_b_dt, got.c_c_dt, got.c_d_dt) == ("2024-01-05", "2023-02-03", "2022-03-04", "1900-01-01")

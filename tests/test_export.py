@@ -33,9 +33,10 @@ def test_export_splits_only_the_hot_account(spark, tmp_path):
         .alias("account"),
     )
     out = str(tmp_path / "out")
-    export_by_key(df, "account", out, max_records=500)
+    export_by_key(df, "account", out, max_size_mb=0.0055)
     counts = _accounts(out)
-    assert sum(counts["hot"]) == 1000 and len(counts["hot"]) >= 2 and max(counts["hot"]) <= 500
+    assert sum(counts["hot"]) == 1000 and len(counts["hot"]) >= 2
+    assert all(os.path.getsize(p) <= 0.0055 * 1024 * 1024 for p in glob.glob(f"{out}/key=hot/*.csv"))
     others = {k: v for k, v in counts.items() if k != "hot"}
     assert all(len(v) == 1 for v in others.values())
     # Rows without an account are left out, every other row is there.
@@ -46,7 +47,7 @@ def test_export_splits_an_account_whose_rows_are_all_alike(spark, tmp_path, monk
     df = spark.range(0, 4000, 1, 16).select(F.lit(7).alias("id"), F.lit("copies").alias("account"))
     out = str(tmp_path / "out")
     monkeypatch.setattr(export, "FILES_PER_TASK", 1)
-    export_by_key(df, "account", out, max_records=500)
+    export_by_key(df, "account", out, max_size_mb=0.0055)
     # The task number is part of the file name.
     parts = {os.path.basename(p).split("-")[1] for p in glob.glob(f"{out}/key=copies/*.csv")}
     assert len(parts) > 2 and sum(_accounts(out)["copies"]) == 4000
@@ -54,18 +55,18 @@ def test_export_splits_an_account_whose_rows_are_all_alike(spark, tmp_path, monk
 
 def test_export_replaces_an_older_one(spark, tmp_path):
     out = str(tmp_path / "out")
-    export_by_key(spark.createDataFrame([(1, "x")], "id int, account string"), "account", out)
-    export_by_key(spark.createDataFrame([(1, "y")], "id int, account string"), "account", out)
+    export_by_key(spark.createDataFrame([(1, "x")], "id int, account string"), "account", out, 1)
+    export_by_key(spark.createDataFrame([(1, "y")], "id int, account string"), "account", out, 1)
     assert set(_accounts(out)) == {"y"}
 
 
 def test_the_folder_column_must_be_new(spark, tmp_path):
     with pytest.raises(ValueError, match="folder column"):
-        export_by_key(spark.createDataFrame([("a",)], "key string"), "key", str(tmp_path / "out"))
+        export_by_key(spark.createDataFrame([("a",)], "key string"), "key", str(tmp_path / "out"), 1)
 
 
 def test_empty_export(spark, tmp_path):
-    export_by_key(spark.createDataFrame([(1, None)], "id int, account string"), "account", str(tmp_path / "out"))
+    export_by_key(spark.createDataFrame([(1, None)], "id int, account string"), "account", str(tmp_path / "out"), 1)
     assert _accounts(str(tmp_path / "out")) == {}
 
 
@@ -114,13 +115,13 @@ def test_unload_threshold_and_single_file_bound(spark, tmp_path):
     assert len(glob.glob(str(tmp_path / "a" / "*.parquet"))) == 3
     assert unload(df, str(tmp_path / "b"), "csv", parallel="OFF") == 1500
     assert len(glob.glob(str(tmp_path / "b" / "*.csv"))) == 1
-    assert unload(df, str(tmp_path / "c"), "csv", parallel="OFF", single_file_rows=600) == 1500
-    assert len(glob.glob(str(tmp_path / "c" / "*.csv"))) == 3
+    assert unload(df.limit(2), str(tmp_path / "c"), "csv", parallel="OFF") == 2
+    assert len(glob.glob(str(tmp_path / "c" / "*.csv"))) == 1
 
 
 def test_unload_in_order(spark, tmp_path):
     df = spark.range(1000).withColumn("v", (F.col("id") * 7919) % 1000)
-    unload(df, str(tmp_path / "o"), order_by=["v"], parallel="OFF", single_file_rows=300)
+    unload(df, str(tmp_path / "o"), order_by=["v"])
     last = -1
     for path in sorted(glob.glob(str(tmp_path / "o" / "*.csv"))):
         values = [int(line.split(",")[1]) for line in open(path)]
@@ -150,16 +151,18 @@ def test_manifest_lists_what_was_written(spark, tmp_path):
     assert sorted(os.path.basename(u) for u in urls) == sorted(
         os.path.basename(p) for p in glob.glob(f"{out}/*.parquet")
     )
-    (part,) = glob.glob(f"{out}_manifest/*.json")
+    part = glob.glob(f"{out}_manifest/*.json")[0]
     entry = json.loads(open(part).readline())["entries"][0]
     assert set(entry) == {"url", "length"} and entry["length"] > 0
 
 
-def test_a_long_manifest_has_several_documents(spark, tmp_path):
+def test_a_manifest_has_one_form_at_every_size(spark, tmp_path):
     files = spark.range(1000).select(F.concat(F.lit("f/"), "id").alias("path"), F.col("id").alias("length"))
-    write_manifest(files, str(tmp_path / "m"), entries=100)
-    assert spark.read.json(str(tmp_path / "m")).count() == 10
-    assert sorted(read_manifest(spark, str(tmp_path / "m"))) == sorted(f"f/{i}" for i in range(1000))
+    files = files.limit(40)
+    write_manifest(files, str(tmp_path / "m"))
+    write_manifest(files.limit(2), str(tmp_path / "few"))
+    assert spark.read.json(str(tmp_path / "m")).count() == 40 and spark.read.json(str(tmp_path / "few")).count() == 2
+    assert sorted(read_manifest(spark, str(tmp_path / "m"))) == sorted(f"f/{i}" for i in range(40))
 
 
 def test_loads(spark, tmp_path):
@@ -194,3 +197,19 @@ def test_rejects(spark, tmp_path):
     write_rejects(bad.limit(0), str(tmp_path), "r2")
     assert has_rejects(spark, str(tmp_path), "r1") and not has_rejects(spark, str(tmp_path), "r2")
     assert not has_rejects(spark, str(tmp_path), "never ran")
+
+
+def test_export_caps_bytes_and_names_an_empty_key(spark, tmp_path):
+    wide = spark.range(0, 40, 1, 4).select("id", F.repeat(F.lit("x"), 10_000).alias("body"), F.lit("").alias("account"))
+    out = str(tmp_path / "out")
+    export_by_key(wide, "account", out, max_size_mb=0.1)
+    files = glob.glob(f"{out}/key={export.EMPTY_KEY}/*.csv")
+    assert 4 <= len(files) <= 6
+    assert sum(1 for f in files for _ in open(f)) == 40 + len(files)
+
+
+def test_copies_with_nested_columns_spread(spark):
+    from tidemark.functions.spread import spread
+
+    df = spark.range(100).select(F.lit(1).alias("k"), F.struct("id").alias("s"), F.array("id").alias("a"))
+    assert df.select(spread(df).alias("n")).distinct().count() == 100

@@ -251,7 +251,7 @@ def test_export_reports(spark, tmp_path):
         "None": "SELECT id, 'x' AS name, id AS accountid FROM range(0)",
     }
     folders = export_reports(
-        spark, queries, str(tmp_path), "lake/report_name/report_name_Report_dd_yyyy", date(2024, 3, 31), order_by=["id"]
+        spark, queries, str(tmp_path), "lake/report_name/report_name_Report_dd_yyyy", date(2024, 3, 31), 512, order_by=["id"]
     )
     assert folders == {"Sales": f"{tmp_path}/lake/Sales/Sales_Report_02_2024"}
     payloads = [json.loads(r.payload) for r in report_payloads(spark, folders["Sales"], "Sales_Report_02_2024", date(2024, 3, 31)).collect()]
@@ -272,3 +272,64 @@ def test_a_run_that_failed_half_way_is_run_again(spark, tmp_path):
     assert current_version(spark, str(tmp_path / "gold")).count() == 2
     got = _run(spark, tmp_path, [(1, "A")], D2)
     assert [(r.k, r.v, r.load_date) for r in got.collect()] == [(1, "A", D2)]
+
+
+def test_a_scheduled_step_that_never_started_is_ready(spark):
+    steps = spark.createDataFrame(
+        [(1, "t1", None, None), (2, "t2", "t1", '{"dependency_check": "TRUE"}'), (3, "t3", "t2", '{"dependency_check": "TRUE"}')],
+        "step_id long, name string, depends_on string, info string",
+    )
+    log = spark.createDataFrame(
+        [(1, D1, "COMPLETED", datetime(2024, 1, 1))], "step_id long, batch_dt date, status string, ts timestamp"
+    )
+    schedule = spark.createDataFrame([(1, D1), (2, D1), (3, D1)], "step_id long, batch_dt date")
+    ready = runs.run_ready(steps, log, schedule)
+    assert [(r.step_id, r.batch_dt) for r in ready.collect()] == [(2, D1)]
+    assert runs.run_ready(steps, log).collect() == []
+    plan = ready._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_two_steps_of_one_name_are_an_error(spark):
+    steps = spark.createDataFrame(
+        [(1, "t1", None, None), (9, "t1", None, None), (2, "t2", "t1", "{}")],
+        "step_id long, name string, depends_on string, info string",
+    )
+    log = spark.createDataFrame(
+        [(2, D1, "FAILED", datetime(2024, 1, 1))], "step_id long, batch_dt date, status string, ts timestamp"
+    )
+    with pytest.raises(Exception, match="two steps are named"):
+        runs.run_ready(steps, log).collect()
+
+
+def test_report_names_with_line_breaks(spark, tmp_path):
+    from tidemark.plans.reports import report_payloads
+    from tidemark.sources.export import export_by_key
+
+    rows = spark.createDataFrame([(1, "Line\nbreak", 7)], "id int, report_name string, account_id int")
+    export_by_key(rows, "account_id", str(tmp_path / "r"), 512)
+    (payload,) = report_payloads(spark, str(tmp_path / "r"), "Sales_Report_02_2024", date(2024, 3, 31)).collect()
+    got = json.loads(payload.payload)
+    assert (got["account_id"], got["report_name"]) == ("7", "Linebreak")
+
+
+def test_scratch_without_a_checkpoint_folder_is_in_the_warehouse(spark, monkeypatch):
+    from tidemark import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.sql.warehouse.dir": "file:/w"}.get(key, default)
+
+    class Context:
+        master = "local[4]"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    assert session.scratch_dir(Session(), "x").startswith("file:/w/tidemark/x-")
+    Context.master = "spark://host:7077"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_dir(Session(), "x")

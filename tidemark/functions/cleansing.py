@@ -49,9 +49,11 @@ def date_text(c: Column) -> Column:
 
     A value's separators already tell which formats it can have, so each value is
     parsed once (or twice) instead of once per format: failed parses are the cost.
-    A sign may open the year, hence the dash is looked for from the second character.
+    A sign may open the year, hence the dash is looked for from the second character. A date
+    or timestamp column is not parsed: its day is taken as it is.
     """
     text = c.cast("string")
+    typed = F.typeof(c).isin("date", "timestamp", "timestamp_ntz")
     month_named = F.coalesce(
         F.try_to_date(text, DATE_MONTH_NAME),
         F.try_to_date(F.nullif(F.regexp_extract(text, DATE_MONTH_NAME_WEEKDAY, 1), F.lit("")), DATE_MONTH_NAME),
@@ -65,7 +67,8 @@ def date_text(c: Column) -> Column:
         .when(F.contains(F.substr(text, F.lit(2)), F.lit("-")), F.try_to_date(text, DATE_DASHED))
         .otherwise(F.try_to_date(text, DATE_COMPACT))
     )
-    return F.coalesce(parsed.cast("string"), F.lit(DATE_DEFAULT))
+    day = F.when(typed, F.split_part(text, F.lit(" "), F.lit(1))).otherwise(parsed.cast("string"))
+    return F.coalesce(day, F.lit(DATE_DEFAULT))
 
 
 def first_name(c: Column) -> Column:

@@ -15,5 +15,13 @@ def spread(df: DataFrame) -> Column:
     again after a lost executor places its rows as before; random or running numbers
     would not.
     """
-    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.StructType, T.ArrayType))]
-    return F.xxhash64(*plain, F.spark_partition_id())
+    return F.xxhash64(*(f.name for f in df.schema.fields if not _has_map(f.dataType)), F.spark_partition_id())
+
+
+def _has_map(kind: T.DataType) -> bool:
+    """Maps have no hash, wherever they stand in a type."""
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType)

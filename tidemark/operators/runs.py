@@ -45,19 +45,36 @@ def run_completed(log: DataFrame, steps: DataFrame) -> DataFrame:
     return named.select("batch_dt", F.col("name").alias("table_name"))
 
 
-def run_ready(steps: DataFrame, log: DataFrame) -> DataFrame:
+def run_ready(steps: DataFrame, log: DataFrame, schedule: DataFrame | None = None) -> DataFrame:
     """Unfinished (step, batch date) pairs that may start: the step has no dependency, does
-    not check it, or its dependency is COMPLETED for that batch date."""
+    not check it, or its dependency is COMPLETED for that batch date.
+
+    ``schedule`` (step_id, batch_dt) names the pairs that are to run, also those that have never
+    started and so are not in the log; pairs of the log count in any case. Two steps of one name
+    are an error.
+    """
     newest = run_latest_status(log)
+    pending = newest.filter("to_run").select("step_id", "batch_dt")
+    if schedule is not None:
+        due = schedule.select(F.col("step_id").alias("_s"), F.col("batch_dt").alias("_d")).distinct()
+        started = F.col("_s").eqNullSafe(F.col("step_id")) & F.col("_d").eqNullSafe(F.col("batch_dt"))
+        never = due.join(newest, started, "left_anti").select(F.col("_s").alias("step_id"), F.col("_d").alias("batch_dt"))
+        pending = pending.unionByName(never)
     done = newest.filter(F.col("status") == COMPLETED).select(
         F.col("step_id").alias("_dep_id"), F.col("batch_dt").alias("_dep_dt")
     ).filter(F.col("_dep_id").isNotNull())
-    names = steps.select(F.col("step_id").alias("_named_id"), F.col("name").alias("_named"))
+    repeated = F.raise_error(F.concat(F.lit("two steps are named "), F.col("name"))).cast("boolean")
+    names = (
+        steps.groupBy("name")
+        .agg(F.max("step_id").alias("_named_id"), F.count(F.lit(1)).alias("_same"))
+        .filter(F.when(F.col("name").isNotNull() & (F.col("_same") > 1), repeated).otherwise(True))
+        .select("_named_id", F.col("name").alias("_named"))
+    )
     checks = F.upper(F.get_json_object("info", "$.dependency_check")).eqNullSafe("TRUE")
     wanted = steps.select("step_id", "name", "depends_on", checks.alias("checks")).join(
         names, F.col("depends_on") == F.col("_named"), "left"
     )
-    pending = newest.filter("to_run").join(wanted, "step_id")
+    pending = pending.join(wanted, "step_id")
     joined = pending.join(
         # Null-safe so that a dependency which very many steps share can be split.
         done,

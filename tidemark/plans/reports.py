@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.reports import report_metadata, report_path, report_payload
-from tidemark.sources.export import MAX_RECORDS, export_by_key
+from tidemark.sources.export import export_by_key
 
 log = logging.getLogger(__name__)
 
@@ -26,8 +26,8 @@ def export_reports(
     root: str,
     template: str,
     as_of: date,
+    max_size_mb: float,
     account: str = "accountid",
-    max_records: int = MAX_RECORDS,
     order_by: Sequence[str] = (),
 ) -> dict[str, str]:
     """Exports each named query per account and returns the folders written.
@@ -42,7 +42,7 @@ def export_reports(
             log.info("report %s has no rows", name)
             continue
         out = f"{root.rstrip('/')}/{report_folder(spark, template, name, as_of)}"
-        export_by_key(rows, account, out, max_records, order_by=order_by)
+        export_by_key(rows, account, out, max_size_mb, order_by=order_by)
         written[name] = out
     return written
 
@@ -50,10 +50,11 @@ def export_reports(
 def read_report_files(spark: SparkSession, folder: str) -> DataFrame:
     """The rows of exported files as text, with ``file`` (path) and ``line`` (a rank in it).
 
-    A large file is read in blocks by several tasks; the block's start orders those.
+    Fields may hold line breaks, so a file is read whole by one task; the export's cap on a
+    file's size bounds that.
     """
     rows = (
-        spark.read.options(header=True, escape='"', recursiveFileLookup=True)
+        spark.read.options(header=True, escape='"', recursiveFileLookup=True, multiLine=True)
         .csv(folder)
         .select("*", "_metadata.file_path", "_metadata.file_block_start")
     )

@@ -92,6 +92,22 @@ def _date_suffix(t: Tables) -> DataFrame:
     return cleansing.clean_date_suffix(due.join(other, F.col("o_orderkey") == F.col("k")).drop("k"), ["_dt"])
 
 
+@query(
+    "clean_date_timestamp",
+    "SELECT event_id, ts, strftime(ts, '%Y-%m-%d') AS day FROM events",
+)
+def _date_timestamp(t: Tables) -> DataFrame:
+    return cleansing.apply_rules(t.events.select("event_id", "ts"), _rule("date", _map("ts", "day")))
+
+
+@query(
+    "clean_date_suffix_timestamp",
+    """SELECT o_orderkey, o_orderdate, strftime(o_orderdate, '%Y-%m-%d') AS c_o_orderdate FROM orders""",
+)
+def _date_suffix_timestamp(t: Tables) -> DataFrame:
+    return cleansing.clean_date_suffix(t.orders.select("o_orderkey", "o_orderdate"), ["date"])
+
+
 # Names with a second word that is long, one letter, empty or absent, and with other signs.
 _NAMES = """(SELECT p_partkey, p_brand, p_type,
   CASE WHEN p_type = 'ECONOMY' THEN p_name

@@ -18,7 +18,9 @@ def _read_csv(t: Tables, path: str, schema: T.StructType, **options) -> DataFram
 
 # One account holds a third of all rows, and those without an account are left out.
 _ACCOUNT = """CASE WHEN l_returnflag = 'A' THEN 0 WHEN l_tax > 0.07 THEN NULL ELSE l_suppkey + 1 END"""
-_CAP = 2000
+# In MB: below the size of the account that holds a third of all rows, above all others.
+_CAP = 0.1
+_SMALL_CAP = 0.01
 
 
 def account_lines(t: Tables) -> DataFrame:
@@ -30,19 +32,20 @@ def account_lines(t: Tables) -> DataFrame:
 def _export(t: Tables) -> DataFrame:
     out = f"{scratch_dir(t.spark, 'export')}/by-account"
     lines = account_lines(t)
-    export_by_key(lines, "account", out, max_records=_CAP)
+    export_by_key(lines, "account", out, max_size_mb=_CAP)
     return _read_csv(t, out, lines.schema, recursiveFileLookup=True)
 
 
 @query(
     "export_by_key_files",
-    f"""SELECT CAST(account AS VARCHAR) AS account, true AS headed, count(*) > {_CAP} AS split
-FROM (SELECT {_ACCOUNT} AS account FROM lineitem) WHERE account IS NOT NULL GROUP BY account""",
+    f"""SELECT CAST(account AS VARCHAR) AS account, true AS headed,
+  sum(length(concat_ws(',', account, l_orderkey, l_linenumber)) + 1) > {_SMALL_CAP} * 1024 * 1024 AS split
+FROM (SELECT {_ACCOUNT} AS account, l_orderkey, l_linenumber FROM lineitem) WHERE account IS NOT NULL GROUP BY account""",
 )
 def _export_files(t: Tables) -> DataFrame:
     """Per account: that it has files, and several of them only when it is above the cap."""
     out = f"{scratch_dir(t.spark, 'export')}/by-account"
-    export_by_key(account_lines(t).select("account", "l_orderkey", "l_linenumber"), "account", out, max_records=_CAP)
+    export_by_key(account_lines(t).select("account", "l_orderkey", "l_linenumber"), "account", out, max_size_mb=_SMALL_CAP)
     account = F.regexp_extract("path", "/key=([^/]*)/", 1).alias("account")
     return (
         list_files(t.spark, out)
@@ -75,10 +78,10 @@ def _csv(t: Tables) -> DataFrame:
 
 @query("unload_csv_text", "SELECT doc_id, text, lang FROM documents")
 def _csv_text(t: Tables) -> DataFrame:
-    """Whole texts, with their quotes and line ends, in one file."""
+    """Whole texts, with their quotes and line ends."""
     out = f"{scratch_dir(t.spark, 'unload')}/documents"
     documents = t.documents.select("doc_id", "text", "lang")
-    unload(documents, out, header=True, parallel="OFF")
+    unload(documents, out, header=True)
     return _read_csv(t, out, documents.schema, multiLine=True)
 
 
@@ -89,8 +92,8 @@ def _parquet(t: Tables) -> DataFrame:
     return t.spark.read.parquet(out)
 
 
-@query("unload_row_count", "SELECT count(*) AS rows_written FROM orders WHERE o_orderstatus = 'P'")
+@query("unload_row_count", "SELECT count(*) AS rows_written FROM orders")
 def _row_count(t: Tables) -> DataFrame:
     out = f"{scratch_dir(t.spark, 'unload')}/orders"
-    rows = unload(t.orders.filter(F.col("o_orderstatus") == "P"), out, "parquet")
+    rows = unload(t.orders, out, "parquet")
     return t.spark.range(1).select(F.lit(rows).cast("long").alias("rows_written"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import files as f
@@ -21,7 +21,7 @@ FROM customer GROUP BY 1""",
 )
 def _list(t: Tables) -> DataFrame:
     out = f"{scratch_dir(t.spark, 'list')}/by-nation"
-    export_by_key(t.customer, "c_nationkey", out)
+    export_by_key(t.customer, "c_nationkey", out, 512)
     nation = F.regexp_extract("path", "/key=([^/]*)/", 1).alias("nation")
     listed = list_files(t.spark, out, "*.csv")
     return listed.groupBy(nation).agg(F.count(F.lit(1)).alias("files"), F.every(F.col("length") > 0).alias("filled"))
@@ -105,29 +105,30 @@ def _normalize(t: Tables) -> DataFrame:
     return f.normalize_file_names(part_files(t))
 
 
-def _names(df: DataFrame, key: str) -> DataFrame:
-    return df.select(F.concat(F.lit("report_"), F.col(key).cast("string")).alias("name"))
+def _names(df: DataFrame, key: str, late: Column | None = None) -> DataFrame:
+    suffix = F.lit("") if late is None else F.when(late, "_late").otherwise("")
+    return df.select(F.concat(F.lit("report_"), F.col(key).cast("string"), suffix).alias("name"))
 
 
 @query(
     "files_reconcile",
     """SELECT coalesce(e.name, p.name) AS name, CAST(coalesce(e.n, 0) AS BIGINT) AS expected,
   CAST(coalesce(p.n, 0) AS BIGINT) AS present
-FROM (SELECT DISTINCT 'report_' || c_custkey AS name, 1 AS n FROM customer WHERE c_mktsegment <> 'BUILDING') e
-FULL JOIN (SELECT 'report_' || o_custkey AS name, count(*) AS n FROM orders
-           WHERE o_orderpriority = '1-URGENT' GROUP BY 1) p ON e.name = p.name
+FROM (SELECT DISTINCT 'report_' || c_custkey AS name, 1 AS n FROM customer) e
+FULL JOIN (SELECT 'report_' || o_custkey || CASE WHEN o_orderpriority = '1-URGENT' THEN '' ELSE '_late' END AS name,
+             count(*) AS n FROM orders GROUP BY 1) p ON e.name = p.name
 WHERE coalesce(e.n, 0) <> coalesce(p.n, 0)""",
 )
 def _reconcile(t: Tables) -> DataFrame:
-    expected = _names(t.customer.filter(F.col("c_mktsegment") != "BUILDING"), "c_custkey")
-    return f.files_reconcile(expected, _names(t.orders.filter(F.col("o_orderpriority") == "1-URGENT"), "o_custkey"))
+    present = _names(t.orders, "o_custkey", F.col("o_orderpriority") != "1-URGENT")
+    return f.files_reconcile(_names(t.customer, "c_custkey"), present)
 
 
 @query(
     "files_missing",
     """SELECT 'report_' || c_custkey AS name FROM customer
-EXCEPT SELECT 'report_' || o_custkey FROM orders WHERE o_orderstatus = 'F'""",
+EXCEPT SELECT 'report_' || o_custkey || CASE WHEN o_orderstatus = 'F' THEN '' ELSE '_late' END FROM orders""",
 )
 def _missing(t: Tables) -> DataFrame:
-    present = _names(t.orders.filter(F.col("o_orderstatus") == "F"), "o_custkey")
+    present = _names(t.orders, "o_custkey", F.col("o_orderstatus") != "F")
     return f.files_missing(_names(t.customer, "c_custkey"), present)

@@ -82,5 +82,19 @@ def _export(t: Tables) -> DataFrame:
     out = f"{scratch_dir(t.spark, 'report')}/nation"
     shown = F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_name")).alias("shown")
     rows = t.customer.select("c_custkey", shown, "c_acctbal", "c_nationkey")
-    export_by_key(rows, "c_nationkey", out, order_by=["c_custkey"])
+    export_by_key(rows, "c_nationkey", out, 512, order_by=["c_custkey"])
     return report_payloads(t.spark, out, "Nation_Customer_Report", date(2024, 6, 15)).select("payload")
+
+
+@query(
+    "report_export_text",
+    r"""SELECT CAST(to_json({'account_id': CASE WHEN coalesce(text, '') = '' THEN '' ELSE CAST(doc_id AS VARCHAR) END,
+  'report_name': regexp_replace(coalesce(text, ''), '[^\p{L}\p{N}]', '', 'g'),
+  'report_type': 'DocumentTextReport', 'report_date': '05-2024'}) AS VARCHAR) AS payload FROM documents""",
+)
+def _export_text(t: Tables) -> DataFrame:
+    """Whole texts, line breaks included, as the display names of one report per document."""
+    out = f"{scratch_dir(t.spark, 'report')}/text"
+    rows = t.documents.select("lang", "text", "source", "doc_id")
+    export_by_key(rows, "doc_id", out, 512)
+    return report_payloads(t.spark, out, "Document_Text_Report", date(2024, 6, 15)).select("payload")

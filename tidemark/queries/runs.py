@@ -92,16 +92,21 @@ def _completed(t: Tables) -> DataFrame:
 
 @query(
     "run_ready",
-    f"""WITH {_LOG}, {_STEPS}, {_NEWEST}
-SELECT n.step_id, s.name, n.batch_dt FROM newest n JOIN steps s ON s.step_id = n.step_id
-WHERE n.status <> 'COMPLETED' AND (s.depends_on IS NULL
+    f"""WITH {_LOG}, {_STEPS}, {_NEWEST},
+pairs AS (SELECT o_custkey AS step_id, CAST(o_orderdate AS DATE) AS batch_dt FROM orders
+          UNION SELECT step_id, batch_dt FROM newest)
+SELECT n.step_id, s.name, n.batch_dt FROM pairs n JOIN steps s ON s.step_id = n.step_id
+LEFT JOIN newest l ON l.step_id = n.step_id AND l.batch_dt = n.batch_dt
+WHERE coalesce(l.status, '') <> 'COMPLETED' AND (s.depends_on IS NULL
   OR coalesce(upper(json_extract_string(s.info, '$.dependency_check')), '') <> 'TRUE'
   OR EXISTS (SELECT 1 FROM newest d JOIN steps ds ON ds.step_id = d.step_id
              WHERE ds.name = s.depends_on AND d.batch_dt = n.batch_dt AND d.status = 'COMPLETED'))""",
     text=["batch_dt"],
 )
 def _ready(t: Tables) -> DataFrame:
-    return runs.run_ready(steps(t), run_log(t))
+    """Every customer's order days are scheduled for the step of that number."""
+    schedule = t.orders.select(F.col("o_custkey").alias("step_id"), F.col("o_orderdate").cast("date").alias("batch_dt"))
+    return runs.run_ready(steps(t), run_log(t), schedule)
 
 
 @query(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -43,12 +43,13 @@ def build_session(
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder path for intermediate tables, under the cluster's shared folder.
 
-    The shared folder is the session's ``spark.checkpoint.dir``. Only a local
-    session may fall back to a temporary folder, since its tasks run on one host.
+    The shared folder is the session's ``spark.checkpoint.dir``. Without it the warehouse
+    folder is used, which on a cluster must not be on one host's disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        root = spark.conf.get("spark.sql.warehouse.dir")
+        one_host = root.startswith("file:") or "://" not in root
+        if one_host and not re.fullmatch(r"local(\[[^\]-]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tidemark-")
     return f"{root.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"

@@ -16,17 +16,16 @@ from tidemark.sources.files import list_files, write_manifest
 
 log = logging.getLogger(__name__)
 
-# Rows per file of a key; files and rows per task, and most tasks, of an export.
-MAX_RECORDS = 1_000_000
+# Files and bytes of text per task of an export.
 FILES_PER_TASK = 64
-ROWS_PER_TASK = 4_000_000
-MAX_TASKS = 50_000
-
-# Above this many rows, output that asks for a single file is split into several.
-SINGLE_FILE_ROWS = 5_000_000
+BYTES_PER_TASK = 512 * 1024 * 1024
+# Rows are dealt to the files of a large key by hash; this much room keeps files below the cap.
+SLACK = 1.25
 # Fixed value: timestamps as text, with their microseconds.
 TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 _TEXT = {"escape": '"', "timestampFormat": TIMESTAMP_TEXT, "timestampNTZFormat": TIMESTAMP_TEXT}
+# The folder of an empty key.
+EMPTY_KEY = "__EMPTY__"
 _CSV_ONLY = ("delimiter", "header", "addquotes")
 
 
@@ -34,46 +33,54 @@ def export_by_key(
     df: DataFrame,
     key: str,
     out: str,
-    max_records: int = MAX_RECORDS,
+    max_size_mb: float,
     folder: str = "key",
     order_by: Sequence[str] = (),
 ) -> None:
     """One CSV file with a header per key value, under ``{folder}={value}``, in a single job.
 
-    Rows without a key are left out. A key with more than ``max_records`` rows is spread
-    over as many tasks and files as that needs, so that a hot key does not end up in one
-    task, even if its rows are all alike; every other key stays one file. Rows of a file
-    are in the order of ``order_by``.
+    Rows without a key are left out; an empty text key gets the folder of ``EMPTY_KEY``. A key
+    whose rows have more than ``max_size_mb`` as text is spread over as many tasks and files as
+    that needs, so that a hot key does not end up in one task, even if its rows are all alike;
+    every other key stays one file. Rows of a file are in the order of ``order_by``.
     """
     if folder in df.columns:
         raise ValueError(f"the table has a column {folder!r} already: name another folder column")
     spark = df.sparkSession
     rows = df.filter(F.col(key).isNotNull())
-    # Only keys above the cap are kept: at most rows / max_records of them. Stored, so that
+    # A file name for each row before the join: a shuffled join would put equal rows together.
+    rows = rows.withColumn("_spread", spread(rows))
+    cap = max_size_mb * 1024 * 1024
+    written = F.octet_length(F.to_csv(F.struct(*(F.col(c) for c in df.columns)), dict(_TEXT))) + 1
+    # Only keys above the cap are kept: at most bytes / cap of them. Stored, so that
     # Spark knows the size and broadcasts it only within its threshold.
     sizes, path = Observation(), scratch_dir(spark, "large-keys")
     (
         rows.groupBy(F.col(key).alias("_large"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_files", F.ceil(F.col("_rows") / max_records))
-        .observe(sizes, F.sum("_files").alias("files"), F.sum("_rows").alias("rows"))
+        .agg(F.sum(written).alias("_bytes"))
+        .withColumn("_files", F.when(F.col("_bytes") > cap, F.ceil(SLACK * F.col("_bytes") / cap)).otherwise(1))
+        .observe(sizes, F.sum("_files").alias("files"), F.max("_files").alias("most"), F.sum("_bytes").alias("bytes"))
         .filter("_files > 1")
         .select("_large", "_files")
         .write.parquet(path)
     )
-    slot = F.coalesce(F.pmod(spread(rows), F.col("_files")), F.lit(0))
+    slot = F.coalesce(F.pmod("_spread", F.col("_files")), F.lit(0))
+    # A partition folder cannot be named by an empty text.
+    name = F.when(F.col(key).cast("string") == "", EMPTY_KEY).otherwise(F.col(key).cast("string"))
     # Creating files takes longer than filling small ones, so tasks are sized by both.
     total = sizes.get
-    tasks = max((total.get("files") or 1) / FILES_PER_TASK, (total.get("rows") or 0) / ROWS_PER_TASK)
+    # At least as many as the files of any key, whose slots go to tasks of their own.
+    tasks = max((total.get("files") or 1) / FILES_PER_TASK, (total.get("bytes") or 0) / BYTES_PER_TASK, total.get("most") or 1)
+    place = F.pmod(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 30)) + slot, F.lit(math.ceil(tasks)))
     (
         rows.join(spark.read.parquet(path), F.col(key) == F.col("_large"), "left")
-        .withColumns({folder: F.col(key), "_slot": slot})
-        .repartition(min(MAX_TASKS, math.ceil(tasks)), folder, "_slot")
+        .withColumn(folder, name)
+        .repartitionById(math.ceil(tasks), place.cast("int"))
         .select(*df.columns, folder)
         .sortWithinPartitions(folder, *order_by)
         .write.partitionBy(folder)
         .mode("overwrite")
-        .options(header=True, maxRecordsPerFile=max_records, **_TEXT)
+        .options(header=True, **_TEXT)
         .csv(out)
     )
     storage.delete(spark, path)
@@ -99,14 +106,12 @@ def unload(
     manifest: bool | str = False,
     custom_headers: Sequence[str] | None = None,
     order_by: Sequence[str] | None = None,
-    single_file_rows: int = SINGLE_FILE_ROWS,
 ) -> int:
     """Writes a query result as CSV or Parquet files, replacing the folder, and returns the
     number of rows written, which is observed during the write.
 
-    ``parallel="OFF"`` asks for a single file; beyond ``single_file_rows`` rows it is as many
-    files as that bound needs. ``breakup_threshold`` caps the records per file. With
-    ``order_by`` the files hold consecutive ranges in order. ``manifest`` lists the files in
+    ``parallel="OFF"`` gives one file, written by one task, whatever the size: that is the caller's
+    request. ``breakup_threshold`` caps the records per file in either case. With ``order_by`` the files hold consecutive ranges in order. ``manifest`` lists the files in
     ``{out}_manifest``.
     """
     if data_format not in ("csv", "parquet"):
@@ -114,9 +119,7 @@ def unload(
     result = df.toDF(*custom_headers) if custom_headers else df
     if custom_headers and order_by:
         order_by = [result.columns[df.columns.index(n)] for n in order_by]
-    files = None
-    if not _flag(parallel):
-        files = max(1, math.ceil(df.count() / single_file_rows))
+    files = None if _flag(parallel) else 1
     if order_by:
         # The range key ends in a number that spreads the rows of a very frequent value.
         result = result.withColumn("_spread", spread(result))

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MANIFEST_ENTRIES = 10_000
 _MANIFEST = T.StructType(
     [
         T.StructField(
@@ -34,21 +31,12 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
     return reader.load(root).select("path", "modificationTime", "length")
 
 
-def write_manifest(files: DataFrame, out: str, entries: int = MANIFEST_ENTRIES) -> None:
-    """Writes ``{"entries": [{"url", "length"}]}``, one JSON document per ``entries`` files or so.
-
-    A small output has a single document; those of a large one are made in parallel.
-    """
-    chunks = max(1, math.ceil(files.count() / entries))
+def write_manifest(files: DataFrame, out: str) -> None:
+    """Writes ``{"entries": [{"url", "length"}]}``, one JSON document per listed file, in parallel
+    and in this form at every size."""
     entry = F.struct(F.col("path").alias("url"), "length")
-    (
-        files.groupBy(F.pmod(F.xxhash64("path"), F.lit(chunks)).alias("chunk"))
-        .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
-        .select("entries")
-        .write.mode("overwrite")
-        .option("maxRecordsPerFile", 1)
-        .json(out)
-    )
+    documents = files.select(F.array(entry).alias("entries"))
+    documents.write.mode("overwrite").option("maxRecordsPerFile", 1).json(out)
 
 
 def read_manifest(spark: SparkSession, path: str) -> list[str]:
