@@ -183,7 +183,7 @@ def learn(found: DataFrame, sample: int = SAMPLE) -> Trees:
     chosen = F.xxhash64("c.found", "c.before", "c.start")
     told_apart = each.select(chosen.alias("h"), covered.alias("y"), F.col("c")).orderBy("h", "c").limit(sample)
     rows = told_apart.select("h", "y", F.array(*(f.cast("double") for f in features(F.col("c")))).alias("x")).collect()
-    x = np.array([r.x for r in rows]).reshape(len(rows), -1)
+    x = np.array([r.x for r in rows]) if rows else np.zeros((0, 1))
     return Trees().fit(x, np.array([float(r.y) for r in rows]), np.array([r.h >> 8 & 1 == 1 for r in rows], bool))
 
 

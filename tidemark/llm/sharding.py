@@ -61,8 +61,8 @@ def first_map(sums: dict[int, tuple[int, int]], slots: int, shards: int) -> dict
 
 
 def edited_map(mapped: dict[int, int], sums: dict[int, tuple[int, int]], shards: int, slack: float = 0.01) -> dict[int, int]:
-    """The map after moving slots from the fullest shard to the emptiest until they are within
-    ``slack`` of the mean, or no move brings them closer. New shards start empty."""
+    """The map after moving slots to the emptiest shard, from the fullest that has one small enough,
+    until all are within ``slack`` of the mean or no move helps. New shards start empty."""
     mapped = dict(mapped)
     held: dict[int, list[int]] = {k: [] for k in range(shards)}
     load = dict.fromkeys(range(shards), 0)
@@ -71,10 +71,13 @@ def edited_map(mapped: dict[int, int], sums: dict[int, tuple[int, int]], shards:
         load[shard] += sums.get(slot, (0, 0))[0]
     mean = sum(load.values()) / shards
     for _ in range(len(mapped)):
-        full, empty = max(load, key=lambda k: (load[k], k)), min(load, key=lambda k: (load[k], k))
-        gap = load[full] - load[empty]
-        fits = [s for s in held[full] if 0 < sums.get(s, (0, 0))[0] < gap]
-        if gap <= slack * mean or not fits:
+        empty = min(load, key=lambda k: (load[k], k))
+        for full in sorted(load, key=lambda k: (-load[k], k)):
+            gap = load[full] - load[empty]
+            fits = [s for s in held[full] if 0 < sums.get(s, (0, 0))[0] < gap]
+            if fits or gap <= slack * mean:
+                break
+        if gap <= slack * mean:
             break
         slot = min(fits, key=lambda s: (abs(gap / 2 - sums[s][0]), s))
         held[full].remove(slot)

@@ -164,7 +164,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
 
     # The chosen labels are bounded by the sample, and so are the texts of the one training task.
     labelled = rows.join(F.broadcast(chosen), "doc_id").orderBy("doc_id").limit(2 * sample).select("text", "label")
-    return Model.loads(labelled.coalesce(1).mapInArrow(run, "model binary").first().model)
+    made = labelled.coalesce(1).mapInArrow(run, "model binary").first()
+    return Model.loads(made.model) if made else fit([], np.zeros(0))
 
 
 def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
