@@ -248,7 +248,10 @@ def repeated_runs(docs: DataFrame, length: int, piece: int, group: int, id_colum
     copies = keyed.groupBy("t1", "t2").agg(F.count("*").alias("copies"), F.min("doc_id").alias("low"))
     copies = stored(copies, "text-copies")
     found = stored(find_chunks(keyed, length, piece), "chunks")
+    # Sums stand in tables of their own before they are joined back, so that adaptive execution
+    # can split an anchor that very many chunks have.
     common = found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    common = stored(common, "common-anchors")
     shared = stored(found.join(common, "anchor"), "shared-chunks")
     rep = F.min(F.struct("t1", "t2", "begin")).alias("rep")
     folded = shared.groupBy("anchor", "chunk").agg(
@@ -256,6 +259,7 @@ def repeated_runs(docs: DataFrame, length: int, piece: int, group: int, id_colum
     )
     folded = stored(folded, "folded-chunks")
     groups = folded.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
+    groups = stored(groups, "anchor-kinds")
     various = folded.join(groups, "anchor").withColumn("large", F.col("kinds") > group)
     parts = stored(_chunk_bytes(keyed, various, copies, length), "chunk-bytes")
     seen = parts.groupBy("large").agg(F.sum(F.length("bytes")).alias("b")).collect()
@@ -315,9 +319,9 @@ def remove_repeats(
     whole = F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.col("n_bytes").alias("end")))
     no_spans = F.array().cast("array<struct<begin:long,end:long>>")
     spans = F.when(gone, whole).otherwise(F.coalesce("cut_spans", no_spans))
+    per_text = stored(copies.select("t1", "t2", "copies").join(trimmed, ["t1", "t2"], "left"), "trimmed-texts")
     return (
-        plain.join(copies.select("t1", "t2", "copies"), ["t1", "t2"])
-        .join(trimmed, ["t1", "t2"], "left")
+        plain.join(per_text, ["t1", "t2"])
         .select(
             "doc_id",
             "n_bytes",
