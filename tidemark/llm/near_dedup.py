@@ -38,8 +38,8 @@ BINS = 128
 BANDS = 32
 # Bins that must agree before two sets are compared; 4.9 standard deviations below 80 percent.
 AGREE = 80
-# Half the centres that a bucket is expected to draw, for each round after the first.
-CENTRES = (4,)
+# Centres that a bucket is expected to draw after its first one.
+DRAWN = 3
 
 _RANK = np.uint64(53)  # bits of a shingle's hash; the rest of a sort key holds its row
 _WORD = np.ones(256, bool)
@@ -217,34 +217,26 @@ def near_links(docs: DataFrame, described: DataFrame, size: int, id_column: str,
         nodes.select("node", "low", "n"), "node"
     ).filter(F.col("doc_id").eqNullSafe(F.col("low")))
     sketches = stored(rep.dropDuplicates(["node"]).select("node", "n", "sketch"), "sketches")
-    sets = None
-    links = None
-    labels = None
-    drawn = 0
-    for number, centres in enumerate((1, *CENTRES)):
-        if not number:
-            pairs = members.join(centre, "key").select("node", "centre")
-        else:
-            named = F.coalesce("component", "node").alias("c")
-            placed = stored(members.join(labels, "node", "left").select("key", "node", "m", named), "placed")
-            split = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
-            open_members = stored(placed.filter(F.col("m") > 2).join(stored(split, "open-buckets"), "key"), "open-members")
-            # A member is a centre if its number, even over all nodes, is among the first
-            # 2 * centres of m; those of the round before come first and are not drawn again.
-            draw = F.pmod(F.xxhash64("node", F.lit(7)), F.lit(1 << 30)) * F.col("m")
-            chosen = open_members.filter((draw < (2 * centres) << 30) & (draw >= (2 * drawn) << 30))
-            chosen = chosen.select("key", F.col("node").alias("centre"), F.col("c").alias("centre_c"))
-            pairs = open_members.join(stored(chosen, "drawn"), "key").filter("c <> centre_c").select("node", "centre")
-            drawn = centres
+    sets = stored(_full_sets(docs, nodes, size, id_column, text_column), "shingle-sets")
+
+    def linked(pairs: DataFrame) -> DataFrame:
         ends = (F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-        pairs = pairs.filter("node <> centre").select(*ends).groupBy("a", "b").agg(F.lit(1).alias("one")).select("a", "b")
-        near = stored(_agreeing(pairs, sketches), "near-pairs")
-        if sets is None:
-            sets = stored(_full_sets(docs, nodes, size, id_column, text_column), "shingle-sets")
-        found = _linked(near, sets)
-        links = stored(found if links is None else links.unionByName(found), "verified-links")
-        labels = components(links)
-    return labels, links
+        once = pairs.filter("node <> centre").select(*ends).groupBy("a", "b").agg(F.lit(1).alias("one"))
+        return _linked(stored(_agreeing(once.select("a", "b"), sketches), "near-pairs"), sets)
+
+    links = stored(linked(members.join(centre, "key").select("node", "centre")), "verified-links")
+    labels = components(links)
+    # Buckets that hold more than one component draw centres of their own, so a member meets others
+    # in each of its buckets.
+    placed = members.join(labels, "node", "left").select("key", "node", "m", F.coalesce("component", "node").alias("c"))
+    placed = stored(placed.filter("m > 2"), "placed")
+    split = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
+    placed = stored(placed.join(stored(split, "open-buckets"), "key"), "open-members")
+    draw = F.pmod(F.xxhash64("node", "key"), F.lit(1 << 30)) * F.col("m") < DRAWN << 30
+    drawn = stored(placed.filter(draw).select("key", F.col("node").alias("centre"), F.col("c").alias("centre_c")), "drawn")
+    found = linked(placed.join(drawn, "key").filter("c <> centre_c").select("node", "centre"))
+    links = stored(links.unionByName(found), "verified-links")
+    return components(links), links
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
