@@ -77,6 +77,28 @@ def test_excluded_files_do_not_count(spark, tmp_path, database):
     assert _tables(spark, database) == []
 
 
+def test_excluded_rows_are_not_read(spark, tmp_path, database):
+    path, by_day = str(tmp_path / "t"), str(tmp_path / "d")
+    spark.range(1).write.parquet(path)
+    spark.range(5).write.mode("append").option("mapreduce.output.basename", "draft").parquet(path)
+    spark.range(4).withColumn("day", F.lit("d1")).write.partitionBy("day").parquet(by_day)
+    spark.range(9).withColumn("tmp", F.lit(1)).write.parquet(f"{by_day}/drafts")
+    exclude = ["draft*", "*/drafts/*"]
+    assert register_tables(spark, database, [path, by_day], "", exclude) == ["t", "d"]
+    assert spark.table(f"{database}.t").count() == 1
+    assert spark.table(f"{database}.d").columns == ["id", "day"] and spark.table(f"{database}.d").count() == 4
+    # Later files, and the same folder without the patterns and with them again.
+    spark.range(2).withColumn("new", F.lit(1)).write.mode("append").parquet(path)
+    register_tables(spark, database, [path, by_day], "", exclude)
+    assert spark.table(f"{database}.t").columns == ["id", "new"] and spark.table(f"{database}.t").count() == 3
+    register_tables(spark, database, [path])
+    assert _tables(spark, database) == ["t"] and spark.table(f"{database}.t").count() == 8
+    register_tables(spark, database, [path], "", exclude)
+    assert _tables(spark, database) == ["t", "t_files"] and spark.table(f"{database}.t").count() == 3
+    register_tables(spark, database, [])
+    assert _tables(spark, database) == []
+
+
 def test_layer_paths():
     assert layer_paths("s3://b/stg/", ["T1"], "staging") == {
         "_FullLoad": ["s3://b/stg/T1_FullLoad"],

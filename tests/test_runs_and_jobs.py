@@ -2,12 +2,13 @@ from __future__ import annotations
 
 import glob
 import json
+import os
 from datetime import date, datetime, timedelta
 
 import pytest
 
 from tidemark.operators import runs
-from tidemark.plans.daily import current_version, daily_snapshot, initial_load
+from tidemark.plans.daily import RepeatedKeys, current_version, daily_snapshot, fold_target, initial_load
 from tidemark.plans.unload_job import run_unload_job
 from tidemark.operators.projection import EmptySource
 from tidemark.sources import storage
@@ -333,3 +334,87 @@ def test_scratch_without_a_checkpoint_folder_is_in_the_warehouse(spark, monkeypa
     Context.master = "spark://host:7077"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.scratch_dir(Session(), "x")
+
+
+def _size(folder):
+    return sum(os.path.getsize(f) for f in glob.glob(f"{folder}/**/*.parquet", recursive=True))
+
+
+def test_a_late_run_is_refused_before_anything_is_written(spark, tmp_path):
+    days = [D1 + timedelta(days=n) for n in range(4)]
+    _first(spark, tmp_path, [(1, "a")], days[0])
+    _run(spark, tmp_path, [(1, "b")], days[2])
+    before = sorted(glob.glob(f"{tmp_path}/**/*.parquet", recursive=True))
+    with pytest.raises(ValueError, match="has been run already"):
+        _run(spark, tmp_path, [(1, "c")], days[1])
+    with pytest.raises(ValueError, match="has been run already"):
+        _first(spark, tmp_path, [(1, "c")], days[1])
+    assert sorted(glob.glob(f"{tmp_path}/**/*.parquet", recursive=True)) == before
+    assert [r.v for r in current_version(spark, str(tmp_path / "gold")).collect()] == ["b"]
+
+
+def test_a_run_without_an_initial_load_leaves_nothing(spark, tmp_path):
+    with pytest.raises(ValueError, match="initial load"):
+        _run(spark, tmp_path, [(1, "a")], D1)
+    assert glob.glob(f"{tmp_path}/**/*.parquet", recursive=True) == []
+
+
+def test_repeated_keys_are_refused(spark, tmp_path):
+    _first(spark, tmp_path, [(1, "a")], D1)
+    for rows in ([(1, "a"), (1, "c")], [(1, "a"), (2, "x"), (2, "x")]):
+        with pytest.raises(RepeatedKeys, match="several rows of a key"):
+            _run(spark, tmp_path, rows, D2)
+        assert [r.v for r in current_version(spark, str(tmp_path / "gold")).collect()] == ["a"]
+    # The day that failed is not compared with.
+    got = _run(spark, tmp_path, [(1, "a"), (2, "x")], D2 + timedelta(days=1))
+    assert sorted((r.k, r.v) for r in got.collect()) == [(1, "a"), (2, "x")]
+
+
+def test_a_day_writes_its_changes_only_until_they_are_folded(spark, tmp_path):
+    rows = [(k, f"value {k * 7919}") for k in range(20000)]
+    gold = str(tmp_path / "gold")
+    _first(spark, tmp_path, rows, D1)
+    _run(spark, tmp_path, [(0, "new"), *rows[2:]], D2)
+    assert storage.snapshot_dates(spark, gold) == [D1]
+    assert _size(f"{gold}_changes") < _size(gold) / 10
+    day = D2 + timedelta(days=1)
+    table = _run(spark, tmp_path, [(0, "newer"), (1, "back"), *rows[3:]], day)
+    # The rows before folding are taken first, since folding deletes their files.
+    before = sorted(tuple(r) for r in table.collect())
+    assert len(before) == 19999 and before[:2] == [(0, "newer", *before[0][2:]), (1, "back", *before[1][2:])]
+    folded = fold_target(spark, gold)
+    assert sorted(tuple(r) for r in folded.collect()) == before
+    assert storage.snapshot_dates(spark, gold) == [day]
+    assert storage.snapshot_dates(spark, f"{gold}_changes") == []
+    with pytest.raises(ValueError, match="initial load"):
+        _run(spark, tmp_path, rows, day)
+    assert _run(spark, tmp_path, rows, day + timedelta(days=1)).count() == 20000
+
+
+def test_a_job_logs_to_one_file(spark, tmp_path):
+    job = {"table_name": "t", "unload_to_s3": "false"}
+    run_unload_job(spark, job, 1, D1, str(tmp_path / "log"))
+    assert len(glob.glob(f"{tmp_path}/log/*.parquet")) == 1
+    assert [r.status for r in read_log(spark, str(tmp_path / "log")).orderBy("ts").collect()] == ["START", "UNLOAD_SKIPPED", "END"]
+
+
+def test_other_jobs_from_a_config(spark, tmp_path):
+    from tidemark.__main__ import run
+
+    at, src = datetime(2024, 1, 2, 6), {"format": "parquet", "options": {"path": str(tmp_path / "src")}}
+    spark.createDataFrame([(1, " a "), (2, "b")], "accountid int, v string").write.parquet(str(tmp_path / "src"))
+    rule = {"rule": "trim_whitespace", "columns": [{"src_col": "v", "tgt_col": "raw"}]}
+    cleanse = {"source": src, "target": str(tmp_path / "clean"), "options": {"fixedColumnsCleansingRules": [rule]}}
+    assert sorted(r.v for r in run(spark, cleanse, "cleanse", D2, at).collect()) == ["a", "b"]
+    unload = {
+        "views": {"job_rows": src}, "step_id": 1, "log": str(tmp_path / "log"),
+        "job": {"table_name": "t", "unload_to_s3": "true", "query": "SELECT * FROM job_rows",
+                "unload": {"bucket": str(tmp_path), "key": "out", "data_format": "parquet"}},
+    }
+    assert run(spark, unload, "unload", D2, at) == 2
+    report = {
+        "queries": {"Sales": "SELECT * FROM job_rows"}, "root": str(tmp_path / "reports"),
+        "template": "lake/report_name/report_name_Report_dd_yyyy", "max_size_mb": 1,
+    }
+    folder = run(spark, report, "report", D2, at)["Sales"]
+    assert len(glob.glob(f"{folder}/*/*.csv")) == 2

@@ -4,6 +4,7 @@ from datetime import datetime
 
 import pytest
 
+from tidemark.sources import storage
 from tidemark.streaming.cdc import RELOAD, RESUME, START, cdc_stream, current_table, fold_changes, stored_changes
 
 TABLE = "id long, name string"
@@ -144,3 +145,27 @@ def test_a_failed_batch_is_run_again(spark, lake, monkeypatch):
     lake.run()
     assert lake.table() == [(1, "y"), (2, "b")]
     assert stored_changes(spark, f"{lake.target}/gen-0001", lake.schema).count() == 3
+
+
+def test_folding_deletes_what_it_replaced(spark, lake):
+    home = f"{lake.target}/gen-0001"
+    lake.land((1, "a2", "U", 2))
+    lake.run(START, full=lake.full((1, "a"), (2, "b")))
+    for seq in (3, 4):
+        lake.land((seq, f"n{seq}", "I", seq))
+        lake.run()
+    fold_changes(spark, lake.target, lake.schema, ["id"])
+    assert storage.complete_folders(spark, f"{home}/changes") == ["upto-2"]
+    before = lake.table()
+    # The base takes over the changes up to 3, and ignores later ones below that.
+    fold_changes(spark, lake.target, lake.schema, ["id"], settle=3)
+    assert storage.complete_folders(spark, home) == ["base-3"]
+    assert lake.table() == before == [(1, "a2"), (2, "b"), (3, "n3"), (4, "n4")]
+    assert spark.read.parquet(f"{home}/base-3").count() == 3
+    lake.land((1, "late", "U", 1), (2, "b5", "U", 5))
+    lake.run()
+    after = [(1, "a2"), (2, "b5"), (3, "n3"), (4, "n4")]
+    assert lake.table() == after
+    fold_changes(spark, lake.target, lake.schema, ["id"])
+    assert storage.complete_folders(spark, f"{home}/changes") == ["upto-3"]
+    assert stored_changes(spark, home, lake.schema).count() == 2 and lake.table() == after

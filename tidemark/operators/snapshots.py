@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _IN_LEFT, _IN_RIGHT = "_in_left", "_in_right"
+# Rows of a key in the latest snapshot.
+ROWS = "_rows"
 
 
 def null_safe(columns: Sequence[str], prefix: str) -> Column:
@@ -54,6 +56,14 @@ def snapshot_deletes(latest: DataFrame, previous: DataFrame, keys: Sequence[str]
     return only_left(previous, latest, keys)
 
 
+def key_changes(latest: DataFrame, previous: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys of which the latest snapshot has other than one row, with the number of its rows: 0
+    for those that only the previous one has. One shuffle tells deletes and repeated keys."""
+    a = latest.select(*keys, F.lit(1).alias(ROWS))
+    b = previous.select(*keys, F.lit(0).alias(ROWS))
+    return a.union(b).groupBy(*keys).agg(F.sum(ROWS).alias(ROWS)).filter(F.col(ROWS) != 1)
+
+
 def change_feed(
     latest: DataFrame, previous: DataFrame, keys: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:

@@ -1,4 +1,10 @@
-"""The daily job: snapshot, compare with the day before, stage, merge."""
+"""The daily job: snapshot, compare with the day before, stage, add to the target.
+
+A target is its newest full version, ``target/yyyy-mm-dd``, and the changes of every day since,
+``target_changes/yyyy-mm-dd``. A day writes its changes only, so its cost follows them and not
+the table; ``fold_target`` makes a full version of them now and then. Snapshots and changes are
+written elsewhere and moved to their place when they are whole and accepted.
+"""
 
 from __future__ import annotations
 
@@ -6,23 +12,50 @@ from collections.abc import Callable, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.operators.projection import add_audit_columns, require_rows, strip_nul
-from tidemark.operators.snapshots import anti_keys, snapshot_deletes, snapshot_delta
+from tidemark.operators.changes import DELETE, cdc_apply
+from tidemark.operators.projection import EmptySource, add_audit_columns, require_rows, strip_nul
+from tidemark.operators.snapshots import ROWS, key_changes, snapshot_delta
 from tidemark.sources import storage
-from tidemark.sources.tables import (
-    drop_old_snapshots,
-    previous_date,
-    read_snapshot,
-    snapshot_path,
-    write_snapshot,
-)
+from tidemark.sources.tables import drop_old_snapshots, read_snapshot, snapshot_path, write_snapshot
 
 
 # Run time and run day of a row's last change.
 AUDIT_COLUMNS = ("load_ts", "load_date")
 
 
+class RepeatedKeys(ValueError):
+    """A snapshot holds several rows of one key."""
+
+
+# What a change does, and its day; and the mark of key columns in the files' schema.
+_OP, _DAY, _KEY = "_op", "_day", "tidemark.key"
+
+
+def _changes_folder(target: str) -> str:
+    return f"{target.rstrip('/')}_changes"
+
+
+def _refuse_late(spark: SparkSession, run_date: date, *folders: str) -> None:
+    newer = [d for folder in folders for d in storage.snapshot_dates(spark, folder) if d > run_date]
+    if newer:
+        raise ValueError(f"{run_date} is before {max(newer)}, which has been run already")
+
+
+def _take_in(source: DataFrame, root: str, run_date: date, strings: Sequence[str]) -> DataFrame:
+    """The source as the day's snapshot, from one read. An empty source leaves all as it was."""
+    spark, incoming = source.sparkSession, f"{root.rstrip('/')}_incoming"
+    rows = write_snapshot(strip_nul(source, strings), incoming, run_date)
+    try:
+        require_rows(rows)
+    except EmptySource:
+        storage.delete(spark, snapshot_path(incoming, run_date))
+        raise
+    storage.move(spark, snapshot_path(incoming, run_date), snapshot_path(root, run_date))
+    return read_snapshot(spark, root, run_date, rows.schema)
+
+
 def initial_load(
     source: DataFrame,
     target: str,
@@ -35,14 +68,16 @@ def initial_load(
 ) -> DataFrame:
     """First run: the whole source becomes the first snapshot and the first target version.
 
-    Give ``at`` where the source does not bring the audit columns itself.
+    Give ``at`` where the source does not bring the audit columns itself. A date below that of
+    an earlier run is refused.
     """
-    clean = strip_nul(require_rows(source), strings)
-    rows = write_snapshot(clean, root, run_date)
+    spark = source.sparkSession
+    _refuse_late(spark, run_date, root, target, _changes_folder(target))
+    rows = _take_in(source, root, run_date, strings)
     if at is not None and not set(audit) <= set(rows.columns):
         rows = add_audit_columns(rows, at, *audit)
     loaded = write_snapshot(rows, target, run_date)
-    drop_old_snapshots(source.sparkSession, root, keep)
+    drop_old_snapshots(spark, root, keep)
     return loaded
 
 
@@ -59,42 +94,76 @@ def daily_snapshot(
     publish: Callable[[DataFrame, DataFrame], None] | None = None,
     keep: int = 2,
 ) -> DataFrame:
-    """One day's run; returns the new target version.
+    """One day's run; returns the target after it.
 
-    ``target`` holds dated versions, like the snapshots: Parquet has no MERGE, so the
-    merge writes a new version beside the one it reads, and its success marker makes it
-    the current one. It has the ``compare`` columns, which must include the keys, and the
-    audit columns, which are set on changed rows only. ``publish(delta, deleted_keys)`` also hands the changes to a serving
-    database, for example with the sinks of ``sources.jdbc``.
+    The day's snapshot is compared with that of the newest day the target has, so a day that
+    failed half-way can be left out. The target has the ``compare`` columns, which must include
+    the keys, and the audit columns, which are set on changed rows only.
+    ``publish(delta, deleted_keys)`` also hands the changes to a serving database, for example
+    with the sinks of ``sources.jdbc``; they become part of the target when it is done.
+
+    A day can be run again until a later one has been run or it was folded. Earlier days, and
+    snapshots with several rows of one key, are refused and leave the target as it was.
     """
-    spark = source.sparkSession
-    clean = strip_nul(require_rows(source), strings)
-    latest = write_snapshot(clean, root, run_date)
-    previous = read_snapshot(spark, root, previous_date(spark, root, run_date), latest.schema)
-
-    # The delta is staged, since publishing and merging both read it.
-    changed = add_audit_columns(snapshot_delta(latest, previous, compare), at, *audit)
-    staged = write_snapshot(changed, f"{root.rstrip('/')}_staging", run_date)
-    deleted = write_snapshot(snapshot_deletes(latest, previous, keys), f"{root.rstrip('/')}_deleted", run_date)
+    spark, changes = source.sparkSession, _changes_folder(target)
+    _refuse_late(spark, run_date, root, target, changes)
+    full = storage.snapshot_dates(spark, target)
+    before = [d for d in {*full, *storage.snapshot_dates(spark, changes)} if d < run_date]
+    if not before or full[-1:] == [run_date]:
+        raise ValueError(f"no target version before {run_date} under {target}: run the initial load first")
+    if max(before) not in storage.snapshot_dates(spark, root):
+        raise ValueError(f"the snapshot of {max(before)} is gone from {root}")
+    latest = _take_in(source, root, run_date, strings)
+    previous = read_snapshot(spark, root, max(before), latest.schema)
+
+    staging = f"{root.rstrip('/')}_staging"
+    other_keys = write_snapshot(key_changes(latest, previous, keys), f"{root.rstrip('/')}_keys", run_date)
+    repeated = other_keys.filter(F.col(ROWS) > 1).drop(ROWS).first()
+    if repeated:
+        raise RepeatedKeys(f"the snapshot of {run_date} has several rows of a key, such as {repeated.asDict()}")
+    deleted = other_keys.drop(ROWS)
+    changed = add_audit_columns(snapshot_delta(latest, previous, compare), at, *audit).withColumn(_OP, F.lit("U"))
+    gone = deleted.withColumn(_OP, F.lit(DELETE))
+    both = changed.unionByName(gone, allowMissingColumns=True).withColumn(_DAY, F.lit(run_date))
+    marked = {k: F.col(k).alias(k, metadata={_KEY: True}) for k in keys}
+    staged = write_snapshot(both.select(*(marked.get(c, c) for c in both.columns)), staging, run_date)
     if publish is not None:
-        publish(staged, deleted)
-
-    current = current_version(spark, target, run_date, [*compare, *audit])
-    # Deleted and replaced keys leave in one pass over the target.
-    leaving = deleted.union(staged.select(*keys))
-    merged = anti_keys(current, leaving, keys).unionByName(staged)
-    version = write_snapshot(merged, target, run_date)
-    for folder in (root, target, f"{root.rstrip('/')}_staging", f"{root.rstrip('/')}_deleted"):
-        drop_old_snapshots(spark, folder, keep)
-    return version
+        publish(staged.filter(F.col(_OP) != DELETE).drop(_OP, _DAY), deleted)
 
+    storage.move(spark, snapshot_path(staging, run_date), snapshot_path(changes, run_date))
+    drop_old_snapshots(spark, root, keep)
+    drop_old_snapshots(spark, f"{root.rstrip('/')}_keys", 1)
+    return current_version(spark, target)
 
-def current_version(
-    spark: SparkSession, target: str, before: date | None = None, columns: Sequence[str] | None = None
-) -> DataFrame:
-    """The newest complete version of the target, or the newest below a run date."""
-    dates = [d for d in storage.snapshot_dates(spark, target) if before is None or d < before]
-    if not dates:
+
+def current_version(spark: SparkSession, target: str) -> DataFrame:
+    """The newest full version with the changes of the days since."""
+    full = storage.snapshot_dates(spark, target)
+    if not full:
         raise ValueError(f"no target version under {target}: run the initial load first")
-    version = spark.read.parquet(snapshot_path(target, dates[-1]))
-    return version.select(*columns) if columns else version
+    base = spark.read.parquet(snapshot_path(target, full[-1]))
+    days = [d for d in storage.snapshot_dates(spark, _changes_folder(target)) if d > full[-1]]
+    if not days:
+        return base
+    paths = [snapshot_path(_changes_folder(target), d) for d in days]
+    schema = spark.read.parquet(paths[-1]).schema
+    keys = [f.name for f in schema if f.metadata.get(_KEY)]
+    changes = spark.read.schema(schema).parquet(*paths)
+    columns = [c for c in schema.fieldNames() if c not in (_OP, _DAY)]
+    return cdc_apply(base.select(*columns), changes, keys, _DAY, _OP)
+
+
+def fold_target(spark: SparkSession, target: str) -> DataFrame:
+    """Writes the target as a full version of its newest day, and then deletes what that
+    replaces. Readers of the older version should be done by then."""
+    days = storage.snapshot_dates(spark, _changes_folder(target))
+    version = current_version(spark, target)
+    full = storage.snapshot_dates(spark, target)
+    if days and days[-1] > full[-1]:
+        version = write_snapshot(version, target, days[-1])
+        full.append(days[-1])
+    for day in full[:-1]:
+        storage.delete(spark, snapshot_path(target, day))
+    for day in days:
+        storage.delete(spark, snapshot_path(_changes_folder(target), day))
+    return version

@@ -43,13 +43,16 @@ def check_job(job: dict) -> dict:
 
 
 def run_unload_job(spark: SparkSession, job: dict, step_id: int, batch_dt: date, log_path: str) -> int:
-    """Runs one job and returns the rows written; every status goes to the run log.
+    """Runs one job and returns the rows written. Its statuses go to the run log together when it
+    ends, so the log gets one file per job.
 
     ``bucket`` is the root path of the output, ``key`` the folder below it.
     """
 
+    entries = []
+
     def status(name: str, rows: int | None = None, message: str | None = None) -> None:
-        run_log.log_status(spark, log_path, step_id, batch_dt, name, rows, message)
+        entries.append(run_log.entry(step_id, batch_dt, name, rows, message))
 
     status(run_log.START)
     try:
@@ -74,3 +77,5 @@ def run_unload_job(spark: SparkSession, job: dict, step_id: int, batch_dt: date,
     except Exception as error:
         status(run_log.FAILED, message=str(error))
         raise
+    finally:
+        run_log.log_entries(spark, log_path, entries)

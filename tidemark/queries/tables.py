@@ -46,7 +46,10 @@ def _register(t: Tables) -> DataFrame:
     database = f"tidemark_{uuid.uuid4().hex[:12]}"
     t.customer.write.partitionBy("c_mktsegment").parquet(f"{root}/customer")
     t.nation.write.parquet(f"{root}/nation")
-    register_tables(t.spark, database, [f"{root}/customer", f"{root}/nation"], "bronze")
+    # A folder and files that do not count, though they hold rows.
+    t.customer.write.parquet(f"{root}/customer/drafts")
+    t.nation.write.mode("append").option("mapreduce.output.basename", "draft").parquet(f"{root}/nation")
+    register_tables(t.spark, database, [f"{root}/customer", f"{root}/nation"], "bronze", ["*/drafts/*", "draft*"])
     return t.spark.sql(
         f"""SELECT c.c_mktsegment, n.n_name, count(*) AS customers FROM {database}.bronze_customer c
             JOIN {database}.bronze_nation n ON n.n_nationkey = c.c_nationkey GROUP BY ALL"""

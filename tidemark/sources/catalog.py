@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from fnmatch import fnmatch
+from datetime import datetime, timedelta
+from fnmatch import translate
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.functions.spread import spread
@@ -15,7 +18,8 @@ from tidemark.sources.files import list_files
 
 # Folder suffixes of a staging table's two loads.
 STAGING_LOADS = ("_FullLoad", "_delta")
-_MARK = "tidemark.prefix"
+# Table properties: the prefix it was registered under, and its newest file's time then.
+_MARK, _SEEN = "tidemark.prefix", "tidemark.newest"
 
 
 def layer_paths(root: str, tables: Sequence[str], layer: str) -> dict[str, list[str]]:
@@ -29,14 +33,28 @@ def layer_paths(root: str, tables: Sequence[str], layer: str) -> dict[str, list[
     raise ValueError(f"layer must be staging, bronze, silver or gold, not {layer!r}")
 
 
-def _schema(spark: SparkSession, path: str, exclude: Sequence[str]) -> StructType | None:
-    """The folder's merged schema, or null when no files count."""
+def _pattern(glob: str) -> str:
+    """A glob pattern as a regular expression of Java."""
+    return translate(glob).replace(r"\Z", r"\z")
+
+
+def _excluded(path: Column, exclude: Sequence[str]) -> Column:
+    """Whether a file's path or name matches one of the glob patterns."""
+    name = F.substring_index(path, "/", -1)
+    patterns = [F.lit(_pattern(p)) for p in exclude]
+    return reduce(Column.__or__, [F.regexp_like(text, p) for p in patterns for text in (path, name)], F.lit(False))
+
+
+def _schema(spark: SparkSession, path: str, new: DataFrame | None, since: datetime | None) -> StructType:
+    """The merged schema of a folder, of its files after a time, or of listed files. Spark's reader
+    takes listed paths from the driver; with a time given, they are the new ones only."""
     reader = spark.read.option("mergeSchema", True)
-    if not exclude:
-        return reader.parquet(path).schema
-    files = [r["path"] for r in list_files(spark, path).select("path").toLocalIterator()]
-    counted = [f for f in files if not any(fnmatch(f, p) or fnmatch(f.rsplit("/", 1)[-1], p) for p in exclude)]
-    return reader.option("basePath", path).parquet(*counted).schema if counted else None
+    if new is not None:
+        return reader.option("basePath", path).parquet(*[r["path"] for r in new.select("path").toLocalIterator()]).schema
+    if since is not None:
+        zone = spark.conf.get("spark.sql.session.timeZone")
+        reader = reader.option("modifiedAfter", since.strftime("%Y-%m-%dT%H:%M:%S")).option("timeZone", zone)
+    return reader.parquet(path).schema
 
 
 def _partition_columns(path: str, file: str) -> list[str]:
@@ -51,54 +69,108 @@ def register_tables(
     """Registers each folder as an external Parquet table of the database and returns the
     names. Running it again applies schema updates, finds new partitions, and drops the
     tables of this prefix whose folder is gone or no longer listed; files are not touched.
+    Only files newer than the last registration are opened for their schema, so a column that
+    no file has any more stays, with nulls.
 
-    ``exclude``: glob patterns of files that do not count for existence and schema.
+    ``exclude``: glob patterns of files that do not count. With them, the name is a view that leaves
+    these files out, over a table named ``..._files``.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    registered = []
+    registered, made = [], set()
     for path in paths:
         path = path.rstrip("/")
         folder = re.sub(r"\W", "_", path.rsplit("/", 1)[-1].lower())
         name = f"{prefix}_{folder}" if prefix else folder
-        file = list_files(spark, path).first() if storage.exists(spark, path) else None
-        schema = _schema(spark, path, exclude) if file else None
-        if schema is not None:
-            partitions = _partition_columns(path, file["path"])
-            _register(spark, f"`{database}`.`{name}`", path, schema, partitions, prefix)
-            registered.append(name)
-    for row in spark.sql(f"SHOW TABLES IN `{database}`").collect():
-        full = f"`{database}`.`{row['tableName']}`"
-        if row["isTemporary"] or row["tableName"] in registered:
+        if not storage.exists(spark, path):
             continue
-        marks = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {full}").collect()}
-        if marks.get(_MARK) == prefix:
-            spark.sql(f"DROP TABLE {full}")
+        counted = list_files(spark, path).filter(~_excluded(F.col("path"), exclude))
+        newest = F.date_format(F.max("modificationTime"), "yyyy-MM-dd'T'HH:mm:ss").alias("newest")
+        file = counted.agg(F.min("path").alias("path"), newest).first()
+        if file["path"] is None:
+            continue
+        table = f"{name}_files" if exclude else name
+        full = f"`{database}`.`{table}`"
+        columns = _register(spark, full, path, counted if exclude else None, file, prefix)
+        made.add(table)
+        if exclude:
+            outside = " OR ".join(
+                f"regexp_like({text}, {_quoted(_pattern(p))})"
+                for p in exclude
+                for text in ("_metadata.file_path", "_metadata.file_name")
+            )
+            listed = ", ".join(f"`{c}`" for c in columns)
+            _drop(spark, f"`{database}`.`{name}`")
+            spark.sql(
+                f"CREATE VIEW `{database}`.`{name}` TBLPROPERTIES ('{_MARK}' = {_quoted(prefix)}) "
+                f"AS SELECT {listed} FROM {full} WHERE NOT ({outside})"
+            )
+            made.add(name)
+        registered.append(name)
+    for row in spark.sql(f"SHOW TABLES IN `{database}`").collect():
+        if not row["isTemporary"] and row["tableName"] not in made:
+            full = f"`{database}`.`{row['tableName']}`"
+            if _properties(spark, full).get(_MARK) == prefix:
+                _drop(spark, full)
     return registered
 
 
+def _is_view(spark: SparkSession, full: str) -> bool:
+    return spark.catalog.getTable(full).tableType == "VIEW"
+
+
+def _drop(spark: SparkSession, full: str) -> None:
+    if spark.catalog.tableExists(full.replace("`", "")):
+        spark.sql(f"DROP {'VIEW' if _is_view(spark, full) else 'TABLE'} {full}")
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _properties(spark: SparkSession, full: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {full}").collect()}
+
+
 def _register(
-    spark: SparkSession, full: str, path: str, schema: StructType, partitions: Sequence[str], prefix: str
-) -> None:
+    spark: SparkSession, full: str, path: str, counted: DataFrame | None, file: Row, prefix: str
+) -> list[str]:
+    """Makes or updates a table and returns its columns."""
+    partitions = _partition_columns(path, file["path"])
+    schema = None
+    if spark.catalog.tableExists(full.replace("`", "")) and _is_view(spark, full):
+        _drop(spark, full)
     if spark.catalog.tableExists(full.replace("`", "")):
+        seen = _properties(spark, full).get(_SEEN)
         now = spark.table(full).schema
         kept = {f.name: f.dataType for f in now.fields}
-        found = {f.name: f.dataType for f in schema.fields}
-        added = [f for f in schema.fields if f.name not in kept]
-        if any(found.get(n) != t for n, t in kept.items()) or any(f.name in partitions for f in added):
+        if seen is None:
+            found = _schema(spark, path, counted, None).fields
+        else:
+            # Times are whole seconds, so the second of the last registration is looked at again.
+            since = datetime.fromisoformat(seen) - timedelta(seconds=1)
+            new = counted.filter(F.col("modificationTime") > F.lit(since)) if counted is not None else None
+            found = _schema(spark, path, new, since).fields
+        added = [f for f in found if f.name not in kept]
+        if any(kept.get(f.name, f.dataType) != f.dataType for f in found) or any(f.name in partitions for f in added):
             spark.sql(f"DROP TABLE {full}")
-        elif added:
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-            spark.sql(f"ALTER TABLE {full} ADD COLUMNS ({columns})")
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    by = f"PARTITIONED BY ({', '.join(f'`{n}`' for n in partitions)})" if partitions else ""
-    location = path.replace("'", "\\'")
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {full} ({columns}) USING parquet {by} "
-        f"LOCATION '{location}' TBLPROPERTIES ('{_MARK}' = '{prefix}')"
-    )
+        else:
+            schema = now
+            if added:
+                columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+                spark.sql(f"ALTER TABLE {full} ADD COLUMNS ({columns})")
+    if schema is None:
+        schema = _schema(spark, path, counted, None)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        by = f"PARTITIONED BY ({', '.join(f'`{n}`' for n in partitions)})" if partitions else ""
+        spark.sql(
+            f"CREATE TABLE {full} ({columns}) USING parquet {by} "
+            f"LOCATION {_quoted(path)} TBLPROPERTIES ('{_MARK}' = {_quoted(prefix)})"
+        )
+    spark.sql(f"ALTER TABLE {full} SET TBLPROPERTIES ('{_SEEN}' = '{file['newest']}')")
     if partitions:
         spark.sql(f"MSCK REPAIR TABLE {full}")
     spark.catalog.refreshTable(full.replace("`", ""))
+    return spark.table(full).columns
 
 
 def compact_table(df: DataFrame, out: str, keys: Sequence[str], files: int | None = None) -> None:

@@ -34,15 +34,17 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUN_LOG).parquet(path)
 
 
-def log_status(
-    spark: SparkSession,
-    path: str,
+def entry(
     step_id: int,
     batch_dt: date,
     status: str,
     rows: int | None = None,
     message: str | None = None,
     ts: datetime | None = None,
-) -> None:
-    entry = (step_id, batch_dt, status, rows, message, ts or datetime.now(timezone.utc))
-    append_log(spark.createDataFrame([entry], RUN_LOG).coalesce(1), path)
+) -> tuple:
+    return (step_id, batch_dt, status, rows, message, ts or datetime.now(timezone.utc))
+
+
+def log_entries(spark: SparkSession, path: str, entries: list[tuple]) -> None:
+    """The statuses of one job, which are a few, as one file."""
+    append_log(spark.createDataFrame(entries, RUN_LOG).coalesce(1), path)

@@ -24,6 +24,16 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(p, True)
 
 
+def move(spark: SparkSession, path: str, place: str) -> None:
+    """Puts a folder in the place of another one, which is deleted."""
+    fs, p = _path(spark, path)
+    _, q = _path(spark, place)
+    fs.delete(q, True)
+    fs.mkdirs(q.getParent())
+    if not fs.rename(p, q):
+        raise OSError(f"cannot move {path} to {place}")
+
+
 def complete_folders(spark: SparkSession, root: str) -> list[str]:
     """Names of the folders under the root whose write finished, that is, with a success
     marker. One listing entry per folder, however many files the folders hold."""

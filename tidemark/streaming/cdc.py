@@ -4,11 +4,13 @@ A target holds generations, ``gen-NNNN``, each with the full load it started fro
 (``base``), the stream's checkpoint, and one folder of changes per micro-batch. A
 batch writes only its own changes, so its cost follows the batch and not the table;
 a replayed batch overwrites its own folder. The table is base plus changes. Folding
-the changes now and then keeps the number of folders small.
+the changes now and then keeps the number of folders small, and folding those that no
+late change can precede into a new base, ``base-SEQ``, keeps the changes few.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -25,12 +27,21 @@ START, RESUME, RELOAD = "start", "resume", "reload"
 
 def _generations(spark: SparkSession, target: str) -> list[int]:
     found, number = [], 1
-    while storage.exists(spark, f"{_generation(target, number)}/base/_SUCCESS"):
+    while _bases(spark, _generation(target, number)):
         found.append(number)
         number += 1
     return found
 
 
+def _bases(spark: SparkSession, home: str) -> dict[int | None, str]:
+    """The complete bases by the sequence number up to which they hold the changes; the full load
+    itself, which holds none, comes first."""
+    names = [n for n in storage.complete_folders(spark, home) if re.fullmatch(r"base(-\d+)?", n)]
+    settled = {n: int(n.removeprefix("base-")) if n != "base" else None for n in names}
+    ordered = sorted(names, key=lambda n: (settled[n] is not None, settled[n] or 0))
+    return {settled[n]: n for n in ordered}
+
+
 def _generation(target: str, number: int) -> str:
     return f"{target.rstrip('/')}/gen-{number:04d}"
 
@@ -111,16 +122,49 @@ def stored_changes(spark: SparkSession, home: str, schema: T.StructType) -> Data
     return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
+def _base(spark: SparkSession, home: str) -> tuple[DataFrame, int | None]:
+    settled, name = list(_bases(spark, home).items())[-1]
+    return spark.read.parquet(f"{home}/{name}"), settled
+
+
+def _open_changes(changes: DataFrame, seq: str, settled: int | None) -> DataFrame:
+    """Without the changes that the base already holds, or that came after they had to."""
+    return changes if settled is None else changes.filter(F.col(seq) > settled)
+
+
 def fold_changes(
-    spark: SparkSession, target: str, schema: T.StructType, keys: Sequence[str], seq: str = "seq"
+    spark: SparkSession,
+    target: str,
+    schema: T.StructType,
+    keys: Sequence[str],
+    seq: str = "seq",
+    settle: int | None = None,
 ) -> None:
     """Writes the finished batches of the newest generation as one folder, which takes their
-    place. Deletes and sequence numbers are kept, so late changes still settle rightly."""
+    place; the folders it replaces are deleted. Deletes and sequence numbers are kept, so late
+    changes still settle rightly.
+
+    With ``settle``, a whole number of ``seq``, the changes up to it first become part of a new
+    base. Changes up to it that arrive later are ignored, so it must be old enough. Readers of
+    the older folders should be done by then.
+    """
     home = _newest(spark, target)
+    base, settled = _base(spark, home)
     last, folders = _finished(spark, home)
-    if len(folders) > 1:
-        folded = last_changes(spark.read.schema(schema).parquet(*folders), keys, seq)
-        folded.write.mode("overwrite").parquet(f"{home}/changes/upto-{last}")
+    changes = stored_changes(spark, home, schema)
+    if settle is not None and (settled is None or settle > settled):
+        due = _open_changes(changes, seq, settled).filter(F.col(seq).isNull() | (F.col(seq) <= settle))
+        cdc_apply(base, due, keys, seq).write.mode("overwrite").parquet(f"{home}/base-{settle}")
+        settled = settle
+    elif len(folders) < 2:
+        return
+    place = f"{home}/changes/upto-{last}"
+    if folders and folders != [place]:
+        last_changes(_open_changes(changes, seq, settled), keys, seq).write.mode("overwrite").parquet(place)
+        for folder in folders:
+            storage.delete(spark, folder)
+    for name in list(_bases(spark, home).values())[:-1]:
+        storage.delete(spark, f"{home}/{name}")
 
 
 def current_table(
@@ -128,5 +172,5 @@ def current_table(
 ) -> DataFrame:
     """The newest generation's table: late and repeated changes are settled by ``seq``."""
     home = _newest(spark, target)
-    base = spark.read.parquet(f"{home}/base")
-    return cdc_apply(base, stored_changes(spark, home, schema), keys, seq)
+    base, settled = _base(spark, home)
+    return cdc_apply(base, _open_changes(stored_changes(spark, home, schema), seq, settled), keys, seq)
