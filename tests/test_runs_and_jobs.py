@@ -413,8 +413,9 @@ def test_other_jobs_from_a_config(spark, tmp_path):
     }
     assert run(spark, unload, "unload", D2, at) == 2
     report = {
-        "queries": {"Sales": "SELECT * FROM job_rows"}, "root": str(tmp_path / "reports"),
+        "views": {"job_rows": src}, "queries": {"Sales": "SELECT * FROM job_rows"}, "root": str(tmp_path / "reports"),
         "template": "lake/report_name/report_name_Report_dd_yyyy", "max_size_mb": 1,
     }
     folder = run(spark, report, "report", D2, at)["Sales"]
     assert len(glob.glob(f"{folder}/*/*.csv")) == 2
+    assert not spark.catalog.tableExists("job_rows")

@@ -44,9 +44,21 @@ def _source(spark: SparkSession, named: dict) -> DataFrame:
 def run(
     spark: SparkSession, config: dict, load_type: str, run_date: date, at: datetime
 ) -> DataFrame | int | dict[str, str]:
-    """The job's table, or an unload's number of rows, or the folders of the reports."""
-    for name, named in config.get("views", {}).items():
-        _source(spark, named).createOrReplaceTempView(name)
+    """The job's table, or an unload's number of rows, or the folders of the reports. Views are
+    there while the job runs."""
+    views = config.get("views", {})
+    try:
+        for name, named in views.items():
+            _source(spark, named).createOrReplaceTempView(name)
+        return _run(spark, config, load_type, run_date, at)
+    finally:
+        for name in views:
+            spark.catalog.dropTempView(name)
+
+
+def _run(
+    spark: SparkSession, config: dict, load_type: str, run_date: date, at: datetime
+) -> DataFrame | int | dict[str, str]:
     if load_type == "fold":
         return fold_target(spark, config["target"])
     if load_type == "cleanse":
