@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.session import scratch_dir
 
 # Most bytes of text that a numpy pass takes at once.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 # Bytes and rows of one Arrow batch sent to a Python worker.
 BATCH_BYTES = "8m"
 BATCH_ROWS = "2000"

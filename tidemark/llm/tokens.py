@@ -24,7 +24,7 @@ SHORT = "'s 't 'm 'd"
 LONG = "'re 've 'll"
 
 # Most characters of one pass, places in the word table, longest word that is kept there.
-PASS_CHARS = 1_000_000
+PASS_CHARS = 250_000
 PLACES = 1 << 20
 KEPT_CHARS = 64
 
