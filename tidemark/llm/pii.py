@@ -9,8 +9,10 @@ base span covers counts as one. Half of the sample is kept aside to calibrate th
 choose the least threshold at which the wanted share of selected candidates is right; candidates
 above it are added where no base span lies. The trees become one SQL expression.
 
-Documents are scanned twice and never shuffled; the sample is at most ``SAMPLE`` candidates, those
-with the smallest hash.
+Documents are scanned once and never shuffled: their spans and candidates are a table of their own,
+from which the trees learn and the result is made. The sample is at most ``SAMPLE`` different
+candidates, those with the smallest hash; counts of hashes per halving of their range tell which
+may be among them, so what reaches the driver does not grow with the documents.
 
 Defined results: a null or empty text has no spans; without candidates of both kinds nothing is
 added; repeated rows are scanned each; an empty table gives no rows; other columns are ignored. A
@@ -26,6 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import stored
 from tidemark.llm.spans import apart, fenceless, parts, spans, told
 
 KINDS = ("email", "ip", "card", "phone", "other")
@@ -176,20 +179,39 @@ def proposed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     ).withColumn("base", F.concat("email", "ip", "card", "phone")).select("doc_id", *KINDS[:4], "base", "candidates")
 
 
+def _hash_limit(hashed: DataFrame, sample: int) -> int:
+    """A bound below which the ``sample`` smallest different hashes ``h`` lie, and few others.
+
+    Hashes are counted by how many halvings of their range lie above them: 64 counts, whatever the
+    number of candidates. The counts are approximate, so twice the sample is asked for."""
+    above = F.col("h") - F.lit(-(1 << 63)).cast("decimal(20,0)")
+    halvings = F.floor(F.lit(64.0) - F.log2(above.cast("double") + 1)).cast("int")
+    seen = hashed.groupBy(halvings.alias("halvings")).agg(F.approx_count_distinct("h").alias("n")).collect()
+    counts = {r.halvings: r.n for r in seen}
+    below = 0
+    for k in range(64, 0, -1):
+        below += counts.get(k, 0)
+        if below >= 2 * sample:
+            return -(1 << 63) + (1 << (64 - k)) - 1
+    return (1 << 63) - 1
+
+
 def learn(found: DataFrame, sample: int = SAMPLE) -> Trees:
-    """Trees from a bounded sample of the candidates."""
+    """Trees from a bounded sample of the different candidates."""
     each = found.select("base", F.explode("candidates").alias("c"))
     covered = F.exists("base", lambda b: (b["start"] < F.col("c.end")) & (F.col("c.start") < b["end"]))
     chosen = F.xxhash64("c.found", "c.before", "c.start")
-    told_apart = each.select(chosen.alias("h"), covered.alias("y"), F.col("c")).orderBy("h", "c").limit(sample)
-    rows = told_apart.select("h", "y", F.array(*(f.cast("double") for f in features(F.col("c")))).alias("x")).collect()
+    told_apart = each.select(chosen.alias("h"), covered.alias("y"), F.col("c"))
+    # Copies fold in the tasks, and only hashes near the wanted number leave them.
+    few = told_apart.filter(F.col("h") <= _hash_limit(told_apart, sample)).distinct().orderBy("h", "c", "y").limit(sample)
+    rows = few.select("h", "y", F.array(*(f.cast("double") for f in features(F.col("c")))).alias("x")).collect()
     x = np.array([r.x for r in rows]) if rows else np.zeros((0, 1))
     return Trees().fit(x, np.array([float(r.y) for r in rows]), np.array([r.h >> 8 & 1 == 1 for r in rows], bool))
 
 
 def find(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample: int = SAMPLE) -> DataFrame:
     """Per row the base spans of each kind, and ``found``, all spans by kind, then start."""
-    both = proposed(docs, id_column, text_column)
+    both = stored(proposed(docs, id_column, text_column), "candidates")
     trees = learn(both, sample)
     chosen = F.filter("candidates", lambda s: trees.expression([f.cast("double") for f in features(s)]))
     by_kind = lambda a, b: F.when(a["kind"] != b["kind"], a["kind"] - b["kind"]).otherwise(a["start"] - b["start"])
