@@ -249,6 +249,21 @@ def test_near_duplicates(spark, docs):
     assert {"one", "two words", "another text of id seven"} <= set(texts)
 
 
+def test_near_duplicates_that_share_a_long_passage(spark):
+    # 167 shingles of each text are the passage's: 0.74 for any two, and 0.807 for the planted pairs.
+    draw = random.Random(11)
+    own = lambda n: " ".join(f"w{draw.randrange(10**9)}" for _ in range(n))
+    passage = own(170)
+    rows = [(k, f"{passage} {own(30)}") for k in range(400)]
+    for k in range(400):
+        both = own(9)
+        rows += [(1000 + 2 * k + i, f"{passage} {both} {own(21)}") for i in range(2)]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = brute_components(rows, 4)
+    assert sum(c != i for i, _, c in want) == 400
+    assert sorted(tuples(got, "doc_id", "n_shingles", "component_id"), key=repr) == want
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
 def test_near_duplicates_of_a_table(spark):
     frame = spark.read.parquet(f"{FOLDER}/documents.parquet")

@@ -7,7 +7,9 @@ name buckets. In a bucket, candidate edges run only from a centre to the members
 follows the bucket's size, not its square: first from the member that shares most buckets with
 others, which in a group of edited copies is what they were copied from; then, in buckets whose
 members are still in different components, from a few centres drawn at random, for pairs in
-different components alone. Candidates whose signatures agree too little are dropped (a true link
+different components alone. What hot buckets still hold in several components is searched by prefix
+filter: the shingles of those texts are ordered by how many of them hold each, and two texts that
+reach the similarity share one among the first few of either. Candidates whose signatures agree too little are dropped (a true link
 is lost so with a chance below one in a million), and all others are compared by their full sets.
 
 Equal sets are one node, so copies cost a row each and no edge. A node is named by a 64-bit hash
@@ -27,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -181,6 +184,48 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return map_arrow(pairs.join(a, "a").join(b, "b"), ["a", "b", "sa", "sb"], work, "a long, b long")
 
 
+def _prefix_pairs(rest: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs ``node``, ``centre`` of different components ``c`` of the rest, among them all that reach
+    the similarity.
+
+    In one order of all shingles, the first one that two sets share leaves each of them at least as
+    many places as they must share. Shingles of one component pair nobody and come first; then the
+    rarest, so a passage that many texts hold comes last."""
+
+    def spread(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        n = pc.binary_length(batch.column(2)).to_numpy(zero_copy_only=False).astype(np.int64) // 8
+        shingles = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.int64)
+        columns = [np.repeat(batch.column(k).to_numpy(), n) for k in (0, 1)]
+        columns += [np.repeat(n, n), shingles]
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["node", "c", "n", "shingle"])
+
+    whole = stored(sets.join(rest, "node").select("node", "c", "shingles"), "rest-sets")
+    each = map_arrow(whole, ["node", "c", "shingles"], spread, "node long, c long, n long, shingle long")
+    counts = each.groupBy("shingle").agg(F.count("*").alias("f"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+    counts = stored(counts.filter("lo < hi").select("shingle", "f"), "shingle-counts")
+    held = each.join(counts, "shingle").groupBy("node", "c", "n").agg(F.array_sort(F.collect_list(F.struct("f", "shingle"))).alias("held"))
+    # Places that leave enough for a set no longer than this one.
+    room = F.expr(f"CAST(greatest(size(held) - ceil({SIMILAR} * n / 100) + 1, 0) AS int)")
+    before = F.col("n") - F.size("held")
+    first = held.select("node", "c", "n", before.alias("skipped"), F.posexplode(F.slice("held", F.lit(1), room)).alias("k", "s"))
+    first = stored(first.select("node", "c", "n", (F.col("n") - F.col("skipped") - F.col("k")).alias("left"), F.col("s.shingle").alias("shingle")), "prefixes")
+    # The largest component of a shingle meets the others alone.
+    parts = first.groupBy("shingle", "c").agg(F.count("*").alias("m")).groupBy("shingle")
+    parts = parts.agg(F.max_by("c", F.struct("m", "c")).alias("big"), F.count("*").alias("parts")).filter("parts > 1")
+    first = first.join(stored(parts.select("shingle", "big"), "shingle-parts"), "shingle")
+    first = stored(first.withColumn("big", F.col("c") == F.col("big")), "shared-prefixes")
+    longer = first.select("shingle", "big", *(F.col(k).alias(f"{k}_1") for k in ("node", "c", "n", "left")))
+    shorter = first.filter(f"{100 + SIMILAR} * left >= {2 * SIMILAR} * n")
+    shorter = shorter.select("shingle", F.col("big").alias("big_2"), *(F.col(k).alias(f"{k}_2") for k in ("node", "c", "n", "left")))
+    fits = F.expr(
+        "c_1 <> c_2 AND (n_1 > n_2 OR n_1 = n_2 AND node_1 < node_2)"
+        f" AND {100 + SIMILAR} * least(left_1, left_2) >= {SIMILAR} * (n_1 + n_2) AND 100 * n_2 >= {SIMILAR} * n_1"
+    )
+    met = longer.filter("NOT big").join(shorter, "shingle").filter(fits)
+    met = met.unionByName(longer.filter("big").join(shorter.filter("NOT big_2"), "shingle").filter(fits))
+    return met.select(F.col("node_1").alias("node"), F.col("node_2").alias("centre"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``component``, its least node, of all nodes that have links. Each round takes the
     least label among neighbours and then the label of that label."""
@@ -226,17 +271,30 @@ def near_links(docs: DataFrame, described: DataFrame, size: int, id_column: str,
 
     links = stored(linked(members.join(centre, "key").select("node", "centre")), "verified-links")
     labels = components(links)
+
+    def open_members(most: int) -> DataFrame:
+        """Members, and their components, of the buckets with more members that hold several."""
+        placed = members.join(labels, "node", "left").select("key", "node", "m", F.coalesce("component", "node").alias("c"))
+        placed = stored(placed.filter(F.col("m") > most), "placed")
+        split = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
+        return placed.join(stored(split, "open-buckets"), "key")
+
     # Buckets that hold more than one component draw centres of their own, so a member meets others
     # in each of its buckets.
-    placed = members.join(labels, "node", "left").select("key", "node", "m", F.coalesce("component", "node").alias("c"))
-    placed = stored(placed.filter("m > 2"), "placed")
-    split = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
-    placed = stored(placed.join(stored(split, "open-buckets"), "key"), "open-members")
+    placed = stored(open_members(2), "open-members")
     draw = F.pmod(F.xxhash64("node", "key"), F.lit(1 << 30)) * F.col("m") < DRAWN << 30
     drawn = stored(placed.filter(draw).select("key", F.col("node").alias("centre"), F.col("c").alias("centre_c")), "drawn")
-    found = linked(placed.join(drawn, "key").filter("c <> centre_c").select("node", "centre"))
-    links = stored(links.unionByName(found), "verified-links")
-    return components(links), links
+    found = stored(linked(placed.join(drawn, "key").filter("c <> centre_c").select("node", "centre")), "verified-links")
+    if found.limit(1).count():
+        links = stored(links.unionByName(found), "verified-links")
+        labels = components(links)
+    # Buckets of up to DRAWN members have been searched whole; what others still hold is searched here.
+    rest = stored(open_members(DRAWN).groupBy("node").agg(F.min("c").alias("c")), "rest")
+    found = stored(linked(_prefix_pairs(rest, sets)), "verified-links")
+    if found.limit(1).count():
+        links = stored(links.unionByName(found), "verified-links")
+        labels = components(links)
+    return labels, links
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
