@@ -163,6 +163,41 @@ def test_ids_are_those_of_the_library(texts):
     assert len(counts) == len(texts) and counts.sum() == len(ids)
 
 
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", "a", " ", "\n", " b1", "'s", "é"]), max_size=8).map("".join), max_size=6))
+@settings(max_examples=100, deadline=None)
+def test_added_tokens_are_those_of_a_fresh_library(texts):
+    from tokenizers import Tokenizer
+
+    path = tokens.tokenizer_path()
+    fresh = Tokenizer.from_file(path)
+    for some in (texts, ["a <|endoftext|> b", *texts, "<|endoftext|>"]):
+        ids, counts = tokens.encoder(path).encode(some)
+        want = [fresh.encode(t, add_special_tokens=False).ids for t in some]
+        assert ids.tolist() == [i for each in want for i in each] and counts.tolist() == list(map(len, want))
+
+
+def test_added_tokens_that_take_white_space(tmp_path):
+    from tokenizers import AddedToken, Tokenizer
+
+    fresh = Tokenizer.from_file(tokens.tokenizer_path())
+    fresh.add_special_tokens([AddedToken("<|mask|>", lstrip=True, normalized=False)])
+    path = str(tmp_path / "mask.json")
+    fresh.save(path)
+    texts = ["a  <|mask|> b", "plain", "<|mask|><|endoftext|> c"]
+    ids, counts = tokens.Encoder(path).encode(texts)
+    want = [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids.tolist() == [i for each in want for i in each] and counts.tolist() == list(map(len, want))
+
+
+def test_added_tokens_in_packed_documents(spark):
+    from tokenizers import Tokenizer
+
+    text = "a <|endoftext|> b<|endoftext|>"
+    ids = np.array([*Tokenizer.from_file(tokens.tokenizer_path()).encode(text, add_special_tokens=False).ids, 0], "<u4")
+    frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [(r.length, r.ids_crc32) for r in packing.digest(packing.pack(frame)).collect()] == [(len(ids), zlib.crc32(ids.tobytes()))]
+
+
 def test_long_texts_in_passes(monkeypatch):
     encoder = tokens.encoder(tokens.tokenizer_path())
     whole, _ = encoder.encode([BASE, prose(6, 900)])

@@ -2,7 +2,8 @@
 
 Merges never cross the words that the tokenizer splits a text into, so ids are found per word:
 a numpy pass finds the words of many texts at once and looks them up in a table of known words;
-only unknown words go to the tokenizers library. The table has a fixed number of places, and a
+only unknown words go to the tokenizers library. The file's added tokens (such as an end of text) are
+cut out of the texts first and are one id each, as the library has them. The table has a fixed number of places, and a
 newer word takes an older one's place, so memory is bounded.
 """
 
@@ -50,7 +51,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = {t.content: (i, t) for i, t in self.library.get_added_tokens_decoder().items() if t.content}
+        self.added = {content: i for content, (i, _) in added.items()}
+        # Whether they match as plain text; else the library takes the texts that hold one.
+        self.exact = not any(t.single_word or t.lstrip or t.rstrip for _, t in added.values())
+        # The leftmost, and of several there the longest.
+        self.cut = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
         self.keys = np.zeros(PLACES, np.uint64)
         self.first = np.zeros(PLACES, np.int64)
         self.count = np.zeros(PLACES, np.int64)
@@ -110,6 +116,34 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and how many each text has."""
+        if self.cut is None or not any(map(self.cut.search, texts)):
+            return self._plain(texts)
+        pieces: list[str] = []
+        row: list[int] = []
+        after: list[int] = []  # the piece that each added token follows
+        tokens: list[int] = []
+        for k, text in enumerate(texts):
+            at = 0
+            if not self.exact and self.cut.search(text):
+                whole = self.library.encode(text, add_special_tokens=False).ids
+                after += [len(pieces)] * len(whole)
+                tokens += whole
+                text = ""
+            for found in self.cut.finditer(text):
+                after.append(len(pieces))
+                tokens.append(self.added[found[0]])
+                pieces.append(text[at : found.start()])
+                row.append(k)
+                at = found.end()
+            pieces.append(text[at:])
+            row.append(k)
+        ids, n = self._plain(pieces)
+        ids = np.insert(ids, np.cumsum(n)[after], np.array(tokens, np.uint32))
+        np.add.at(n, after, 1)
+        return ids, np.bincount(row, n, len(texts)).astype(np.int64)
+
+    def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``encode`` of texts without added tokens."""
         counts = np.zeros(len(texts), np.int64)
         ids: list[np.ndarray] = []
         for rows, pieces in _passes(texts):
