@@ -347,6 +347,33 @@ def test_random_tokens_are_told_from_words(spark):
     assert not any(got[k] for k in range(40, len(rows)))
 
 
+def test_random_tokens_of_every_encoding_and_length(spark):
+    draw = random.Random(5)
+    low, num = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    kinds = {
+        "lower36": low + num, "upper36": low.upper() + num, "base32": low.upper() + "234567", "lower32": low + "234567", "lower": low,
+        "upper": low.upper(), "letters": low + low.upper(), "base62": low + low.upper() + num, "base64": low + low.upper() + num + "+/",
+        "url64": low + low.upper() + num + "-_",
+    }
+    word = lambda k, n: "".join(draw.choice(kinds[k]) for _ in range(n))
+    hexes = lambda n: "".join(draw.choice(num + "ABCDEF") for _ in range(n))
+    tokens_of = {(k, n): [word(k, n) for _ in range(25)] for k in kinds for n in (24, 40, 64)}
+    tokens_of["uuid", 36] = ["-".join(map(hexes, (8, 4, 4, 4, 12))) for _ in range(25)]
+    tokens_of["prefixed", 35] = ["sk-" + hexes(32) for _ in range(25)]
+    names = "get set user account response request internal server configuration of the customer with default value history message".split()
+    plain = [f(*(draw.choice(names) for _ in range(5))) for _ in range(200) for f in (
+        lambda *w: "".join(w), lambda *w: "_".join(w), lambda *w: "".join(map(str.title, w)), lambda *w: "/" + "/".join(w),
+        lambda *w: "-".join(w).upper() + "-2024",
+    )]
+    plain += [str(draw.randrange(10**29, 10**30)) for _ in range(50)] + ["=" * 40, "-" * 40, "abcdefghijklmnopqrstuvwxyz0123456789"]
+    rows = [(f"{k} {n}", f"see {t} there") for (k, n), ts in tokens_of.items() for t in ts] + [("plain", f"see {t} there") for t in plain]
+    scanned = secret_scan.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    found = collections.Counter(r.doc_id for r in scanned if len(r.found) > len(r.base))  # numbers are base forms of hex
+    least = {("lower", 24): 5, ("upper", 24): 5, ("lower", 40): 20, ("upper", 40): 20}
+    short = {k: found[f"{k[0]} {k[1]}"] for k in tokens_of if found[f"{k[0]} {k[1]}"] < least.get(k, 23)}
+    assert not short and found["plain"] <= 0.02 * sum(found.values())
+
+
 def plain_pii(t):
     digits = lambda s: re.sub("[^0-9]", "", s)
 

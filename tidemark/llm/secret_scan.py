@@ -1,14 +1,20 @@
 """Secrets: known forms by pattern, others by a battery of randomness tests. SQL functions only.
 
-Candidates are long unbroken tokens. A token's encoding is inferred from its characters (hex,
-base32, letters and digits, base64), and its symbols' values are tested against uniform noise:
-chi-squared of the symbol counts, number of runs above and below the middle, and serial
+Candidates are long unbroken tokens. Of a token its body counts: without short prefixes that end
+in a dash, underscore or equals sign, and of hex in parts without the dashes. The body's encoding
+is inferred from its characters (``ENCODINGS``), and its symbols' values are tested against uniform
+noise: chi-squared of the symbol counts, number of runs above and below the middle, and serial
 correlation, each as a normal score with the mean and spread for that length and alphabet, added
-up to one chi-squared of three degrees. A token that looks like noise must also be unlike text:
-the chance that text changes between small letters, capitals and digits so often in so few
-characters is its p-value, which falls with length. In each band of lengths the p-values of all
-documents' tokens go through the Benjamini-Hochberg procedure, from counts per band and bin of
-the p-value (a fixed number of rows, whatever the data).
+up to one chi-squared of three degrees with a p-value of its own. A token that looks like noise
+must also be unlike text: a chain of character classes (vowels, consonants, capitals, digits) with
+letter frequencies gives the chance of the body as text. The p-value that is controlled is that
+chance over the body's chance as noise in its encoding times the battery's p-value. The latter two
+add up to at most one over all bodies, so text has a ratio of x or less with a chance of at most x;
+it falls with length. In each band of lengths these p-values of all documents' tokens go through
+the Benjamini-Hochberg procedure, from counts per band and bin of the p-value (a fixed number of
+rows, whatever the data).
+
+Numbers of digits alone cannot be told from other long numbers and are never found so.
 
 Documents are scanned twice and never shuffled.
 
@@ -19,6 +25,8 @@ U+0001 in a text counts as one character of no kind.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,20 +41,34 @@ VALUE_CHARS = 6
 
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
 # Encodings, the first that fits counts: what its tokens look like, and its alphabet.
+_LOW, _UP, _NUM = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 ENCODINGS = (
-    ("^[0-9a-f]+$", "0123456789abcdef"),
-    ("^[0-9A-F]+$", "0123456789ABCDEF"),
-    ("^[A-Z2-7]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
-    ("^[A-Za-z0-9]+$", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
-    ("^[A-Za-z0-9+/]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
-    (".", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
+    ("^[0-9]+$", _NUM),
+    ("^[0-9a-f]+$", _NUM + "abcdef"),
+    ("^[0-9A-F]+$", _NUM + "ABCDEF"),
+    ("^[a-z]+$", _LOW),
+    ("^[A-Z]+$", _UP),
+    ("^[A-Z2-7]+=*$", _UP + "234567"),
+    ("^[a-z2-7]+=*$", _LOW + "234567"),
+    ("^[a-z0-9]+$", _NUM + _LOW),
+    ("^[A-Z0-9]+$", _NUM + _UP),
+    ("^[A-Za-z]+$", _UP + _LOW),
+    ("^[A-Za-z0-9]+$", _NUM + _UP + _LOW),
+    ("^[A-Za-z0-9+/]+=*$", _UP + _LOW + _NUM + "+/"),
+    ("^[A-Za-z0-9_-]+=*$", _UP + _LOW + _NUM + "-_"),
+    (".", _UP + _LOW + _NUM + "-_+/="),
 )
-# Upper bounds of the length bands; share of false discoveries; limit of the summed squares
-# (0.001 of a chi-squared of three degrees); changes of character class per step in text.
+# Short prefixes before a body without separators; parts of hex after such prefixes.
+PREFIX = r"^(?:[A-Za-z0-9]{1,10}[-_=]){1,3}(?=[A-Za-z0-9+/]{16,}=*$)"
+HEX_PARTS = r"^(?:[A-Za-z]{1,10}[-_=]){0,2}((?:[0-9a-f]+-)+[0-9a-f]+|(?:[0-9A-F]+-)+[0-9A-F]+)$"
+# Upper bounds of the length bands; share of false discoveries.
 BANDS = (24, 32, 48, 96)
 RATE = 0.01
-NOISE = 16.27
+# Text: changes of character class per step, vowels after a vowel, after a consonant and first in a
+# class, and how often letters are used, with a floor for the rare ones.
 TEXT_CHANGES = 0.08
+VOWELS = (0.2, 0.58, 0.4)
+USED = dict(zip("etaoinshrdlcumwfgypbvkjxqz", (127, 91, 82, 75, 70, 67, 63, 61, 60, 43, 40, 28, 28, 24, 24, 22, 20, 20, 19, 15, 10, 8, 8, 8, 8, 8)))
 # Bins of -ln p, and how many.
 BIN, BINS = 0.25, 400
 
@@ -55,13 +77,22 @@ def _clamped(x: Column) -> Column:
     return F.least(F.greatest(x, F.lit(-60.0)), F.lit(60.0))
 
 
-def noise_score(token: Column) -> Column:
-    """Sum of the three squared scores against uniform noise, in the token's own alphabet."""
-    plain = F.rtrim(token, F.lit("="))
+def body(token: Column) -> Column:
+    """The part of a token that may be noise."""
+    hexes = F.regexp_extract(token, HEX_PARTS, 1)
+    return F.when(hexes != "", F.translate(hexes, "-", "")).otherwise(F.regexp_replace(token, F.lit(PREFIX), F.lit("")))
+
+
+def _alphabet(token: Column) -> Column:
     alphabet = F.lit(ENCODINGS[-1][1])
     for form, letters in reversed(ENCODINGS[:-1]):
         alphabet = F.when(token.rlike(form), F.lit(letters)).otherwise(alphabet)
-    return _scores(plain, alphabet)
+    return alphabet
+
+
+def noise_score(token: Column) -> Column:
+    """Sum of the three squared scores against uniform noise, in the token's own alphabet."""
+    return _scores(F.rtrim(token, F.lit("=")), _alphabet(token))
 
 
 def _scores(plain: Column, alphabet: Column) -> Column:
@@ -77,10 +108,10 @@ def _scores(plain: Column, alphabet: Column) -> Column:
 
     def score(h: Column) -> Column:
         v, k = h["v"], h["k"]
-        n = F.size(v).cast("double")
+        n = F.greatest(F.size(v), F.lit(2)).cast("double")  # a token of equals signs has no symbols
         middle = (k - 1) / 2
         squares = F.aggregate(
-            F.sequence(F.lit(0), F.lit(63)),
+            F.sequence(F.lit(0), F.lit(max(len(a) for _, a in ENCODINGS) - 1)),
             F.lit(0.0),
             lambda s, i: s + F.pow(F.size(F.filter(v, lambda x: x == i)).cast("double"), F.lit(2.0)),
         )
@@ -111,18 +142,52 @@ def _scores(plain: Column, alphabet: Column) -> Column:
     return F.get(F.transform(valued, score), F.lit(0))
 
 
-def text_surprise(token: Column) -> Column:
-    """-ln of (a bound on) the chance of so many changes of character class in text of that length."""
-    classes = F.translate(
-        token,
-        "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-",
-        "a" * 26 + "A" * 26 + "0" * 10 + "-" * 5,
-    )
-    squeezed = F.regexp_replace(classes, F.lit("(.)\\1+"), F.lit("$1"))
-    steps = F.greatest(F.char_length(token) - 1, F.lit(1)).cast("double")
-    seen = F.least((F.char_length(squeezed) - 1).cast("double") / steps, F.lit(1 - 1e-9))
-    bound = steps * (seen * F.ln(F.greatest(seen, F.lit(1e-9)) / TEXT_CHANGES) + (1 - seen) * F.ln((1 - seen) / (1 - TEXT_CHANGES)))
-    return F.when(seen > TEXT_CHANGES, bound).otherwise(F.lit(0.0))
+def _text_model() -> tuple[str, list[int], list[float], list[float]]:
+    """All symbols, the class of each, its cost (-ln of its share) there, and the costs of one class
+    after another, by class times classes plus class. The last class is before the first symbol."""
+    groups = ["aeiou", "".join(c for c in _LOW if c not in "aeiou")]
+    groups += [g.upper() for g in groups] + [_NUM, "+/_=-"]
+    kinds = [0, 0, 1, 1, 2, 3, None]
+    symbols, classes, costs = "", [], []
+    for number, group in enumerate(groups):
+        shares = [USED.get(c.lower(), 1) for c in group]
+        symbols += group
+        classes += [number] * len(group)
+        costs += [-math.log(n / sum(shares)) for n in shares]
+    moves = []
+    for last, before in enumerate(kinds):
+        for to, kind in enumerate(kinds[:-1]):
+            share = 0.25 if before is None else 1 - TEXT_CHANGES if kind == before else TEXT_CHANGES / 3
+            if to < 4:
+                vowel = VOWELS[last % 2] if kind == before else VOWELS[2]
+                share *= 1 - vowel if to % 2 else vowel
+            moves.append(-math.log(share))
+    return symbols, classes, costs, moves
+
+
+def text_cost(token: Column) -> Column:
+    """-ln of a token's chance as text of its length."""
+    symbols, classes, costs, moves = _text_model()
+    n = max(classes) + 1
+    class_of, cost_of, move = (F.array(*map(F.lit, x)) for x in (classes, costs, moves))
+    zero = F.struct(F.lit(n).alias("last"), F.lit(0.0).alias("cost"))
+
+    def step(a: Column, at: Column) -> Column:
+        to = F.get(class_of, at)
+        return F.struct(to.alias("last"), (a["cost"] + F.get(cost_of, at) + F.get(move, a["last"] * n + to)).alias("cost"))
+
+    places = F.transform(F.filter(F.split(token, ""), lambda c: c != ""), lambda c: F.position(c, F.lit(symbols)) - 1)
+    return F.aggregate(places, zero, step, lambda a: a["cost"])
+
+
+def evidence(token: Column) -> Column:
+    """-ln of the token's p-value (see above); negative for what is likelier as text."""
+    plain = F.rtrim(token, F.lit("="))
+    noise = F.char_length(plain) * F.ln(F.char_length(_alphabet(token))) + math.log(len(ENCODINGS))
+    score = _scores(plain, _alphabet(token))
+    # Upper bound of the chance of a chi-squared of three degrees above the score.
+    battery = F.least(F.lit(0.0), F.ln(1 + F.sqrt(score * (2 / math.pi))) - score / 2)
+    return text_cost(plain) - noise + battery
 
 
 def _band(token: Column) -> Column:
@@ -131,8 +196,8 @@ def _band(token: Column) -> Column:
 
 
 def _bin(token: Column) -> Column:
-    looks = F.when(noise_score(token) <= NOISE, text_surprise(token)).otherwise(F.lit(0.0))
-    return F.least(F.floor(looks / BIN).cast("int"), F.lit(BINS - 1))
+    looks = F.get(F.transform(F.array(body(token)), evidence), F.lit(0))
+    return F.least(F.greatest(F.floor(F.coalesce(looks, F.lit(0.0)) / BIN), F.lit(0)), F.lit(BINS - 1)).cast("int")
 
 
 def limits(tokens: DataFrame) -> list[int]:
