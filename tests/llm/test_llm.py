@@ -403,6 +403,21 @@ def test_personal_data(spark):
         assert {tuple(s) for s in r.base} <= {tuple(s) for s in r.found}
 
 
+def test_near_forms_of_personal_data(spark):
+    draw = random.Random(9)
+    n = lambda k: "".join(draw.choice("123456789") for _ in range(k))
+    lead = lambda: draw.choice(["please call", "phone", "my mobile is", "tel"])
+    other = lambda: draw.choice(["order", "part", "the build of", "batch"])
+    forms = [lambda: f"({n(3)}) {n(3)}-{n(4)}", lambda: f"{n(3)}.{n(3)}.{n(4)}", lambda: f"{n(3)}/{n(3)}/{n(4)}", lambda: f"1 ({n(3)}) {n(3)}-{n(4)}"]
+    base = [f"{lead()} +1 ({n(3)}) {n(3)}-{n(4)} today" for _ in range(300)]
+    near = [f"{lead()} {draw.choice(forms)()} today" for _ in range(200)]
+    none = [f"{other()} {draw.choice(forms)()} today" for _ in range(500)]
+    frame = spark.createDataFrame(list(enumerate(base + near + none)), "doc_id long, text string")
+    added = {r.doc_id for r in pii.find(frame).collect() if len(r.found) > len(r.base)}
+    assert len(added & set(range(300, 500))) >= 180 and len(added & set(range(500, 1000))) <= 10
+    assert not added & set(range(300))
+
+
 def test_trees_learn_a_rule():
     draw = np.random.default_rng(1)
     x = draw.integers(0, 20, (600, 3)).astype(float)

@@ -3,11 +3,15 @@ rows; the trees are fitted on the driver, from a bounded sample of candidates' n
 
 Generators with a high recall propose spans that may overlap: anything around an at sign, and
 long chains of digits with the usual separators. Each candidate gets features of its form
-(lengths, digits, separators, octets, check digit) and of the words before it. Boosted trees
-learn from the candidates themselves which forms are personal data: a candidate that a validated
-base span covers counts as one. Half of the sample is kept aside to calibrate the scores and to
-choose the least threshold at which the wanted share of selected candidates is right; candidates
-above it are added where no base span lies. The trees become one SQL expression.
+(lengths, digits, separators) and of the words before it, but none that restates a base pattern,
+such as the plus sign, which separators are used, or the check digit: a candidate of a near form in
+the same context looks the same. Boosted trees learn from the candidates themselves: those that a
+validated base span covers are positive, all others unlabelled. Half of the sample is kept aside to
+calibrate the scores. There, the mean score of the base hits is the share of personal data that is
+labelled, and a score over that share the chance that an unlabelled candidate is personal data; the
+least threshold counts at which the wanted share of the unlabelled candidates it selects is right.
+This holds as far as base hits are like other personal data in these features. Candidates above the
+threshold are added where no base span lies. The trees become one SQL expression.
 
 Documents are scanned once and never shuffled: their spans and candidates are a table of their own,
 from which the trees learn and the result is made. The sample is at most ``SAMPLE`` different
@@ -42,11 +46,11 @@ OCTETS = r"^0*(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(\.0*(25[0-5]|2[0-4][0-9]|1?[0-
 # The generators: around an at sign, chains of digits.
 AROUND_AT = r"[^\s@<>\x01]{1,64}+@[^\s@<>\x01]{1,128}+"
 DIGITS = r"\+?[0-9](?:[\x20().\-/]{0,2}[0-9]){6,30}+"
-WORDS = "call|phone|tel|fax|mobile|mail|contact|write|reach|card|visa|account|address|server|host|login"
+WORDS = ("call|tele|phone|tel|fax|mobile", "e?-?mail|contact|write|reach", "card|visa|account", "address|server|host|login")
 
 SAMPLE = 4000
 TREES, DEPTH, RATE, CUTS = 24, 3, 0.3, 16
-# Share of selected candidates that must be right, and least calibrated score in any case.
+# Share of selected unlabelled candidates that must be right, and least chance of one in any case.
 PRECISION, LEAST = 0.98, 0.5
 
 
@@ -70,28 +74,24 @@ def features(s: Column) -> list[Column]:
     """Numbers that tell a candidate's form and context."""
     found, before = s["found"], F.lower(s["before"])
     number = digits(found)
-    count = lambda pattern: F.char_length(found) - F.char_length(F.regexp_replace(found, F.lit(pattern), F.lit("")))
     flag = lambda condition: F.when(condition, 1).otherwise(0)
+    groups = F.transform(F.split(found, "[^0-9]+"), F.char_length)
     return [
-        F.char_length(found),
-        F.char_length(number),
-        count("[A-Za-z]"),
-        count("[.]"),
-        count("[\\x20-]"),
-        count("[()/]"),
-        flag(found.startswith("+")),
+        F.char_length(F.regexp_replace(found, F.lit("[^A-Za-z]"), F.lit(""))),
+        flag(F.char_length(number) < 8),
+        flag(F.char_length(number).between(16, 19)),
+        flag(F.char_length(number) > 19),
+        F.least(F.array_max(groups), F.lit(8)),
         flag(found.contains("@")),
-        flag(found.rlike("@.*[.][A-Za-z]{2,}$")),
-        flag(found.rlike(OCTETS)),
-        flag((F.char_length(number) >= 12) & luhn(F.right(number, F.lit(19)))),
-        flag(before.rlike(WORDS)),
+        *(flag(before.rlike(rf"\b(?:{words})")) for words in WORDS),
         flag(before.rlike("[A-Za-z0-9]$")),
         flag(before.rlike("[\\s:(]$")),
     ]
 
 
 class Trees:
-    """Boosted regression trees on the logistic loss, and the calibration of their sum."""
+    """Boosted regression trees on the logistic loss, and the calibration of their sum; ``y`` is 1 for
+    the positive rows and 0 for those without a label."""
 
     def __init__(self):
         self.trees: list = []
@@ -115,8 +115,11 @@ class Trees:
             fitted = fitted + 0.5 * np.linalg.solve((design * (p * (1 - p))) @ design.T + np.eye(2), slope)
         self.scale, self.shift = map(float, fitted)
         p = 1 / (1 + np.exp(-np.clip(fitted @ design, -30, 30)))
-        for t in np.unique(p[p >= LEAST]):
-            if y[held][p >= t].mean() >= PRECISION:
+        # Base hits are the labelled share of all personal data.
+        chance = np.minimum(p / p[y[held] == 1].mean(), 1.0)
+        for t in np.unique(p[chance >= LEAST]):
+            selected = chance[(p >= t) & (y[held] == 0)]
+            if not len(selected) or selected.mean() >= PRECISION:
                 self.threshold = float(t)
                 break
         return self
