@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import math
 import os
 import random
 import re
@@ -299,6 +300,11 @@ def test_near_duplicates_that_share_a_long_passage(spark):
     assert sorted(tuples(got, "doc_id", "n_shingles", "component_id"), key=repr) == want
 
 
+def test_signature_filter_loses_less_than_one_in_a_million():
+    bins, p = near_dedup.BINS, near_dedup.SIMILAR / 100
+    assert sum(math.comb(bins, k) * p**k * (1 - p) ** (bins - k) for k in range(near_dedup.AGREE)) < 1e-6
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
 def test_near_duplicates_of_a_table(spark):
     frame = spark.read.parquet(f"{FOLDER}/documents.parquet")

@@ -39,8 +39,9 @@ SHINGLE = 4
 SIMILAR = 80  # percent
 BINS = 128
 BANDS = 32
-# Bins that must agree before two sets are compared; 4.9 standard deviations below 80 percent.
-AGREE = 80
+# Bins that must agree before two sets are compared: of 128 independent ones that agree at 80 percent each, fewer do
+# with a chance below one in a million.
+AGREE = 78
 # Centres that a bucket is expected to draw after its first one.
 DRAWN = 3
 
