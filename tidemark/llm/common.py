@@ -35,11 +35,12 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a table in the shared scratch folder, so that later jobs start from files."""
+def stored(df: DataFrame, name: str, group_bytes: int = 128 * 1024 * 1024) -> DataFrame:
+    """The rows as a table in the shared scratch folder, so that later jobs start from files. Readers
+    hold up to a row group's bytes at once; give fewer where rows are large."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", group_bytes).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
