@@ -5,7 +5,7 @@
 
 The daily job's config (``init``, ``snapshot``; ``fold`` needs the target only) names ``source``
 (``format``, ``options``), ``target``, ``snapshots``, ``primary_keys``, ``select_columns``,
-``string_columns`` and, if they differ from the defaults, ``audit_columns``. The others:
+``string_columns`` and, if they differ from the defaults, ``audit_columns`` and ``buckets``. The others:
 
     cleanse  ``source``, ``target``, ``options`` of the table, ``schema``, ``lookups`` (name: source)
     unload   ``job``, ``step_id``, ``log``
@@ -81,7 +81,8 @@ def _run(
     target, snapshots, strings = config["target"], config["snapshots"], config["string_columns"]
     audit = tuple(config.get("audit_columns", AUDIT_COLUMNS))
     if load_type == "init":
-        return initial_load(source, target, snapshots, run_date, strings, at, audit)
+        keys, buckets = config.get("primary_keys", ()), config.get("buckets")
+        return initial_load(source, target, snapshots, run_date, strings, at, audit, keys=keys, buckets=buckets)
     return daily_snapshot(
         source,
         target,

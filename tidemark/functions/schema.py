@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Collection, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,3 +78,39 @@ def cast_or_null(c: Column, source: T.DataType, target: str | T.DataType) -> Col
     if isinstance(source, T.StringType) and _NUMBER.match(name.strip()):
         return F.when((c < ":") | (c >= "\x7f"), c.try_cast(target))
     return c.try_cast(target)
+
+
+_INTEGRAL = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 20}
+_NUMERIC = [*_INTEGRAL, T.FloatType, T.DoubleType]
+_TIMES = [T.DateType, T.TimestampNTZType, T.TimestampType]
+
+
+def wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type that holds the values of both: the longer number, the decimal with room for both, the
+    double of a decimal and a fraction, the timestamp of a date, else text. Nested types must be equal."""
+    if a == b:
+        return a
+    kinds = type(a), type(b)
+    for order in (_NUMERIC, _TIMES):
+        if all(k in order for k in kinds):
+            return max((a, b), key=lambda t: order.index(type(t)))
+    if T.DecimalType in kinds and all(k in (*_NUMERIC, T.DecimalType) for k in kinds):
+        if not all(k in (*_INTEGRAL, T.DecimalType) for k in kinds):
+            return T.DoubleType()
+        sizes = [(t.precision, t.scale) if isinstance(t, T.DecimalType) else (_INTEGRAL[type(t)], 0) for t in (a, b)]
+        scale = max(s for _, s in sizes)
+        return T.DecimalType(min(38, max(p - s for p, s in sizes) + scale), scale)
+    if T.NullType in kinds:
+        return b if isinstance(a, T.NullType) else a
+    if T.StringType in kinds and not any(isinstance(t, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)) for t in (a, b)):
+        return T.StringType()
+    raise ValueError(f"no type holds both {a.simpleString()} and {b.simpleString()}")
+
+
+def aligned(rows: DataFrame, fields: Sequence[T.StructField], visible: Collection[str] | None = None) -> DataFrame:
+    """The rows with these columns, cast to their types; those that the rows do not have, or that are
+    not among ``visible``, are null."""
+    there = set(rows.columns) if visible is None else set(rows.columns) & set(visible)
+    return rows.select(
+        *((F.col(f.name) if f.name in there else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields)
+    )

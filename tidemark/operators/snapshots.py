@@ -19,6 +19,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _IN_LEFT, _IN_RIGHT = "_in_left", "_in_right"
 # Rows of a key in the latest snapshot.
@@ -64,6 +65,68 @@ def key_changes(latest: DataFrame, previous: DataFrame, keys: Sequence[str]) ->
     return a.union(b).groupBy(*keys).agg(F.sum(ROWS).alias(ROWS)).filter(F.col(ROWS) != 1)
 
 
+# What happened to a key between two snapshots.
+OP, INSERT, UPDATE, DELETE = "op", "I", "U", "D"
+# Bits that tell roughly which keys a table has, and those of a row of them: at most 8 MB in all.
+_BITS, _ROW_BITS, _WORD_BITS = 26, 12, 6
+
+
+def row_hash(schema: T.StructType, columns: Sequence[str]) -> Column:
+    """128 bits of these columns' values. Nulls are told from their absence, nested values by their
+    JSON form."""
+    nested = (T.ArrayType, T.StructType, T.MapType)
+    values = [F.to_json(F.struct(c)) if isinstance(schema[c].dataType, nested) else F.col(c) for c in columns]
+    nulls = F.array(*(F.col(c).isNull() for c in columns))
+    return F.struct(F.xxhash64(*values, nulls).alias("a"), F.xxhash64(nulls, *reversed(values)).alias("b"))
+
+
+def changed_keys(
+    latest: DataFrame, previous: DataFrame, keys: Sequence[str], columns: Sequence[str]
+) -> DataFrame:
+    """Keys that were inserted, updated or deleted, with ``op`` and the number of their rows in the
+    latest snapshot, and those with several rows there.
+
+    Both snapshots send a key and the hash of the compare columns a row, in one shuffle. The columns must
+    have the same types on both sides. An update whose hash of 128 bits stays the same is missed.
+    """
+    now, then = F.when(F.col("_now"), F.col("_hash")), F.when(~F.col("_now"), F.col("_hash"))
+    sides = [df.select(*keys, row_hash(df.schema, columns).alias("_hash"), F.lit(flag).alias("_now")) for df, flag in ((latest, True), (previous, False))]
+    both = sides[0].union(sides[1]).groupBy(*keys).agg(
+        F.count_if("_now").alias(ROWS), F.max(now).alias("_new"), F.max(then).alias("_old")
+    )
+    op = F.when(F.col("_old").isNull(), INSERT).when(F.col("_new").isNull(), DELETE).when(F.col("_new") != F.col("_old"), UPDATE)
+    return both.select(*keys, op.alias(OP), ROWS).filter(F.col(OP).isNotNull() | (F.col(ROWS) > 1))
+
+
+def rows_of(table: DataFrame, keyed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The table's rows whose key occurs in ``keyed``, which has each key once.
+
+    Before the join, rows are held against a bitmap of the keys' hashes, which has a fixed size and so is
+    broadcast. What is shuffled is about as much as the result, while the keys are few beside
+    the bits (2^26); with more of them, more of the table.
+    """
+    place = F.pmod(F.xxhash64(*keys), F.lit(1 << _BITS))
+    words = 1 << (_ROW_BITS - _WORD_BITS)
+    bits = (
+        keyed.select(place.alias("p"))
+        .groupBy(F.shiftright("p", _ROW_BITS).alias("_row"), F.pmod(F.shiftright("p", _WORD_BITS), F.lit(words)).cast("int").alias("w"))
+        .agg(F.bit_or(F.expr(f"shiftleft(1L, CAST(pmod(p, {1 << _WORD_BITS}) AS INT))")).alias("bits"))
+        .groupBy("_row")
+        .agg(F.map_from_entries(F.collect_list(F.struct("w", "bits"))).alias("m"))
+        .select("_row", F.transform(F.sequence(F.lit(0), F.lit(words - 1)), lambda w: F.coalesce(F.col("m")[w], F.lit(0).cast("long"))).alias("_bits"))
+    )
+    word = F.pmod(F.shiftright("_place", _WORD_BITS), F.lit(words)).cast("int")
+    bit = F.getbit(F.get("_bits", word), F.pmod("_place", F.lit(1 << _WORD_BITS)).cast("int"))
+    likely = (
+        table.withColumn("_place", place)
+        .join(F.broadcast(bits), F.shiftright("_place", _ROW_BITS) == F.col("_row"))
+        .filter(bit == 1)
+        .select(*table.columns)
+    )
+    # Not a semi join: Spark would push that below the bitmap's.
+    return likely.join(keyed.select(*prefixed(keys, "_of_")), null_safe(keys, "_of_")).select(*table.columns)
+
+
 def change_feed(
     latest: DataFrame, previous: DataFrame, keys: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:

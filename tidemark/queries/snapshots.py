@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import changes, snapshots
-from tidemark.plans.daily import daily_snapshot, initial_load
+from tidemark.plans.daily import daily_snapshot, fold_target, initial_load
 from tidemark.queries import Tables, query
 from tidemark.session import scratch_dir
+from tidemark.sources import keyed
 from tidemark.streaming.cdc import START, cdc_stream, current_table
 
 ORDER_KEYS = ["o_orderkey"]
@@ -142,6 +143,20 @@ def _merge(t: Tables) -> DataFrame:
     return snapshots.upsert_merge(previous_orders(t), _delta(t), ORDER_KEYS)
 
 
+@query(
+    "upsert_merge_keyed",
+    f"""{_BOTH},
+delta AS (SELECT * FROM latest EXCEPT SELECT * FROM prev)
+SELECT * FROM prev WHERE o_orderkey NOT IN (SELECT o_orderkey FROM delta) UNION ALL SELECT * FROM delta""",
+)
+def _merge_keyed(t: Tables) -> DataFrame:
+    """The same into a stored target: only the buckets of changed keys are written."""
+    home = scratch_dir(t.spark, "keyed")
+    keyed.store(previous_orders(t), f"{home}/1", f"{home}/data", ORDER_KEYS)
+    place = keyed.load_place(t.spark, f"{home}/1")
+    return keyed.read(t.spark, keyed.upsert(t.spark, f"{home}/2", place, _delta(t)))
+
+
 # Several records per order: an update, then a delete of archived orders, then for the dear
 # ones among them a new insert; and a first record for the orders of 2001.
 _CHANGES = f"""WITH {_PREVIOUS},
@@ -184,6 +199,14 @@ def _apply(t: Tables) -> DataFrame:
     return changes.cdc_apply(previous_orders(t), order_changes(t), ORDER_KEYS)
 
 
+@query("cdc_apply_keyed", _CHANGES)
+def _apply_keyed(t: Tables) -> DataFrame:
+    home = scratch_dir(t.spark, "keyed")
+    base = keyed.store(previous_orders(t), f"{home}/1", f"{home}/data", ORDER_KEYS)
+    place = keyed.load_place(t.spark, f"{home}/1")
+    return keyed.apply_changes(t.spark, place, order_changes(t), base.schema.fields, "seq", "op")
+
+
 @query("cdc_stream", _CHANGES)
 def _stream(t: Tables) -> DataFrame:
     home = scratch_dir(t.spark, "cdc")
@@ -227,7 +250,7 @@ def _daily(t: Tables) -> DataFrame:
     home = scratch_dir(t.spark, "daily")
     strings = ["o_orderpriority"]
     first = _audited(_with_nul(previous_orders(t)), _FIRST)
-    initial_load(first, f"{home}/gold", f"{home}/curated", _FIRST.date(), strings)
+    initial_load(first, f"{home}/gold", f"{home}/curated", _FIRST.date(), strings, keys=ORDER_KEYS)
     version = daily_snapshot(
         _audited(_with_nul(latest_orders(t)), _SECOND),
         f"{home}/gold",
@@ -246,6 +269,29 @@ def _daily(t: Tables) -> DataFrame:
     )
 
 
+# The days' columns differ: the first day has no priority and a short customer number, the second has both as
+# they are, and the third has no status.
+@query(
+    "daily_columns",
+    f"""{_BOTH}
+SELECT l.o_orderkey, l.o_custkey, l.o_totalprice, l.o_orderpriority,
+  CASE WHEN l.o_totalprice <> p.o_totalprice THEN '2024-01-03' WHEN p.o_orderpriority IS NOT NULL THEN '2024-01-02'
+       WHEN p.o_orderkey IS NOT NULL THEN '2024-01-01' ELSE '2024-01-03' END AS load_date
+FROM latest l LEFT JOIN prev p ON p.o_orderkey = l.o_orderkey""",
+    text=["o_custkey"],
+)
+def _columns(t: Tables) -> DataFrame:
+    home = scratch_dir(t.spark, "daily")
+    gold, curated = f"{home}/gold", f"{home}/curated"
+    days = [datetime(2024, 1, day, 6, tzinfo=timezone.utc) for day in (1, 2, 3)]
+    short = previous_orders(t).select("o_orderkey", F.col("o_custkey").cast("int"), "o_orderstatus", "o_totalprice")
+    initial_load(_audited(short, days[0]), gold, curated, days[0].date(), [], keys=ORDER_KEYS)
+    second, third = previous_orders(t).drop("o_orderdate"), latest_orders(t).drop("o_orderdate", "o_orderstatus")
+    for rows, at in ((second, days[1]), (third, days[2])):
+        daily_snapshot(_audited(rows, at), gold, curated, at.date(), ORDER_KEYS, rows.columns, [], at)
+    return fold_target(t.spark, gold).drop("load_ts").withColumn("load_date", F.col("load_date").cast("string"))
+
+
 # A listing with one file per order, dated by the order's day in the third path token.
 _DATED = """WITH files AS (
   SELECT CAST(o_orderdate AS DATE) AS snapshot_date FROM orders)"""

@@ -25,13 +25,62 @@ def delete(spark: SparkSession, path: str) -> bool:
 
 
 def move(spark: SparkSession, path: str, place: str) -> None:
-    """Puts a folder in the place of another one, which is deleted."""
+    """Puts a folder in the place of another one, which is renamed first and deleted last, so that at
+    every moment one of them is there whole. A move that broke off is mended by the next one."""
     fs, p = _path(spark, path)
     _, q = _path(spark, place)
-    fs.delete(q, True)
+    _, old = _path(spark, f"{place.rstrip('/')}_replaced")
+    restore(spark, place)
     fs.mkdirs(q.getParent())
+    if fs.exists(q) and not fs.rename(q, old):
+        raise OSError(f"cannot replace {place}")
     if not fs.rename(p, q):
+        restore(spark, place)
         raise OSError(f"cannot move {path} to {place}")
+    fs.delete(old, True)
+
+
+def restore(spark: SparkSession, place: str) -> None:
+    """Brings back what a move that broke off had taken from its place."""
+    fs, q = _path(spark, place)
+    _, old = _path(spark, f"{place.rstrip('/')}_replaced")
+    if fs.exists(old):
+        if fs.exists(q):
+            fs.delete(old, True)
+        elif not fs.rename(old, q):
+            raise OSError(f"cannot restore {place}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small file, which is there whole or not at all."""
+    fs, p = _path(spark, path)
+    _, making = _path(spark, f"{path}_making")
+    out = fs.create(making, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    fs.delete(p, False)
+    if not fs.rename(making, p):
+        raise OSError(f"cannot write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; nothing where there is no such file."""
+    fs, p = _path(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths of the folders that a pattern matches."""
+    fs, p = _path(spark, pattern)
+    return sorted(s.getPath().toString() for s in fs.globStatus(p) or [] if s.isDirectory())
 
 
 def complete_folders(spark: SparkSession, root: str) -> list[str]:

@@ -6,6 +6,9 @@ batch writes only its own changes, so its cost follows the batch and not the tab
 a replayed batch overwrites its own folder. The table is base plus changes. Folding
 the changes now and then keeps the number of folders small, and folding those that no
 late change can precede into a new base, ``base-SEQ``, keeps the changes few.
+
+Bases are stored in key buckets (``sources.keyed``, files under ``base_data``): the table is read
+without shuffling its base, and folding writes only the buckets that changes touch.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.changes import cdc_apply, last_changes
-from tidemark.sources import storage
+from tidemark.sources import keyed, storage
 
 START, RESUME, RELOAD = "start", "resume", "reload"
 
@@ -65,13 +68,15 @@ def cdc_stream(
     start_time: datetime | None = None,
     time_col: str | None = None,
     fmt: str = "json",
+    buckets: int | None = None,
     **reader_options: str,
 ) -> StreamingQuery:
     """Takes all change files that have arrived and then stops.
 
     ``start`` begins with the full load and a new checkpoint, ``resume`` goes on from the
     last checkpoint, ``reload`` begins again with a new full load. ``start_time`` drops
-    changes of ``time_col`` before it.
+    changes of ``time_col`` before it. The full load is stored in so many key ``buckets``, by default
+    as many as a shuffle has partitions.
     """
     known = _generations(spark, target)
     if mode == RESUME:
@@ -84,7 +89,7 @@ def cdc_stream(
         if full is None:
             raise ValueError(f"{mode} needs the full load")
         home = _generation(target, len(known) + 1)
-        full.write.mode("overwrite").parquet(f"{home}/base")
+        keyed.store(full, f"{home}/base", f"{home}/base_data", keys, buckets)
     else:
         raise ValueError(f"mode must be start, resume or reload, not {mode!r}")
 
@@ -122,9 +127,11 @@ def stored_changes(spark: SparkSession, home: str, schema: T.StructType) -> Data
     return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
-def _base(spark: SparkSession, home: str) -> tuple[DataFrame, int | None]:
+def _base(spark: SparkSession, home: str) -> tuple[keyed.Place | None, DataFrame, int | None]:
     settled, name = list(_bases(spark, home).items())[-1]
-    return spark.read.parquet(f"{home}/{name}"), settled
+    place = keyed.load_place(spark, f"{home}/{name}")
+    # A base of plain files is one that an earlier version of this module left.
+    return place, keyed.read(spark, place) if place else spark.read.parquet(f"{home}/{name}"), settled
 
 
 def _open_changes(changes: DataFrame, seq: str, settled: int | None) -> DataFrame:
@@ -149,12 +156,16 @@ def fold_changes(
     the older folders should be done by then.
     """
     home = _newest(spark, target)
-    base, settled = _base(spark, home)
+    place, base, settled = _base(spark, home)
     last, folders = _finished(spark, home)
     changes = stored_changes(spark, home, schema)
     if settle is not None and (settled is None or settle > settled):
         due = _open_changes(changes, seq, settled).filter(F.col(seq).isNull() | (F.col(seq) <= settle))
-        cdc_apply(base, due, keys, seq).write.mode("overwrite").parquet(f"{home}/base-{settle}")
+        new = f"{home}/base-{settle}"
+        if place:
+            keyed.merge(spark, new, place, due, base.schema.fields, seq, "op")
+        else:
+            keyed.store(cdc_apply(base, due, keys, seq), new, f"{home}/base_data", keys)
         settled = settle
     elif len(folders) < 2:
         return
@@ -165,6 +176,9 @@ def fold_changes(
             storage.delete(spark, folder)
     for name in list(_bases(spark, home).values())[:-1]:
         storage.delete(spark, f"{home}/{name}")
+    place, _, _ = _base(spark, home)
+    if place:
+        keyed.drop_stale(spark, place)
 
 
 def current_table(
@@ -172,5 +186,8 @@ def current_table(
 ) -> DataFrame:
     """The newest generation's table: late and repeated changes are settled by ``seq``."""
     home = _newest(spark, target)
-    base, settled = _base(spark, home)
-    return cdc_apply(base, _open_changes(stored_changes(spark, home, schema), seq, settled), keys, seq)
+    place, base, settled = _base(spark, home)
+    changes = _open_changes(stored_changes(spark, home, schema), seq, settled)
+    if place:
+        return keyed.apply_changes(spark, place, changes, base.schema.fields, seq, "op")
+    return cdc_apply(base, changes, keys, seq)
