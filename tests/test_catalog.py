@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import glob
+import os
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.sources import storage
+from tidemark.sources import catalog, storage
 from tidemark.sources.catalog import compact_table, layer_paths, register_tables
 
 
@@ -65,6 +67,41 @@ def test_new_partitions_are_found(spark, tmp_path, database):
     assert "PartitionFilters: [isnotnull(day" in pruned
 
 
+def test_a_later_run_adds_the_new_partitions_only(spark, tmp_path, database, monkeypatch):
+    path, past = str(tmp_path / "p"), 1_600_000_000
+
+    def write(*days):
+        rows = [(n, day, None if n % 2 else f"a b+{n}%25/é'") for n, day in enumerate(days)]
+        spark.createDataFrame(rows, "id int, day date, kind string").write.mode("append").partitionBy("day", "kind").parquet(path)
+
+    write(date(2024, 1, 1), date(2024, 1, 2))
+    for file in glob.glob(f"{path}/**/*.parquet", recursive=True):
+        os.utime(file, (past, past + (100 if "2024-01-02" in file else 0)))
+    register_tables(spark, database, [path])
+    added, statements, run = [], [], spark.sql
+    monkeypatch.setattr(catalog, "_add_partitions", lambda *a, f=catalog._add_partitions: added.append(f(*a)))
+    monkeypatch.setattr(catalog, "PARTITIONS_AT_ONCE", 2)
+    write(*(date(2024, 2, d) for d in range(1, 6)))
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **k: statements.append(text) or run(text, *a, **k))
+    register_tables(spark, database, [path])
+    # Of the first run, files of its newest second are looked at again. Two partitions go into a statement.
+    assert added == [6] and sum(t.startswith("ALTER TABLE") and " ADD IF" in t for t in statements) == 3
+    assert not any("MSCK" in t for t in statements)
+    table = spark.table(f"{database}.p")
+    assert table.count() == 7 and table.filter("kind IS NULL").count() == 3 and table.filter("day = DATE'2024-02-03'").count() == 1
+    assert {r.kind for r in table.collect()} == {None, *(f"a b+{n}%25/é'" for n in (0, 2, 4))}
+
+
+def test_the_schema_of_very_many_listed_files_is_taken_in_blocks(spark, tmp_path, database, monkeypatch):
+    monkeypatch.setattr(catalog, "LISTED_AT_ONCE", 2)
+    path = str(tmp_path / "t")
+    for n in range(5):
+        spark.range(1).withColumn(f"c{n}", F.lit(n)).write.mode("append").parquet(path)
+    register_tables(spark, database, [path], "", ["draft*"])
+    table = spark.table(f"{database}.t")
+    assert sorted(table.columns) == ["c0", "c1", "c2", "c3", "c4", "id"] and table.count() == 5
+
+
 def test_excluded_files_do_not_count(spark, tmp_path, database):
     path = str(tmp_path / "t")
     spark.range(1).write.parquet(path)

@@ -53,6 +53,55 @@ def test_export_splits_an_account_whose_rows_are_all_alike(spark, tmp_path, monk
     assert len(parts) > 2 and sum(_accounts(out)["copies"]) == 4000
 
 
+def _sizes(out, account):
+    return sorted(os.path.getsize(p) for p in glob.glob(f"{out}/key={account}/*.csv"))
+
+
+def test_no_file_is_above_the_cap_whatever_the_rows(spark, tmp_path):
+    """Copies of one row in one input partition, rows of very different lengths, quotes, and others."""
+    cap = 20_000
+    copies = spark.range(0, 5000, 1, 1).select(F.lit("same text").alias("id"), F.lit("copies").alias("account"))
+    mixed = spark.range(0, 3000, 1, 5).select(
+        F.expr("repeat(concat('\"', id, ',\n'), CAST(pmod(hash(id), 300) + 1 AS INT))").alias("id"), F.lit("mixed").alias("account")
+    )
+    long = spark.createDataFrame([("x" * n, "long") for n in (50_000, 12_000, 9_970, 9_971, 15_000, 3, 30_000, 1)], "id string, account string")
+    just = spark.createDataFrame([("y" * (cap - 11 - 6), "just")], "id string, account string")
+    null = spark.createDataFrame([(None, "null")] * 10, "id string, account string")
+    out = str(tmp_path / "out")
+    df = copies.union(mixed).union(long).union(just).union(null)
+    export_by_key(df, "account", out, max_size_mb=cap / 1024 / 1024)
+    assert max(_sizes(out, "copies")) <= cap and max(_sizes(out, "mixed")) <= cap
+    assert len(_sizes(out, "copies")) <= 6 and len(_sizes(out, "just")) == len(_sizes(out, "null")) == 1
+    # Only rows that alone are above the cap have files above it.
+    assert [n for n in _sizes(out, "long") if n > cap] == [30_000 + 17, 50_000 + 17]
+    back = spark.read.schema("id string, account string").csv(out, header=True, escape='"', multiLine=True, recursiveFileLookup=True)
+    assert sorted(map(str, map(tuple, back.collect()))) == sorted(map(str, map(tuple, df.collect())))
+
+
+def test_a_hot_account_is_added_up_in_many_tasks(spark, tmp_path):
+    """The sums along an account go by input partition."""
+    rows = spark.range(0, 1000, 1, 10).select(F.lit("a").alias("account"), "id")
+    large = spark.createDataFrame([("a",)], "_large string")
+    filed, path = export._filed(rows, "account", large, 500, ["id"], F.lit(7).cast("long"))
+    stored = spark.read.parquet(path)
+    assert stored.select("_part").distinct().count() == 10
+    assert max(r["count"] for r in stored.groupBy("_part").count().collect()) == 100
+    assert max(r["count"] for r in filed.groupBy("_file").count().collect()) <= 500 // 7
+
+
+def test_bounds_of_bytes_hold(spark):
+    values = spark.sql(
+        """SELECT true AS b, CAST(-128 AS TINYINT) AS t, CAST(-32768 AS SMALLINT) AS s, -2147483648 AS i, -9223372036854775807L AS l,
+        CAST(-1.2345678E-38 AS FLOAT) AS f, -2.2250738585072014E-308D AS d, DATE'-290000-01-01' AS a,
+        TIMESTAMP'-290000-01-01 00:00:00.123456' AS z, TIMESTAMP_NTZ'9999-12-31 23:59:59.999999' AS n,
+        CAST(-99999999999999999999999999999999999999 AS DECIMAL(38,0)) AS e, '""""' AS x, CAST(null AS STRING) AS o, '' AS y"""
+    )
+    for name in values.columns:
+        one = values.select(name)
+        row = one.select(export._most_bytes(one.schema).alias("most"), F.octet_length(F.to_csv(F.struct(name), dict(export._TEXT))).alias("is")).first()
+        assert row.most >= (getattr(row, "is") or 0) + 1, name
+
+
 def test_export_replaces_an_older_one(spark, tmp_path):
     out = str(tmp_path / "out")
     export_by_key(spark.createDataFrame([(1, "x")], "id int, account string"), "account", out, 1)
@@ -144,10 +193,61 @@ def test_empty_unload_counts_nothing(spark, tmp_path):
     assert unload(spark.range(0), str(tmp_path / "f"), "parquet") == 0
 
 
+def _urls(spark, path):
+    return sorted(r.url for r in read_manifest(spark, path).collect())
+
+
+def _files_read(df):
+    """Files that the scans of an executed plan opened."""
+    df.collect()
+
+    def leaves(plan):
+        inner = plan.finalPhysicalPlan() if "AdaptiveSparkPlan" in plan.nodeName() else plan.plan() if "QueryStage" in plan.nodeName() else None
+        below = [inner] if inner is not None else [plan.children().apply(i) for i in range(plan.children().size())]
+        return [leaf for b in below for leaf in leaves(b)] if below else [plan]
+
+    found = [leaf for leaf in leaves(df._jdf.queryExecution().executedPlan()) if "text" in leaf.nodeName()]
+    return sum(leaf.metrics().apply("numFiles").value() for leaf in found)
+
+
+def test_loads_read_the_listed_files_of_a_large_folder(spark, tmp_path):
+    """Files outside the listed range are not opened, those in between do not count, and odd names do."""
+    folder = tmp_path / "land ing+%25"
+    folder.mkdir()
+    for n in range(40):
+        (folder / f"c{n:02d} +é%20.json").write_text("{broken\n" if n == 21 else json.dumps({"id": n}) + "\n\n")
+    (tmp_path / "other").mkdir()
+    (tmp_path / "other" / "x.json").write_text(json.dumps({"id": 100}))
+    listing = list_files(spark, str(folder))
+    assert listing.count() == 40
+    wanted = listing.filter(F.col("path").rlike("c(20|22|23) "))
+    write_manifest(wanted.union(list_files(spark, str(tmp_path / "other"))), str(tmp_path / "m"))
+    manifest = read_manifest(spark, str(tmp_path / "m"))
+    schema = spark.createDataFrame([], "id long").schema
+    loaded = load_full(spark, manifest, schema)
+    assert sorted(r.id for r in loaded.collect()) == [20, 22, 23, 100]
+    assert _files_read(load_full(spark, manifest, schema)) == 5
+    gone = manifest.select(F.concat("url", F.lit(".gone")).alias("url"))
+    with pytest.raises(FileNotFoundError, match="gone"):
+        load_full(spark, manifest.select("url").union(gone), schema)
+    assert load_full(spark, manifest.limit(0), schema).collect() == []
+
+
+def test_many_listed_folders_share_a_range(spark, tmp_path, monkeypatch):
+    from tidemark.sources import files
+
+    monkeypatch.setattr(files, "_MOST_RANGES", 2)
+    spark.range(12).withColumn("d", F.col("id") % 4).write.partitionBy("d").parquet(str(tmp_path / "t"))
+    listing = list_files(spark, str(tmp_path / "t"), "*.parquet")
+    some = listing.filter("path LIKE '%d=1%' OR path LIKE '%d=2%' OR path LIKE '%d=3%'").select(F.col("path").alias("url"))
+    got = load_full(spark, some, spark.createDataFrame([], "id long").schema, "parquet")
+    assert sorted(r.id for r in got.collect()) == [n for n in range(12) if n % 4]
+
+
 def test_manifest_lists_what_was_written(spark, tmp_path):
     out = str(tmp_path / "m")
     unload(spark.range(100), out, "parquet", manifest="true", breakup_threshold=10)
-    urls = read_manifest(spark, f"{out}_manifest")
+    urls = _urls(spark, f"{out}_manifest")
     assert sorted(os.path.basename(u) for u in urls) == sorted(
         os.path.basename(p) for p in glob.glob(f"{out}/*.parquet")
     )
@@ -162,7 +262,10 @@ def test_a_manifest_has_one_form_at_every_size(spark, tmp_path):
     write_manifest(files, str(tmp_path / "m"))
     write_manifest(files.limit(2), str(tmp_path / "few"))
     assert spark.read.json(str(tmp_path / "m")).count() == 40 and spark.read.json(str(tmp_path / "few")).count() == 2
-    assert sorted(read_manifest(spark, str(tmp_path / "m"))) == sorted(f"f/{i}" for i in range(40))
+    assert _urls(spark, str(tmp_path / "m")) == sorted(f"f/{i}" for i in range(40))
+    many = spark.range(0, 100_000, 1, 50).select(F.concat(F.lit("f/"), "id").alias("path"), F.col("id").alias("length"))
+    write_manifest(many, str(tmp_path / "many"))
+    assert len(glob.glob(f"{tmp_path}/many/*.json")) <= 8 and len(_urls(spark, str(tmp_path / "many"))) == 100_000
 
 
 def test_loads(spark, tmp_path):

@@ -175,7 +175,7 @@ def test_only_rows_of_likely_keys_reach_the_join(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # Below the sort-merge join's exchange, the table is held against the bitmap.
     left = text[text.index("SortMergeJoin") : text.index("BroadcastExchange")]
-    assert "Exchange" in left and left.index("Exchange") < left.index("getbit") < left.index("BroadcastHashJoin")
+    assert "Exchange" in left and left.index("Exchange") < left.index("BroadcastHashJoin") < left.index("getbit")
 
 
 # --- columns that change -----------------------------------------------------------

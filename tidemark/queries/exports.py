@@ -39,18 +39,24 @@ def _export(t: Tables) -> DataFrame:
 @query(
     "export_by_key_files",
     f"""SELECT CAST(account AS VARCHAR) AS account, true AS headed,
-  sum(length(concat_ws(',', account, l_orderkey, l_linenumber)) + 1) > {_SMALL_CAP} * 1024 * 1024 AS split
+  length('account,l_orderkey,l_linenumber') + 1 + sum(length(concat_ws(',', account, l_orderkey, l_linenumber)) + 1)
+    > floor({_SMALL_CAP} * 1024 * 1024) AS split,
+  true AS within
 FROM (SELECT {_ACCOUNT} AS account, l_orderkey, l_linenumber FROM lineitem) WHERE account IS NOT NULL GROUP BY account""",
 )
 def _export_files(t: Tables) -> DataFrame:
-    """Per account: that it has files, and several of them only when it is above the cap."""
+    """Per account: that it has files, none above the cap, and several of them only when it is."""
     out = f"{scratch_dir(t.spark, 'export')}/by-account"
     export_by_key(account_lines(t).select("account", "l_orderkey", "l_linenumber"), "account", out, max_size_mb=_SMALL_CAP)
     account = F.regexp_extract("path", "/key=([^/]*)/", 1).alias("account")
     return (
         list_files(t.spark, out)
         .groupBy(account)
-        .agg(F.every(F.col("length") > 0).alias("headed"), (F.count(F.lit(1)) > 1).alias("split"))
+        .agg(
+            F.every(F.col("length") > 0).alias("headed"),
+            (F.count(F.lit(1)) > 1).alias("split"),
+            F.every(F.col("length") <= _SMALL_CAP * 1024 * 1024).alias("within"),
+        )
     )
 
 

@@ -67,7 +67,7 @@ def _cdc(t: Tables) -> DataFrame:
 def _unload_manifest(t: Tables) -> DataFrame:
     out = f"{scratch_dir(t.spark, 'manifest')}/customer"
     unload(t.customer, out, "parquet", manifest=True, breakup_threshold=1000)
-    return t.spark.read.schema(t.customer.schema).parquet(*read_manifest(t.spark, f"{out}_manifest"))
+    return load_full(t.spark, read_manifest(t.spark, f"{out}_manifest"), t.customer.schema, "parquet")
 
 
 # One file per order, named after account, priority and status, with the order as part number:

@@ -3,21 +3,25 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from datetime import datetime, timedelta
 from fnmatch import translate
 from functools import reduce
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
+from tidemark.functions.schema import wider
 from tidemark.functions.spread import spread
 from tidemark.sources import storage
 from tidemark.sources.files import list_files
 
 # Folder suffixes of a staging table's two loads.
 STAGING_LOADS = ("_FullLoad", "_delta")
+# Listed paths, and partitions of a statement, that the driver holds at once.
+LISTED_AT_ONCE, PARTITIONS_AT_ONCE = 1000, 200
 # Table properties: the prefix it was registered under, and its newest file's time then.
 _MARK, _SEEN = "tidemark.prefix", "tidemark.newest"
 
@@ -46,17 +50,50 @@ def _excluded(path: Column, exclude: Sequence[str]) -> Column:
 
 
 def _schema(spark: SparkSession, path: str, new: DataFrame | None, since: datetime | None) -> StructType:
-    """The merged schema of a folder, of its files after a time, or of listed files. Spark's reader
-    takes listed paths from the driver; with a time given, they are the new ones only."""
+    """The merged schema of a folder, of its files after a time, or of listed files, so many of
+    which at a time that the driver never holds all of their paths."""
     reader = spark.read.option("mergeSchema", True)
     if new is not None:
-        return reader.option("basePath", path).parquet(*[r["path"] for r in new.select("path").toLocalIterator()]).schema
+        fields: dict[str, StructField] = {}
+        for block in _blocks(new.select("path").toLocalIterator(), LISTED_AT_ONCE):
+            for field in reader.option("basePath", path).parquet(*(r["path"] for r in block)).schema:
+                kept = fields.setdefault(field.name, field)
+                if kept.dataType != field.dataType:
+                    fields[field.name] = StructField(field.name, wider(kept.dataType, field.dataType))
+        return StructType(list(fields.values()))
     if since is not None:
         zone = spark.conf.get("spark.sql.session.timeZone")
         reader = reader.option("modifiedAfter", since.strftime("%Y-%m-%dT%H:%M:%S")).option("timeZone", zone)
     return reader.parquet(path).schema
 
 
+def _blocks(rows: Iterable, size: int) -> Iterator[list]:
+    rows = iter(rows)
+    while block := list(islice(rows, size)):
+        yield block
+
+
+def _add_partitions(spark: SparkSession, full: str, path: str, new: DataFrame, partitions: Sequence[str]) -> int:
+    """Adds the partitions of new files to a table, some hundred in a statement, and returns their number."""
+    inside = "".join(f"/{re.escape(n)}=([^/]*)" for n in partitions) + "/[^/]*$"
+    values = [F.url_decode(F.replace(F.regexp_extract("path", inside, k + 1), F.lit("+"), F.lit("%2B"))).alias(n) for k, n in enumerate(partitions)]
+    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("_folder")
+    of = new.filter(F.regexp_like("path", F.lit(inside))).select(*values, folder).distinct()
+    count = 0
+    for block in _blocks(of.toLocalIterator(), PARTITIONS_AT_ONCE):
+        specs = " ".join(
+            f"PARTITION ({', '.join(f'`{n}` = {_partition_value(r[n])}' for n in partitions)}) LOCATION {_quoted(r['_folder'])}" for r in block
+        )
+        spark.sql(f"ALTER TABLE {full} ADD IF NOT EXISTS {specs}")
+        count += len(block)
+    return count
+
+
+def _partition_value(text: str) -> str:
+    # Fixed value: the folder of a null.
+    return "NULL" if text == "__HIVE_DEFAULT_PARTITION__" else _quoted(text)
+
+
 def _partition_columns(path: str, file: str) -> list[str]:
     """Names of the ``name=value`` folders between a table's folder and one of its files."""
     folder = re.sub(r"^\w+:/*", "/", path)
@@ -67,10 +104,10 @@ def register_tables(
     spark: SparkSession, database: str, paths: Sequence[str], prefix: str = "", exclude: Sequence[str] = ()
 ) -> list[str]:
     """Registers each folder as an external Parquet table of the database and returns the
-    names. Running it again applies schema updates, finds new partitions, and drops the
+    names. Running it again applies schema updates, adds new partitions, and drops the
     tables of this prefix whose folder is gone or no longer listed; files are not touched.
     Only files newer than the last registration are opened for their schema, so a column that
-    no file has any more stays, with nulls.
+    no file has any more stays, with nulls, and only their partitions are added.
 
     ``exclude``: glob patterns of files that do not count. With them, the name is a view that leaves
     these files out, over a table named ``..._files``.
@@ -90,7 +127,7 @@ def register_tables(
             continue
         table = f"{name}_files" if exclude else name
         full = f"`{database}`.`{table}`"
-        columns = _register(spark, full, path, counted if exclude else None, file, prefix)
+        columns = _register(spark, full, path, counted, bool(exclude), file, prefix)
         made.add(table)
         if exclude:
             outside = " OR ".join(
@@ -132,10 +169,12 @@ def _properties(spark: SparkSession, full: str) -> dict[str, str]:
 
 
 def _register(
-    spark: SparkSession, full: str, path: str, counted: DataFrame | None, file: Row, prefix: str
+    spark: SparkSession, full: str, path: str, files: DataFrame, some: bool, file: Row, prefix: str
 ) -> list[str]:
-    """Makes or updates a table and returns its columns."""
+    """Makes or updates a table of the listed files, which are ``some`` or all of its folder, and
+    returns its columns."""
     partitions = _partition_columns(path, file["path"])
+    counted, since = files if some else None, None
     schema = None
     if spark.catalog.tableExists(full.replace("`", "")) and _is_view(spark, full):
         _drop(spark, full)
@@ -153,6 +192,7 @@ def _register(
         added = [f for f in found if f.name not in kept]
         if any(kept.get(f.name, f.dataType) != f.dataType for f in found) or any(f.name in partitions for f in added):
             spark.sql(f"DROP TABLE {full}")
+            since = None
         else:
             schema = now
             if added:
@@ -167,8 +207,10 @@ def _register(
             f"LOCATION {_quoted(path)} TBLPROPERTIES ('{_MARK}' = {_quoted(prefix)})"
         )
     spark.sql(f"ALTER TABLE {full} SET TBLPROPERTIES ('{_SEEN}' = '{file['newest']}')")
-    if partitions:
+    if partitions and since is None:
         spark.sql(f"MSCK REPAIR TABLE {full}")
+    elif partitions:
+        _add_partitions(spark, full, path, files.filter(F.col("modificationTime") > F.lit(since)), partitions)
     spark.catalog.refreshTable(full.replace("`", ""))
     return spark.table(full).columns
 

@@ -6,8 +6,9 @@ import logging
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.spread import spread
 from tidemark.session import scratch_dir
@@ -19,16 +20,87 @@ log = logging.getLogger(__name__)
 # Files and bytes of text per task of an export.
 FILES_PER_TASK = 64
 BYTES_PER_TASK = 512 * 1024 * 1024
-# Rows are dealt to the files of a large key by hash; this much room keeps files below the cap.
-SLACK = 1.25
 # Fixed value: timestamps as text, with their microseconds.
 TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-_TEXT = {"escape": '"', "timestampFormat": TIMESTAMP_TEXT, "timestampNTZFormat": TIMESTAMP_TEXT}
+# White space around a text is part of it; Spark's writer would drop it.
+_TEXT = {
+    "escape": '"', "timestampFormat": TIMESTAMP_TEXT, "timestampNTZFormat": TIMESTAMP_TEXT,
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
 # The folder of an empty key.
 EMPTY_KEY = "__EMPTY__"
 _CSV_ONLY = ("delimiter", "header", "addquotes")
 
 
+# Most bytes of a value as text, by type; text itself and types that are not here are measured.
+_WIDTHS = {
+    T.BooleanType: 5, T.ByteType: 4, T.ShortType: 6, T.IntegerType: 11, T.LongType: 20, T.FloatType: 16, T.DoubleType: 26,
+    T.DateType: 16, T.TimestampType: 40, T.TimestampNTZType: 40, T.DecimalType: 50,
+}
+
+
+def _most_bytes(schema: T.StructType) -> Column:
+    """At least as many bytes as a row has when it is written, without forming its text: a text may be
+    quoted, and each of its quotes doubled."""
+    fixed = sum(_WIDTHS.get(type(f.dataType), 0) + 1 for f in schema.fields)
+    texts = [F.col(f.name).cast("string") for f in schema.fields if type(f.dataType) not in _WIDTHS]
+    return sum((F.coalesce(F.octet_length(t).cast("long") * 2 + 2, F.lit(0)) for t in texts), F.lit(fixed).cast("long"))
+
+
+def _header_bytes(columns: Sequence[str]) -> int:
+    def written(name: str) -> int:
+        quoted = any(c in name for c in ',"\r\n') or name != name.strip()
+        return len(name.encode()) + (2 + name.count('"') if quoted else 0)
+
+    return sum(written(c) + 1 for c in columns)
+
+
+def _filed(rows: DataFrame, key: str, large: DataFrame, room: int, order_by: Sequence[str], text: Column) -> tuple[DataFrame, str]:
+    """The rows of large keys with ``_file``, their file's number, such that no file has more than
+    ``room`` bytes unless it is a single row; and the folder that holds them meanwhile.
+
+    Bytes are summed up along the rows of a key in an input partition, and along its partitions, so a
+    hot key, or copies of one row, take part in as many tasks as there are partitions. A file takes the rows
+    that begin in its share of the sum. Its last row may end beyond, so shares are shorter than
+    the room by the key's longest row; rows of over half the room are files of their own.
+    """
+    spark, path = rows.sparkSession, scratch_dir(rows.sparkSession, "large-rows")
+    parted = rows.withColumn("_part", F.spark_partition_id())
+    single = F.col("_bytes") * 2 > room
+    along = Window.partitionBy(key, "_part").orderBy(*order_by, "_bytes").rowsBetween(Window.unboundedPreceding, 0)
+    (
+        parted.join(large, F.col(key) == F.col("_large"))
+        .withColumn("_bytes", text)
+        .withColumn("_end", F.sum(F.when(single, 0).otherwise(F.col("_bytes"))).over(along))
+        .withColumn("_singles", F.sum(single.cast("int")).over(along))
+        .select(*rows.columns, "_part", "_bytes", "_end", "_singles")
+        .write.parquet(path)
+    )
+    stored = spark.read.parquet(path)
+    parts = stored.groupBy(F.col(key).alias("_k"), F.col("_part").alias("_p")).agg(
+        F.max("_end").alias("end"), F.max("_singles").alias("singles"), F.max(F.when(~single, F.col("_bytes"))).alias("longest"),
+        F.sum("_bytes").alias("bytes"),
+    )
+    of_key = Window.partitionBy("_k")
+    before = of_key.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    share = F.lit(room) - F.coalesce(F.max("longest").over(of_key), F.lit(0))
+    shares = F.ceil(F.sum("end").over(of_key) / share)
+    # As many rows as there are pairs of a large key and an input partition.
+    offsets = parts.select(
+        "_k",
+        "_p",
+        F.coalesce(F.sum("end").over(before), F.lit(0)).alias("_before"),
+        F.coalesce(F.sum("singles").over(before), F.lit(0)).alias("_singles_before"),
+        share.alias("_share"),
+        shares.alias("_shares"),
+        (F.sum("bytes").over(of_key) <= room).alias("_fits"),
+    )
+    number = F.when(F.col("_fits"), 0).when(single, F.col("_shares") + F.col("_singles_before") + F.col("_singles") - 1)
+    number = number.otherwise(F.floor((F.col("_before") + F.col("_end") - F.col("_bytes")) / F.col("_share")))
+    joined = stored.join(offsets, (F.col(key) == F.col("_k")) & (F.col("_part") == F.col("_p")))
+    return joined.select(*rows.columns, number.cast("long").alias("_file")), path
+
+
 def export_by_key(
     df: DataFrame,
     key: str,
@@ -39,43 +111,49 @@ def export_by_key(
 ) -> None:
     """One CSV file with a header per key value, under ``{folder}={value}``, in a single job.
 
-    Rows without a key are left out; an empty text key gets the folder of ``EMPTY_KEY``. A key
-    whose rows have more than ``max_size_mb`` as text is spread over as many tasks and files as
-    that needs, so that a hot key does not end up in one task, even if its rows are all alike;
-    every other key stays one file. Rows of a file are in the order of ``order_by``.
+    Rows without a key are left out; an empty text key gets the folder of ``EMPTY_KEY``. A key whose file
+    would have more than ``max_size_mb`` is spread over several files and tasks, none of which has more
+    unless it is a single row. Every other key stays one file. Rows of a file are in the order of
+    ``order_by``.
     """
     if folder in df.columns:
         raise ValueError(f"the table has a column {folder!r} already: name another folder column")
     spark = df.sparkSession
     rows = df.filter(F.col(key).isNotNull())
-    # A file name for each row before the join: a shuffled join would put equal rows together.
-    rows = rows.withColumn("_spread", spread(rows))
-    cap = max_size_mb * 1024 * 1024
-    written = F.octet_length(F.to_csv(F.struct(*(F.col(c) for c in df.columns)), dict(_TEXT))) + 1
-    # Only keys above the cap are kept: at most bytes / cap of them. Stored, so that
-    # Spark knows the size and broadcasts it only within its threshold.
+    room = max(1, int(max_size_mb * 1024 * 1024) - _header_bytes(df.columns))
+    # Keys that may be above the cap, at most bytes / cap of them. Stored, so that Spark knows the
+    # size and broadcasts it only within its threshold.
     sizes, path = Observation(), scratch_dir(spark, "large-keys")
     (
         rows.groupBy(F.col(key).alias("_large"))
-        .agg(F.sum(written).alias("_bytes"))
-        .withColumn("_files", F.when(F.col("_bytes") > cap, F.ceil(SLACK * F.col("_bytes") / cap)).otherwise(1))
-        .observe(sizes, F.sum("_files").alias("files"), F.max("_files").alias("most"), F.sum("_bytes").alias("bytes"))
-        .filter("_files > 1")
-        .select("_large", "_files")
+        .agg(F.sum(_most_bytes(df.schema)).alias("_most"))
+        .observe(sizes, F.count("*").alias("keys"), F.sum("_most").alias("bytes"), F.count_if(F.col("_most") > room).alias("large"))
+        .filter(F.col("_most") > room)
+        .select("_large")
         .write.parquet(path)
     )
-    slot = F.coalesce(F.pmod("_spread", F.col("_files")), F.lit(0))
+    total, scratch = sizes.get, [path]
+    files, most = total.get("keys") or 1, 1
+    exported = rows.withColumn("_file", F.lit(0).cast("long"))
+    if total.get("large"):
+        large = spark.read.parquet(path)
+        # Written as the writer will do it, for these keys only.
+        text = F.octet_length(F.to_csv(F.struct(*(F.col(c) for c in df.columns)), dict(_TEXT))).cast("long") + 1
+        filed, held = _filed(rows, key, large, room, order_by, text)
+        scratch.append(held)
+        counted = filed.groupBy(key).agg((F.max("_file") + 1).alias("n")).agg(F.sum("n").alias("n"), F.max("n").alias("most")).first()
+        files, most = files + (counted["n"] or 0), max(most, counted["most"] or 1)
+        small = exported.join(large, F.col(key) == F.col("_large"), "left_anti")
+        exported = small.unionByName(filed)
     # A partition folder cannot be named by an empty text.
     name = F.when(F.col(key).cast("string") == "", EMPTY_KEY).otherwise(F.col(key).cast("string"))
-    # Creating files takes longer than filling small ones, so tasks are sized by both.
-    total = sizes.get
-    # At least as many as the files of any key, whose slots go to tasks of their own.
-    tasks = max((total.get("files") or 1) / FILES_PER_TASK, (total.get("bytes") or 0) / BYTES_PER_TASK, total.get("most") or 1)
-    place = F.pmod(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 30)) + slot, F.lit(math.ceil(tasks)))
+    # Creating files takes longer than filling small ones, so tasks are sized by both. There are at least as
+    # many as any key has files, so that these go to tasks of their own.
+    tasks = math.ceil(max(files / FILES_PER_TASK, (total.get("bytes") or 0) / BYTES_PER_TASK, most))
+    place = F.pmod(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 30)) + F.col("_file"), F.lit(tasks))
     (
-        rows.join(spark.read.parquet(path), F.col(key) == F.col("_large"), "left")
-        .withColumn(folder, name)
-        .repartitionById(math.ceil(tasks), place.cast("int"))
+        exported.withColumn(folder, name)
+        .repartitionById(tasks, place.cast("int"))
         .select(*df.columns, folder)
         .sortWithinPartitions(folder, *order_by)
         .write.partitionBy(folder)
@@ -83,7 +161,8 @@ def export_by_key(
         .options(header=True, **_TEXT)
         .csv(out)
     )
-    storage.delete(spark, path)
+    for one in scratch:
+        storage.delete(spark, one)
 
 
 def _flag(value) -> bool:
