@@ -226,3 +226,15 @@ def test_dates_of_typed_columns(spark):
     )
     got = clean_date_suffix(row, ["_dt"]).first()
     assert (got.c_a_dt, got.c_b_dt, got.c_c_dt, got.c_d_dt) == ("2024-01-05", "2023-02-03", "2022-03-04", "1900-01-01")
+
+
+def test_all_code_lists_are_measured_in_one_job(spark, monkeypatch):
+    lists = [spark.createDataFrame([(f"i{n}", "v", "t"), (None, "v", "t")], "id string, value string, text string") for n in range(4)]
+    jobs, collect = [], type(lists[0]).collect
+    monkeypatch.setattr(type(lists[0]), "collect", lambda self: jobs.append(1) or collect(self))
+    names = ["gender", "marital_status", "state", "country"]
+    table = spark.createDataFrame([("i0", "v")], "id string, c string")
+    rules = [{"rule": r, "columns": [{"src_col": "c", "tgt_col": f"t{n}"}]} for n, r in enumerate(names)]
+    result = cleansing.apply_rules(table, rules, dict(zip(names, lists, strict=True)))
+    assert len(jobs) == 1
+    assert [tuple(r) for r in collect(result)] == [("i0", "v", "t", "N/A", None, None)]

@@ -272,10 +272,11 @@ def test_wider_types():
 def test_a_move_that_broke_off_is_mended(spark, tmp_path):
     new, place = str(tmp_path / "new"), str(tmp_path / "place")
     spark.range(1).write.parquet(place)
-    os.rename(place, f"{place}_replaced")
+    aside = str(tmp_path / ".place.replaced")
+    os.rename(place, aside)
     storage.restore(spark, place)
     assert spark.read.parquet(place).count() == 1
     spark.range(2).write.parquet(new)
     storage.move(spark, new, place)
-    assert spark.read.parquet(place).count() == 2 and not os.path.exists(f"{place}_replaced")
+    assert spark.read.parquet(place).count() == 2 and not os.path.exists(aside)
     assert storage.read_text(spark, f"{place}/none") is None

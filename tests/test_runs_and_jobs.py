@@ -6,13 +6,14 @@ import os
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import runs
 from tidemark.plans.daily import RepeatedKeys, current_version, daily_snapshot, fold_target, initial_load
 from tidemark.plans.unload_job import run_unload_job
 from tidemark.operators.projection import EmptySource
 from tidemark.sources import storage
-from tidemark.sources.run_log import RUN_LOG, read_log
+from tidemark.sources.run_log import RUN_LOG, append_log, compact_log, read_log
 from tidemark.sources.tables import drop_old_snapshots, previous_date, write_snapshot
 
 D1, D2 = date(2024, 1, 1), date(2024, 1, 2)
@@ -394,7 +395,7 @@ def test_a_day_writes_its_changes_only_until_they_are_folded(spark, tmp_path):
 def test_a_job_logs_to_one_file(spark, tmp_path):
     job = {"table_name": "t", "unload_to_s3": "false"}
     run_unload_job(spark, job, 1, D1, str(tmp_path / "log"))
-    assert len(glob.glob(f"{tmp_path}/log/*.parquet")) == 1
+    assert len(glob.glob(f"{tmp_path}/log/*/*.parquet")) == 1
     assert [r.status for r in read_log(spark, str(tmp_path / "log")).orderBy("ts").collect()] == ["START", "UNLOAD_SKIPPED", "END"]
 
 
@@ -419,3 +420,70 @@ def test_other_jobs_from_a_config(spark, tmp_path):
     folder = run(spark, report, "report", D2, at)["Sales"]
     assert len(glob.glob(f"{folder}/*/*.csv")) == 2
     assert not spark.catalog.tableExists("job_rows")
+
+
+# --- the log by dates ------------------------------------------------------------
+
+
+def _scanned(df):
+    """Files that the scans of the log open, by the plan as it ran."""
+    df.collect()
+
+    def leaves(plan):
+        inner = plan.finalPhysicalPlan() if "AdaptiveSparkPlan" in plan.nodeName() else plan.plan() if "QueryStage" in plan.nodeName() else None
+        below = [inner] if inner is not None else [plan.children().apply(i) for i in range(plan.children().size())]
+        return [leaf for b in below for leaf in leaves(b)] if below else [plan]
+
+    found = {leaf.hashCode(): leaf for leaf in leaves(df._jdf.queryExecution().executedPlan()) if "Scan parquet" in leaf.nodeName()}
+    return max(leaf.metrics().apply("numFiles").value() for leaf in found.values())
+
+
+def _log_of_days(spark, path, days, files=2):
+    for n in range(files):
+        rows = [(s, d, "COMPLETED" if s == 1 else "FAILED", 1, None, datetime(2024, 1, 1, n, s)) for d in days for s in (1, 2)]
+        append_log(spark.createDataFrame(rows, RUN_LOG).coalesce(1), path)
+
+
+def test_questions_about_a_date_read_that_date(spark, tmp_path):
+    path, days = str(tmp_path / "log"), [D1 + timedelta(days=n) for n in range(30)]
+    _log_of_days(spark, path, days)
+    log = read_log(spark, path)
+    steps = spark.createDataFrame([(1, "a", None, None), (2, "b", "{}", "a"), (3, "c", '{"dependency_check": "true"}', "a")], "step_id long, name string, info string, depends_on string")
+    due = spark.createDataFrame([(s, d) for d in days[4:6] for s in (1, 2, 3)], "step_id long, batch_dt date")
+    ready = runs.run_ready(steps, log, due, scheduled_only=True)
+    assert sorted((r.step_id, r.batch_dt) for r in ready.collect()) == [(s, d) for s in (2, 3) for d in days[4:6]]
+    # Two of thirty dates, of two files each; without a schedule all are read.
+    assert _scanned(ready) == 4 and _scanned(runs.run_ready(steps, log)) == 60
+    assert _scanned(runs.run_latest_status(log.filter(F.col("batch_dt") == days[0]))) == 2
+    want = {(r.step_id, r.batch_dt) for r in runs.run_ready(steps, log, due).collect() if r.batch_dt in days[4:6]}
+    assert {(r.step_id, r.batch_dt) for r in ready.collect()} == want
+    with pytest.raises(ValueError, match="schedule"):
+        runs.run_ready(steps, log, scheduled_only=True)
+
+
+def test_null_dates_of_a_schedule(spark, tmp_path):
+    path = str(tmp_path / "log")
+    append_log(spark.createDataFrame([(1, None, "FAILED", 1, None, datetime(2024, 1, 1)), (2, D1, "FAILED", 1, None, datetime(2024, 1, 1))], RUN_LOG), path)
+    due = spark.createDataFrame([(1, None)], "step_id long, batch_dt date")
+    assert [(r.step_id, r.batch_dt) for r in runs.of_schedule(read_log(spark, path), due).collect()] == [(1, None)]
+
+
+def test_closed_dates_are_compacted(spark, tmp_path):
+    path, days = str(tmp_path / "log"), [D1 + timedelta(days=n) for n in range(4)]
+    _log_of_days(spark, path, days, files=3)
+    _log_of_days(spark, path, days[:1], files=0)
+    before = sorted(map(str, read_log(spark, path).collect()))
+    assert compact_log(spark, path, days[2]) == days[:2]
+    assert sorted(map(str, read_log(spark, path).collect())) == before
+    assert {d: len(glob.glob(f"{path}/batch_dt={d}/*.parquet")) for d in days} == dict(zip(days, [1, 1, 3, 3], strict=True))
+    assert compact_log(spark, path, days[2]) == []
+
+
+def test_a_log_without_date_folders_is_put_into_them(spark, tmp_path):
+    path = str(tmp_path / "log")
+    old = spark.createDataFrame([(1, D1, "END", 1, None, datetime(2024, 1, 1))], RUN_LOG)
+    old.write.parquet(path)
+    assert read_log(spark, path).count() == 1
+    append_log(old.withColumn("batch_dt", F.lit(D2)), path)
+    assert sorted(r.batch_dt for r in read_log(spark, path).collect()) == [D1, D2]
+    assert not glob.glob(f"{path}/*.parquet")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import cleansing as c
-from tidemark.operators.lookups import checked, lookup
+from tidemark.operators.lookups import checked_all, lookup
 
 
 def _each(columns: Sequence[dict], clean) -> dict[str, Column]:
@@ -119,7 +119,9 @@ LOOKUP_RULES: dict[str, tuple[str, str | None]] = {
 
 def apply_rules(df: DataFrame, rules: Sequence[dict], lookups: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Applies the rules in order. ``lookups`` maps a lookup rule's name to its code list."""
-    ready: dict[int, DataFrame] = {}
+    # Rules can share a list; all lists are measured in one job.
+    wanted = {id(codes): codes for entry in rules if (codes := (lookups or {}).get(entry["rule"])) is not None and entry["rule"] in LOOKUP_RULES}
+    ready = dict(zip(wanted, checked_all(list(wanted.values())), strict=True))
     for entry in rules:
         rule, columns = entry["rule"], entry["columns"]
         if rule in RULES:
@@ -130,11 +132,8 @@ def apply_rules(df: DataFrame, rules: Sequence[dict], lookups: Mapping[str, Data
             if lookups is None or rule not in lookups:
                 raise ValueError(f"rule {rule!r} needs a code list")
             take, default = LOOKUP_RULES[rule]
-            codes = lookups[rule]
-            if id(codes) not in ready:
-                ready[id(codes)] = checked(codes)
             for spec in columns:
-                df = lookup(df, spec["src_col"], spec["tgt_col"], ready[id(codes)], take, default)
+                df = lookup(df, spec["src_col"], spec["tgt_col"], ready[id(lookups[rule])], take, default)
         else:
             raise ValueError(f"unknown cleansing rule {rule!r}")
     return df

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,32 +13,46 @@ BROADCAST_BYTES = 16 * 1024 * 1024
 _ROW_BYTES = 64
 
 
-def checked(lookup_df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """The code list under internal names, hinted for broadcast if it is small enough.
-
-    One aggregate over the list finds duplicate keys, which would multiply the rows
-    of the table, and its size. A longer list is joined by shuffle instead, where
-    adaptive execution splits the table's skewed keys.
-    """
-    lk = lookup_df.select(
+def _named(lookup_df: DataFrame) -> DataFrame:
+    named = lookup_df.select(
         F.col("id").cast("string").alias("_lk_id"),
         F.col("value").cast("string").alias("_lk_value"),
         F.col("text").alias("_lk_text"),
     )
+    return named.filter(F.col("_lk_id").isNotNull() & F.col("_lk_value").isNotNull())
+
+
+def checked_all(lists: Sequence[DataFrame], limit: int = BROADCAST_BYTES) -> list[DataFrame]:
+    """The code lists under internal names, each hinted for broadcast if it is small enough.
+
+    One job over all of them finds duplicate keys, which would multiply the rows
+    of the table, and their sizes. A longer list is joined by shuffle instead, where
+    adaptive execution splits the table's skewed keys.
+    """
+    keyed = [_named(df) for df in lists]
+    if not keyed:
+        return []
+    parts = [lk.withColumn("_lk_text", F.col("_lk_text").cast("string")).withColumn("_list", F.lit(n)) for n, lk in enumerate(keyed)]
     width = sum(
-        (F.coalesce(F.octet_length(n).cast("long"), F.lit(0)) for n in lk.columns), F.lit(_ROW_BYTES).cast("long")
+        (F.coalesce(F.octet_length(n).cast("long"), F.lit(0)) for n in keyed[0].columns), F.lit(_ROW_BYTES).cast("long")
     )
-    stats = (
-        lk.filter(F.col("_lk_id").isNotNull() & F.col("_lk_value").isNotNull())
-        .groupBy("_lk_id", "_lk_value")
+    found = (
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("_list", "_lk_id", "_lk_value")
         .agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes"))
+        .groupBy("_list")
         .agg(F.max("n").alias("copies"), F.sum("bytes").alias("bytes"))
-        .first()
+        .collect()
     )
-    if (stats["copies"] or 0) > 1:
+    if any(r["copies"] > 1 for r in found):
         raise ValueError("the code list has several rows for one (id, value)")
-    keyed = lk.filter(F.col("_lk_id").isNotNull() & F.col("_lk_value").isNotNull())
-    return F.broadcast(keyed) if (stats["bytes"] or 0) <= limit else keyed
+    sizes = {r["_list"]: r["bytes"] for r in found}
+    return [F.broadcast(lk) if sizes.get(n, 0) <= limit else lk for n, lk in enumerate(keyed)]
+
+
+def checked(lookup_df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """The same for one list."""
+    return checked_all([lookup_df], limit)[0]
 
 
 def lookup(

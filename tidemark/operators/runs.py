@@ -45,14 +45,31 @@ def run_completed(log: DataFrame, steps: DataFrame) -> DataFrame:
     return named.select("batch_dt", F.col("name").alias("table_name"))
 
 
-def run_ready(steps: DataFrame, log: DataFrame, schedule: DataFrame | None = None) -> DataFrame:
+def of_schedule(log: DataFrame, schedule: DataFrame) -> DataFrame:
+    """The log's entries of the schedule's batch dates. The first and the last date are found first, so
+    that of a log in folders by date only these and those between are listed and read."""
+    dates = schedule.select(F.col("batch_dt").alias("_due")).distinct()
+    ends = dates.agg(F.min("_due").alias("first"), F.max("_due").alias("last")).first()
+    # A null date is a date of its own.
+    within = F.col("batch_dt").isNull() if ends["first"] is None else F.col("batch_dt").between(F.lit(ends["first"]), F.lit(ends["last"])) | F.col("batch_dt").isNull()
+    return log.filter(within).join(dates, F.col("batch_dt").eqNullSafe(F.col("_due")), "left_semi")
+
+
+def run_ready(
+    steps: DataFrame, log: DataFrame, schedule: DataFrame | None = None, scheduled_only: bool = False
+) -> DataFrame:
     """Unfinished (step, batch date) pairs that may start: the step has no dependency, does
     not check it, or its dependency is COMPLETED for that batch date.
 
     ``schedule`` (step_id, batch_dt) names the pairs that are to run, also those that have never
-    started and so are not in the log; pairs of the log count in any case. Two steps of one name
-    are an error.
+    started and so are not in the log; pairs of the log count in any case, or with ``scheduled_only``
+    where their date is one of the schedule's, and then no other date of the log is read. Two steps of
+    one name are an error.
     """
+    if scheduled_only:
+        if schedule is None:
+            raise ValueError("scheduled_only needs a schedule")
+        log = of_schedule(log, schedule)
     newest = run_latest_status(log)
     pending = newest.filter("to_run").select("step_id", "batch_dt")
     if schedule is not None:

@@ -109,6 +109,29 @@ def _ready(t: Tables) -> DataFrame:
     return runs.run_ready(steps(t), run_log(t), schedule)
 
 
+@query(
+    "run_ready_scheduled",
+    f"""WITH {_LOG}, {_STEPS}, {_NEWEST},
+due AS (SELECT step_id, CAST(ts AS DATE) + 1 AS batch_dt FROM log WHERE rows % 7 = 0),
+pairs AS (SELECT step_id, batch_dt FROM due
+          UNION SELECT step_id, batch_dt FROM newest WHERE batch_dt IN (SELECT batch_dt FROM due))
+SELECT n.step_id, s.name, n.batch_dt FROM pairs n JOIN steps s ON s.step_id = n.step_id
+LEFT JOIN newest l ON l.step_id = n.step_id AND l.batch_dt = n.batch_dt
+WHERE coalesce(l.status, '') <> 'COMPLETED' AND (s.depends_on IS NULL
+  OR coalesce(upper(json_extract_string(s.info, '$.dependency_check')), '') <> 'TRUE'
+  OR EXISTS (SELECT 1 FROM newest d JOIN steps ds ON ds.step_id = d.step_id
+             WHERE ds.name = s.depends_on AND d.batch_dt = n.batch_dt AND d.status = 'COMPLETED'))""",
+    text=["batch_dt"],
+)
+def _ready_scheduled(t: Tables) -> DataFrame:
+    """Some steps are scheduled again for the day after, and only those days of a stored log count."""
+    path = scratch_dir(t.spark, "log")
+    append_log(run_log(t), path)
+    log = read_log(t.spark, path)
+    schedule = log.filter("rows % 7 = 0").select("step_id", F.date_add(F.col("ts").cast("date"), 1).alias("batch_dt"))
+    return runs.run_ready(steps(t), log, schedule, scheduled_only=True)
+
+
 @query(
     "run_groups",
     """SELECT CAST(o_orderdate AS DATE) AS batch_dt, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS seq,

@@ -29,7 +29,7 @@ def move(spark: SparkSession, path: str, place: str) -> None:
     every moment one of them is there whole. A move that broke off is mended by the next one."""
     fs, p = _path(spark, path)
     _, q = _path(spark, place)
-    _, old = _path(spark, f"{place.rstrip('/')}_replaced")
+    old = _aside(spark, place)
     restore(spark, place)
     fs.mkdirs(q.getParent())
     if fs.exists(q) and not fs.rename(q, old):
@@ -40,10 +40,16 @@ def move(spark: SparkSession, path: str, place: str) -> None:
     fs.delete(old, True)
 
 
+def _aside(spark: SparkSession, place: str):
+    """Where a folder is put while another one takes its place: beside it, hidden from readers."""
+    parent, name = place.rstrip("/").rsplit("/", 1)
+    return _path(spark, f"{parent}/.{name.replace('=', '-')}.replaced")[1]
+
+
 def restore(spark: SparkSession, place: str) -> None:
     """Brings back what a move that broke off had taken from its place."""
     fs, q = _path(spark, place)
-    _, old = _path(spark, f"{place.rstrip('/')}_replaced")
+    old = _aside(spark, place)
     if fs.exists(old):
         if fs.exists(q):
             fs.delete(old, True)
@@ -94,3 +100,13 @@ def snapshot_dates(spark: SparkSession, root: str) -> list[date]:
     """Dates of the complete snapshots under the root, oldest first."""
     names = complete_folders(spark, root)
     return [date.fromisoformat(n) for n in names if re.fullmatch(r"\d{4}-\d{2}-\d{2}", n)]
+
+
+def complete(spark: SparkSession, folder: str) -> bool:
+    """Whether a write into the folder itself finished."""
+    return exists(spark, f"{folder.rstrip('/')}/_SUCCESS")
+
+
+def count_files(spark: SparkSession, pattern: str) -> int:
+    fs, p = _path(spark, pattern)
+    return sum(s.isFile() for s in fs.globStatus(p) or [])
