@@ -88,11 +88,15 @@ def removed(texts, length):
 @pytest.mark.parametrize(("length", "piece", "group"), [(400, 128, 20000), (40, 12, 20000), (40, 12, 1)])
 def test_repeats(docs, length, piece, group):
     """``group`` 1 sends every anchor with several chunks the way of very frequent ones."""
-    got = suffix_dedup.remove_repeats(docs, length, piece, group)
+    got = suffix_dedup.remove_repeats(docs, length, piece, group, short=length * 5 // 8)
     rows = tuples(docs, "text")
     want = removed([(t or "").encode() for (t,) in rows], length)
     found = tuples(got, "n_bytes", "n_removed", "n_spans", "kept_sha256")
     assert sorted(found) == sorted(want) and sum(w[1] for w in want) > 900
+    # The shorter strings that repeat are counted beside.
+    short = removed([(t or "").encode() for (t,) in rows], length * 5 // 8)
+    assert sorted(tuples(got, "n_bytes", "n_repeated")) == sorted((w[0], w[1]) for w in short)
+    assert sum(w[1] for w in short) >= sum(w[1] for w in want)
 
 
 def test_long_texts_are_cut_into_segments(monkeypatch):
@@ -101,6 +105,10 @@ def test_long_texts_are_cut_into_segments(monkeypatch):
     found = suffix_dedup.chunks(raw, np.array([0, len(raw)]), 100, 30)
     starts = sorted(s for b, n in zip(found["begin"], found["count"]) for s in range(b, b + n))
     assert starts == list(range(len(raw) - 99))
+    longer = suffix_dedup.chunks(raw, np.array([0, len(raw)]), 100, 30, 260)
+    starts = sorted(s for b, n in zip(longer["begin"], longer["count"]) for s in range(b, b + n))
+    assert starts == list(range(len(raw) - 99))
+    assert (longer["size"] == np.minimum(longer["count"] + 259, len(raw) - longer["begin"])).all()
 
 
 def test_shards(docs, spark, tmp_path):
