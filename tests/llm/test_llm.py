@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import (
-    decontamination, near_dedup, packing, pii, quality, registered, secret_scan, sharding, suffix_dedup, token_files, tokens, toxicity,
+    decontamination, near_dedup, packing, pii, quality, registered, secret_scan, sharding, spans, suffix_dedup, token_files, tokens, toxicity,
 )
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -332,6 +332,38 @@ def test_lines_of_a_host(spark):
     assert one[200].n_dup_lines == 19 and one[200].base_failed and not one[300].kept
 
 
+def test_spans_of_texts_with_very_many_matches(spark):
+    """Blocks of matches agree with plain search, and the time is in proportion."""
+    words = [f"user{i}@example.org +{i % 9} 555 {i:07d} 10.0.{i % 300}.7" if i % 3 else f"é{i}" for i in range(6000)]
+    text = " ".join(words)
+    row = pii.proposed(spark.createDataFrame([(1, text)], "doc_id long, text string"), "doc_id", "text").first()
+    want = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", text)]
+    assert [(x.start, x.kind, x.end) for x in row.email] == want and len(want) == 4000
+    assert all(text[x.start : x.end] == x.found and text[max(0, x.start - 24) : x.start].endswith(x.before) for x in row.ip)
+    assert len(row.ip) == sum(i % 300 < 256 for i in range(6000) if i % 3)
+    found = {(x.start, x.end) for x in row.candidates}
+    base = [(x.start, x.end) for x in row.base]
+    table = spark.createDataFrame([row], pii.proposed(spark.createDataFrame([], "doc_id long, text string"), "doc_id", "text").schema)
+    free = {(x.start, x.end) for x in table.select(spans.apart(F.col("candidates"), F.col("base")).alias("a")).first().a}
+    covered = np.zeros(len(text) + 1, bool)
+    for b, e in base:
+        covered[b:e] = True
+    assert free == {(b, e) for b, e in found if not covered[b:e].any()}
+
+
+def test_redaction_of_many_and_overlapping_spans(spark):
+    draw = random.Random(6)
+    text = "".join(draw.choice("abé日 ") for _ in range(5000))
+    for n in (1, 2, 127, 128, 129, 700):
+        places = sorted((b, draw.randrange(3), min(5000, b + draw.randrange(1, 9))) for b in (draw.randrange(4999) for _ in range(n)))
+        want, at = "", 0
+        for b, _, e in places:
+            want += text[at:b] + "[X]" if b >= at else ""
+            at = max(at, e)
+        rows = spark.createDataFrame([(text, [(b, k, e, "", "") for b, k, e in places])], f"t string, s {spans.SPANS}")
+        assert rows.select(spans.redacted(F.col("t"), F.col("s"), "[X]").alias("r")).first().r == want + text[at:]
+
+
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 

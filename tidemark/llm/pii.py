@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
-from tidemark.llm.spans import apart, fenceless, parts, spans, told
+from tidemark.llm.spans import apart, fenceless, marked, parts, spans, told
 
 KINDS = ("email", "ip", "card", "phone", "other")
 # The base forms. A start inside a run is excluded where it could not match anyway.
@@ -201,8 +201,8 @@ def _hash_limit(hashed: DataFrame, sample: int) -> int:
 
 def learn(found: DataFrame, sample: int = SAMPLE) -> Trees:
     """Trees from a bounded sample of the different candidates."""
-    each = found.select("base", F.explode("candidates").alias("c"))
-    covered = F.exists("base", lambda b: (b["start"] < F.col("c.end")) & (F.col("c.start") < b["end"]))
+    each = found.select(F.explode(marked(F.col("candidates"), F.col("base"))).alias("m")).select("m.meets", F.col("m.span").alias("c"))
+    covered = F.col("meets")
     chosen = F.xxhash64("c.found", "c.before", "c.start")
     told_apart = each.select(chosen.alias("h"), covered.alias("y"), F.col("c"))
     # Copies fold in the tasks, and only hashes near the wanted number leave them.
