@@ -324,12 +324,17 @@ def test_lines_of_a_host(spark):
     rows = [(i, f"Shared  Line {'HERE' if i % 2 else 'here'}\n{prose(i, 60)}", "h1") for i in range(30)]
     rows += [(100 + i, f"other line\n{prose(100 + i, 60)}", "h1" if i < 20 else None) for i in range(30)]
     rows += [(200 + i, "\n".join(["shared line here"] * 20), "h1") for i in range(3)] + [(300, None, "h1"), (300, None, "h1")]
+    copy = f"copied line\n{prose(7, 60)}"
+    rows += [(400 + i, copy, "many") for i in range(21)] + [(500 + i, copy, "few") for i in range(20)]
     got = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, source string"))
     one = {r.doc_id: r for r in got.collect()}
     assert got.count() == len(rows)
     assert all(one[i].n_removed == 3 and one[i].kept for i in range(30))
     assert all(one[100 + i].n_removed == 0 and one[100 + i].kept for i in range(30))
     assert one[200].n_dup_lines == 19 and one[200].base_failed and not one[300].kept
+    # Copies are documents too: 21 of them lose all lines, 20 none.
+    assert all(not one[400 + i].kept and one[400 + i].n_removed == 62 for i in range(21))
+    assert all(one[500 + i].kept and one[500 + i].n_removed == 0 for i in range(20))
 
 
 def test_spans_of_texts_with_very_many_matches(spark):

@@ -1,19 +1,18 @@
 """Quality rules: repeated lines across the documents of a host.
 
 Lines are normalised (A-Z in lower case, words joined by one space) and hashed together with
-their host. A line that more than ``LIMIT`` distinct texts of one host hold is removed; a document
+their host. A line that more than ``LIMIT`` documents of one host hold is removed; a document
 that loses more than ``DEPLETED`` of its words so is rejected, besides those that fail the base
 rules on length and repetition.
 
 One scan finds every document's figures and its distinct lines as numbers, which are kept in a
-table, so the text is never shuffled. Counting folds copies of one text and adds up per task
-before the shuffle; the few lines above the limit are joined back to the lines in a way that
+table, so the text is never shuffled. Counting adds up per task before the shuffle; the few lines above the limit are joined back to the lines in a way that
 lets a line held by a third of all documents be split.
 
 Defined results: a null or empty text has no words and fails the base rules; lines without a word
-do not count; a null host is a host of its own; repeated rows and equal texts count as one
-document of a host, and each row gets its result; an empty table gives no rows; other columns are
-ignored. Hashes have 64 bits.
+do not count; a null host is a host of its own; every row is a document, equal or not, so a page with
+more copies on a host than the limit loses its lines there; an empty table gives no rows; other
+columns are ignored; a line that exactly ``LIMIT`` documents hold stays. Hashes have 64 bits.
 """
 
 from __future__ import annotations
@@ -103,12 +102,11 @@ def figures(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def measured(docs: DataFrame, id_column: str, text_column: str, host_column: str) -> DataFrame:
-    """Each row's figures, a hash of its text, and its lines as keys of host and line."""
+    """Each row's figures, and its different lines as keys of host and line."""
     named = docs.select(
         F.col(id_column).alias("doc_id"),
         F.col(text_column).alias("text"),
         F.xxhash64(F.lit(1), host_column).alias("host"),
-        F.xxhash64(text_column, F.length(text_column)).alias("text_key"),
     )
     kind = named.schema["doc_id"].dataType.simpleString()
 
@@ -119,13 +117,13 @@ def measured(docs: DataFrame, id_column: str, text_column: str, host_column: str
             found, row, line, held = figures(raw[starts[lo] : starts[hi]], starts[lo : hi + 1] - starts[lo])
             keys = mix(line ^ mix(hosts[lo:hi][row])).view(np.int64)
             bounds = np.searchsorted(row, np.arange(hi - lo + 1)).astype(np.int32)
-            columns = [batch.column(0)[lo:hi], batch.column(3)[lo:hi]]
+            columns = [batch.column(0)[lo:hi]]
             columns += [pa.array(found[:, k]) for k in range(5)]
             columns += [pa.ListArray.from_arrays(bounds, pa.array(v)) for v in (keys, held)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", *_FIGURES, "lines", "held"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", *_FIGURES, "lines", "held"])
 
-    schema = f"doc_id {kind}, text_key long, {', '.join(f'{c} long' for c in _FIGURES)}, lines array<long>, held array<long>"
-    return map_arrow(named, ["doc_id", "text", "host", "text_key"], work, schema)
+    schema = f"doc_id {kind}, {', '.join(f'{c} long' for c in _FIGURES)}, lines array<long>, held array<long>"
+    return map_arrow(named, ["doc_id", "text", "host"], work, schema)
 
 
 def judge(
@@ -139,18 +137,16 @@ def judge(
     """Each row's figures, ``n_removed`` (words of removed lines), ``base_failed`` and ``kept``."""
     found = measured(docs, id_column, text_column, host_column).withColumn("row", F.monotonically_increasing_id())
     found = stored(found, "line-figures")  # from here on row numbers are fixed
-    lines = found.select("row", "text_key", F.explode(F.arrays_zip("lines", "held")).alias("line")).select(
-        "row", "text_key", F.col("line.lines").alias("line"), F.col("line.held").alias("held")
-    )
-    frequent = (
-        lines.groupBy("line", "text_key").agg(F.lit(1).alias("one"))
-        .groupBy("line").agg(F.count("*").alias("n")).filter(F.col("n") > limit).select("line")
+    lines = found.select("row", F.explode(F.arrays_zip("lines", "held")).alias("line")).select(
+        "row", F.col("line.lines").alias("line"), F.col("line.held").alias("held")
     )
+    # A row has each of its lines once.
+    frequent = lines.groupBy("line").agg(F.count("*").alias("n")).filter(F.col("n") > limit).select("line")
     removed = lines.join(frequent, "line").groupBy("row").agg(F.sum("held").alias("n_removed"))
     base_failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     n_removed = F.coalesce("n_removed", F.lit(0)).cast("long")
     return (
-        found.drop("lines", "held", "text_key")
+        found.drop("lines", "held")
         .join(removed, "row", "left")
         .withColumn("n_removed", n_removed)
         .withColumn("base_failed", base_failed)
@@ -171,13 +167,13 @@ tri AS (SELECT r, k, array_to_string(w[k : k + 2], ' ') AS key
 rep AS (SELECT r, count(DISTINCT pos) AS n FROM (
           SELECT r, unnest(range(k, k + 3)) AS pos
           FROM (SELECT r, k, count(*) OVER (PARTITION BY r, key) AS c FROM tri) WHERE c > 1) GROUP BY r),
-raw_lines AS (SELECT r, source, md5(text) AS tk, unnest(string_split(text, chr(10))) AS line FROM d),
-l AS (SELECT r, source, tk, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS lw FROM raw_lines),
-lines AS (SELECT r, source, tk, line, len(lw) AS n,
+raw_lines AS (SELECT r, source, unnest(string_split(text, chr(10))) AS line FROM d),
+l AS (SELECT r, source, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS lw FROM raw_lines),
+lines AS (SELECT r, source, line, len(lw) AS n,
             translate(array_to_string(lw, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
           FROM l WHERE len(lw) > 0),
 dup AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY r),
-frequent AS (SELECT source, key FROM lines GROUP BY source, key HAVING count(DISTINCT tk) > 20),
+frequent AS (SELECT source, key FROM lines GROUP BY source, key HAVING count(DISTINCT r) > 20),
 gone AS (SELECT r, sum(n) AS n FROM lines JOIN frequent USING (source, key) GROUP BY r),
 f AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
   CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
