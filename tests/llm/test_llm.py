@@ -313,6 +313,28 @@ def test_signature_filter_loses_less_than_one_in_a_million():
     assert sum(math.comb(bins, k) * p**k * (1 - p) ** (bins - k) for k in range(near_dedup.AGREE)) < 1e-6
 
 
+@pytest.mark.parametrize("size", [5, 10, 25, 60, 65, 130, 400])
+def test_recall_of_signatures_at_the_similarity(size):
+    """Of pairs at exactly 0.8, all share a band, and all that are held against the filter pass it."""
+    draw, pairs = np.random.default_rng(size), 4000 if size < 100 else 800
+    both = np.sort(draw.integers(0, 1 << 53, (pairs, size), dtype=np.uint64), axis=1)
+    part = np.sort(draw.permuted(both, axis=1)[:, : size * 4 // 5], axis=1)
+    left, right = (near_dedup.signatures(s.reshape(-1), np.arange(0, s.size + 1, s.shape[1]), near_dedup.BINS) for s in (both, part))
+    assert (near_dedup.band_keys(left, near_dedup.BANDS) == near_dedup.band_keys(right, near_dedup.BANDS)).any(axis=1).all()
+    if size * 4 // 5 >= near_dedup.WHOLE:
+        assert ((left == right).sum(axis=1) >= near_dedup.AGREE).all()
+
+
+def test_short_texts_at_the_similarity_are_linked(spark):
+    """Texts of 8 and 7 words share 4 of 5 shingles, however their bins agree."""
+    rows = []
+    for k in range(1500):
+        words = [f"w{k}x{i}" for i in range(8)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:7]))]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert all(r.component_id == r.doc_id - r.doc_id % 2 for r in got.collect())
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
 def test_near_duplicates_of_a_table(spark):
     frame = spark.read.parquet(f"{FOLDER}/documents.parquet")

@@ -9,8 +9,10 @@ others, which in a group of edited copies is what they were copied from; then, i
 members are still in different components, from a few centres drawn at random, for pairs in
 different components alone. What hot buckets still hold in several components is searched by prefix
 filter: the shingles of those texts are ordered by how many of them hold each, and two texts that
-reach the similarity share one among the first few of either. Candidates whose signatures agree too little are dropped (a true link
-is lost so with a chance below one in a million), and all others are compared by their full sets.
+reach the similarity share one among the first few of either. Of candidates with ``WHOLE`` or more shingles each, those
+whose signatures agree too little are dropped (a true link is lost so with a chance below one in a
+million); all others, and all pairs with a smaller set, whose bins repeat few shingles and so agree more or
+less by chance, are compared by their full sets.
 
 Equal sets are one node, so copies cost a row each and no edge. A node is named by a 64-bit hash
 of its set. Sums are folded per task before each shuffle and stand in tables of their own when
@@ -42,6 +44,8 @@ BANDS = 32
 # Bins that must agree before two sets are compared: of 128 independent ones that agree at 80 percent each, fewer do
 # with a chance below one in a million.
 AGREE = 78
+# Sets with fewer shingles than this skip that filter.
+WHOLE = 64
 # Centres that a bucket is expected to draw after its first one.
 DRAWN = 3
 
@@ -164,9 +168,10 @@ def _agreeing(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         left, right = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, BINS) for k in (2, 3))
         near = (left == right).sum(1) >= AGREE
+        near |= np.minimum(batch.column(4).to_numpy(), batch.column(5).to_numpy()) < WHOLE
         yield batch.select([0, 1]).filter(pa.array(near))
 
-    return map_arrow(joined, ["a", "b", "sa", "sb"], work, "a long, b long")
+    return map_arrow(joined, ["a", "b", "sa", "sb", "na", "nb"], work, "a long, b long")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
