@@ -246,6 +246,8 @@ def test_contaminated_words(spark, docs):
     blocks = decontamination.find_items(docs, items, block_bytes=1)
     key = lambda r: repr((r.doc_id, r.n_words, r.hits, r["items"]))
     assert sorted(map(key, blocks.collect())) == sorted(map(key, decontamination.find_items(docs, items).collect()))
+    one_by_one = decontamination.decontaminate(docs, items, block_bytes=1)
+    assert sorted(map(str, one_by_one.collect())) == sorted(map(str, decontamination.decontaminate(docs, items).collect()))
     clean = decontamination.decontaminate(docs, items)
     assert clean.columns == docs.columns and clean.filter("doc_id = 4 OR text LIKE 'alpha%alpha'").count() == 0
     assert clean.filter("text IS NULL").count() == 2
@@ -342,6 +344,13 @@ def test_near_duplicates_of_a_table(spark):
     assert sorted(tuples(near_dedup.near_duplicates(frame), "doc_id", "n_shingles", "component_id"), key=repr) == brute_components(rows, 4)
 
 
+def test_the_shift_table_grows_with_the_items():
+    """With half a megabyte of items most places still shift."""
+    items = decontamination.Items([(str(i), prose(i, 80)) for i in range(1000)], 10)
+    ((matcher, _),) = items.matchers
+    assert matcher.table > 1 << 16 and (matcher.shift == 0).mean() < 0.1 and matcher.shift.max() == 9
+
+
 def test_lines_of_a_host(spark):
     rows = [(i, f"Shared  Line {'HERE' if i % 2 else 'here'}\n{prose(i, 60)}", "h1") for i in range(30)]
     rows += [(100 + i, f"other line\n{prose(100 + i, 60)}", "h1" if i < 20 else None) for i in range(30)]

@@ -18,6 +18,7 @@ each get their result; empty tables give no rows or no hits; other columns are k
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,10 +30,12 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import map_arrow, mix, prefix_hash, prepare, row_slices, run_hash, stored, text_bytes, words_of
 
 WINDOW = 10
-# Bytes of item texts in one block, positions that one stretch of text covers.
-BLOCK_BYTES = 16_000_000
+# Bytes of item texts in one block (a worker holds some 250 times as many for its windows), and
+# positions that one stretch of text covers.
+BLOCK_BYTES = 1_000_000
 STRETCH = 256
-TABLE = 1 << 16
+# Places of the shift table for each block of words in it, at least and at most.
+PLACES, LEAST_TABLE, MOST_TABLE = 4, 1 << 16, 1 << 24
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -62,8 +65,8 @@ def read_words(raw: np.ndarray, starts: np.ndarray) -> Words:
     return Words(raw, begin, end, run_hash(prefix_hash(raw), begin, end), before)
 
 
-def _block(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return (mix(left * np.uint64(0x9E3779B97F4A7C15) + right) & np.uint64(TABLE - 1)).astype(np.int64)
+def _block(left: np.ndarray, right: np.ndarray, table: int) -> np.ndarray:
+    return (mix(left * np.uint64(0x9E3779B97F4A7C15) + right) & np.uint64(table - 1)).astype(np.int64)
 
 
 class Matcher:
@@ -72,18 +75,21 @@ class Matcher:
     def __init__(self, windows: list[tuple[bytes, ...]], hashes: np.ndarray):
         n, self.length = hashes.shape
         self.size = min(2, self.length)
+        # Large enough that most blocks of a text are not in it and so shift.
+        wanted = PLACES * n * (self.length - self.size + 1)
+        self.table = min(max(1 << (wanted - 1).bit_length(), LEAST_TABLE), MOST_TABLE)
         ends = [self._blocks(hashes, j) for j in range(self.size - 1, self.length)]
-        self.shift = np.full(TABLE, self.length - self.size + 1, np.int64)
+        self.shift = np.full(self.table, self.length - self.size + 1, np.int64)
         for back, blocks in enumerate(reversed(ends)):
             np.minimum.at(self.shift, blocks, back)
         order = np.argsort(ends[-1], kind="stable")
         self.windows = [windows[i] for i in order]
         self.hashes = hashes[order]
         self.order = order
-        self.bucket = np.searchsorted(ends[-1][order], np.arange(TABLE + 1))
+        self.bucket = np.searchsorted(ends[-1][order], np.arange(self.table + 1))
 
     def _blocks(self, hashes: np.ndarray, j: int) -> np.ndarray:
-        return _block(hashes[:, j - 1] if self.size == 2 else hashes[:, j], hashes[:, j])
+        return _block(hashes[:, j - 1] if self.size == 2 else hashes[:, j], hashes[:, j], self.table)
 
     def find(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """Last word and window number of every occurrence inside one text."""
@@ -96,7 +102,7 @@ class Matcher:
         last, which = [], []
         while len(at):
             left = hashes[at - 1] if self.size == 2 else hashes[at]
-            block = _block(left, hashes[at])
+            block = _block(left, hashes[at], self.table)
             step = self.shift[block]
             if (hit := step == 0).any():
                 ends, window = self._confirm(words, at[hit], block[hit])
@@ -184,7 +190,7 @@ def item_blocks(items: DataFrame, id_column: str, text_column: str, most: int) -
     text = F.coalesce(F.col(text_column), F.lit("")).alias("t")
     for row in items.select(F.coalesce(F.col(id_column).cast("string"), F.lit("")).alias("i"), text).toLocalIterator():
         block.append((row.i, row.t))
-        size += len(row.t)
+        size += len(row.t.encode())
         if size >= most:
             yield block
             block, size = [], 0
@@ -209,7 +215,7 @@ def find_items(
     id_type = found.schema["doc_id"].dataType.simpleString()
     while True:
         later = next(blocks, None)
-        shared = docs.sparkSession.sparkContext.broadcast((block, window))
+        shared = docs.sparkSession.sparkContext.broadcast((block, window, uuid.uuid4().hex))
 
         def work(batch: pa.RecordBatch, shared=shared, last=later is None) -> Iterator[pa.RecordBatch]:
             counts, runs, names = _matchers(shared).search(batch.column(1))
@@ -237,16 +243,16 @@ def find_items(
         found = stored(found, f"items-found-{n}")
 
 
-_KNOWN: dict[int, Items] = {}
+_KNOWN: dict[str, Items] = {}
 
 
 def _matchers(shared) -> Items:
-    """The matchers of a broadcast block, built once per worker."""
-    key = shared._jbroadcast.id() if getattr(shared, "_jbroadcast", None) else id(shared.value[0])
-    if key not in _KNOWN:
+    """The matchers of a broadcast block, built once per worker; blocks have names of their own."""
+    block, window, name = shared.value
+    if name not in _KNOWN:
         _KNOWN.clear()
-        _KNOWN[key] = Items(*shared.value)
-    return _KNOWN[key]
+        _KNOWN[name] = Items(block, window)
+    return _KNOWN[name]
 
 
 def _joined(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -259,12 +265,15 @@ def _joined(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs``, all columns, whose text holds no window of any item."""
     prepare(docs.sparkSession)
     position = docs.columns.index("text")
-    for block in item_blocks(items, "item_id", "text", BLOCK_BYTES):
-        shared = docs.sparkSession.sparkContext.broadcast((block, window))
+    blocks = item_blocks(items, "item_id", "text", block_bytes)
+    block, n = next(blocks, None), 0
+    while block is not None:
+        later = next(blocks, None)
+        shared = docs.sparkSession.sparkContext.broadcast((block, window, uuid.uuid4().hex))
 
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -273,6 +282,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
                     yield batch.filter(pa.array([not r for r in runs]))
 
         docs = docs.mapInArrow(work, docs.schema)
+        if later is not None:  # one block's matchers at a time in a worker
+            n += 1
+            docs = stored(docs, f"clean-of-{n}")
+        block = later
     return docs
 
 
