@@ -539,7 +539,7 @@ def test_same_rows_as_sql(spark, name):
     import duckdb
 
     duck = duckdb.connect()
-    for table in ("documents", "benchmark", "labels"):
+    for table in ("documents", "benchmark", "labels", "embeddings"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     want = duck.execute(registered.ORACLES[name])
     columns = [c[0] for c in want.description]
