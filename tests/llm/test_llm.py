@@ -11,6 +11,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -265,6 +266,72 @@ def test_toxicity_learns_words(spark):
     assert toxicity.train(frame, labels.filter("toxic = 0")).weights.size == 0
 
 
+def plain_features(text):
+    """The hashed n-grams of a text, one at a time."""
+    low = "".join(c.lower() if "A" <= c <= "Z" else c if c >= "\x80" or c.isalnum() else " " for c in text or "")
+    numbers = [int.from_bytes(c.encode(), "big") for c in f" {low} "]
+    found, word = set(), (1 << 64) - 1
+    for size in toxicity.SIZES:
+        for at in range(len(numbers) - size + 1):
+            gram = 0
+            for n in numbers[at : at + size]:
+                gram = (gram * int(toxicity._STEP) + n) & word
+            h = (gram * int(toxicity._MIX) + size * 0x632BE59BD9B4E019) & word
+            h ^= h >> 31
+            found.add((h * int(toxicity._MIX) & word) >> 64 - toxicity.BITS)
+    return found
+
+
+@given(st.lists(st.text(alphabet="abZ 9!é日😀\n", max_size=40) | st.none(), min_size=1, max_size=6), st.sampled_from([7, 16, 500_000]))
+@settings(max_examples=120, deadline=None)
+def test_character_features(texts, most):
+    wanted = np.zeros(1 << toxicity.BITS, bool)
+    wanted[::3] = wanted[1::3] = True
+    old, toxicity.SLICE = toxicity.SLICE, most
+    try:
+        got = [pair for row, feature in toxicity.found_in(pa.array(texts, pa.string()), wanted) for pair in zip(row.tolist(), feature.tolist())]
+    finally:
+        toxicity.SLICE = old
+    assert got == [(k, f) for k, t in enumerate(texts) for f in sorted(plain_features(t)) if wanted[f]]
+
+
+def test_toxicity_scores_are_those_of_a_dense_model(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "KEPT", 60)
+    monkeypatch.setattr(toxicity, "BLOCK", 200)
+    texts = [(i, prose(i, 12) + (" you rötten scoundrel" if i % 4 == 0 else "")) for i in range(90)] + [(90, None), (91, "")]
+    frame = spark.createDataFrame([*texts, texts[3], (8, "another text of id eight")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(92)], "doc_id long, quality int, toxic int")
+    got = toxicity.score(frame, toxicity.train(frame, labels)).collect()
+    least = {r.doc_id: r.text or "" for r in frame.orderBy(F.desc(F.xxhash64(F.coalesce("text", F.lit(""))))).collect()}
+    used = [i for i in sorted(least) if zlib.crc32(str(i).encode()) % 3 != 1]
+    y = np.array([float(i % 4 == 0) for i in used])
+    sets = [plain_features(least[i]) for i in used]
+    n1, n0 = y.sum(), (1 - y).sum()
+    stats = []
+    for f in set().union(*sets):
+        a, b = (sum(f in s for s, v in zip(sets, y) if v == w) for w in (1, 0))
+        share = (a + b) / len(y)
+        apart = abs(a / n1 - b / n0) / math.sqrt(max(share * (1 - share), 1e-12) * (1 / n1 + 1 / n0))
+        if a + b >= toxicity.MIN_ROWS and apart > 0:
+            stats.append((-apart, f, math.log((a + 1) / (n1 + 2)) - math.log((b + 1) / (n0 + 2))))
+    kept = sorted(stats)[:60]
+    matrix = np.array([[r * (f in s) for _, f, r in kept] for s in sets])
+    weight, w, bias = np.where(y == 1, toxicity.POSITIVE, 1) / len(y), np.zeros(60), math.log(n1 / n0)
+    m, v = np.zeros(61), np.zeros(61)
+    for step in range(1, toxicity.STEPS + 1):
+        error = (1 / (1 + np.exp(-(matrix @ w + bias))) - y) * weight
+        slope = np.append(matrix.T @ error + toxicity.RIDGE * w, error.sum())
+        m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
+        move = toxicity.RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+        w, bias = w - move[:-1], bias - move[-1]
+    want = sorted(
+        (r.doc_id, 1 / (1 + math.exp(-bias - sum(r_ * w_ for (_, f, r_), w_ in zip(kept, w) if f in plain_features(r.text))))) for r in frame.collect()
+    )
+    assert len(got) == 94
+    for r, (doc_id, score) in zip(sorted((r.doc_id, r.score) for r in got), want):
+        assert r[0] == doc_id and abs(r[1] - score) < 1e-6
+
+
 def brute_components(rows, size):
     sets = []
     for i, t in rows:
