@@ -119,6 +119,12 @@ def test_shards(docs, spark, tmp_path):
     for shard in {r.shard for r in rows}:
         places = sorted(r.slot for r in rows if r.shard == shard)
         assert places == list(range(len(places)))
+    held = [sum(r.size for r in rows if r.shard == k) for k in range(3)]
+    slots = collections.Counter()
+    for r in rows:
+        slots[r.virtual_slot] += r.size
+    assert max(held) - min(held) <= max(slots.values()) and len({(r.virtual_slot, r.shard) for r in rows}) == len(slots)
+    assert len({r.virtual_slot for r in rows if r.doc_id == 7}) == 1
     expected = sorted((r.doc_id, len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode())) for r in docs.collect() if r.doc_id is not None)
     assert sorted((r.doc_id, r.size, r.text_crc32) for r in rows if r.doc_id is not None) == expected
     old = {r.virtual_slot: r.shard for r in sharding.load_map(spark, path).collect()}
@@ -155,13 +161,34 @@ def library_ids(text, closing):
 
 
 def test_packed_documents(docs):
-    rows = packing.digest(packing.pack(docs, length=128)).collect()
-    texts = collections.Counter((r.doc_id, len(library_ids(r.text, 0))) for r in docs.collect())
-    assert sum(r.length for r in rows) == sum(n * k for (_, n), k in texts.items())
-    one = sorted((r for r in rows if r.doc_id == 12), key=lambda r: r.start)
-    ids = library_ids(TEXTS[12], 0)
-    assert [r.start for r in one] == list(np.cumsum([0] + [r.length for r in one])[:-1])
-    assert all(zlib.crc32(ids[r.start : r.start + r.length].tobytes()) == r.ids_crc32 for r in one)
+    made = packing.pack(docs, length=128, group_bytes=9000).collect()
+    assert sum(len(r.ids) for r in made) == sum(library_ids(r.text, 0).nbytes for r in docs.collect())
+    filled = collections.defaultdict(int)
+    for r in sorted(made, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == filled[r.sequence_id] and r.length == len(r.ids) // 4
+        filled[r.sequence_id] += r.length
+    assert max(filled.values()) == 128 and 1 < len({s >> 32 for s in filled}) and sum(n < 128 for n in filled.values()) <= len({s >> 32 for s in filled})
+    want = collections.Counter((r.doc_id, library_ids(r.text, 0).tobytes()) for r in docs.collect())
+    have = collections.Counter()
+    for (doc_id, ids), copies in want.items():
+        if ids in [i for (d, i) in want if d != doc_id] or copies > 1:
+            continue
+        of = sorted((r for r in made if r.doc_id == doc_id and r.doc_tokens == len(ids) // 4), key=lambda r: r.start)
+        have[doc_id, b"".join(bytes(r.ids) for r in of)] += 1
+    assert len(have) > 15 and all(have[k] == want[k] for k in have)
+
+
+def test_packed_documents_with_text_ids(spark):
+    frame = spark.createDataFrame([("a", BASE), ("b", None), (None, "one")], "doc_id string, text string")
+    rows = packing.pack(frame).collect()
+    assert {(r.doc_id, bytes(r.ids)) for r in rows} == {(i, library_ids(t, 0).tobytes()) for i, t in [("a", BASE), ("b", None), (None, "one")]}
+    with pytest.raises(TypeError):
+        token_files.write_ids(frame, "unused")
+
+
+def test_packing_shuffles_ids_once(docs):
+    plan = packing.pack(docs, group_bytes=2000)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 == plan.count("Exchange hashpartitioning(g")
 
 
 @given(st.lists(st.text(alphabet="ab \n\t'sdtrevlm1²½éñ日ª_!.,\u0085 \x1c<|>", max_size=16), max_size=12))
@@ -223,8 +250,19 @@ def test_numbers_come_back(numbers):
 
 def test_token_files(docs, spark, tmp_path, monkeypatch):
     monkeypatch.setattr(token_files, "RANGE_BYTES", 4000)
+    monkeypatch.setattr(token_files, "FILE_IDS", 1500)
+    monkeypatch.setattr(token_files, "BLOCK_RANGES", 2)
     path = str(tmp_path / "ids")
+    hot = spark.createDataFrame([(12, BASE, "", "", "", 0, 0)] * 120, SCHEMA)
+    docs = docs.union(hot)
     token_files.write_ids(docs, path)
+    files = spark.read.parquet(f"{path}/files").collect()
+    assert len({f.part for f in files}) > 6 and len(files) > len({f.part for f in files})
+    at = 0
+    begin = {r.name: r.begin for r in token_files.begins(spark.read.parquet(f"{path}/files")).collect()}
+    for f in sorted(files, key=lambda f: (f.part, f.number)):
+        assert begin[f.name] == at
+        at += f.ids
     got = sorted(token_files.read_ids(spark, path).collect(), key=lambda r: r.start)
     names = [-1 if r.doc_id is None else r.doc_id for r in got]
     assert names == sorted(names) and len(got) == docs.count()

@@ -4,6 +4,7 @@ and vectorised hashing of runs inside a batch of texts."""
 from __future__ import annotations
 
 import functools
+import math
 import os
 from collections.abc import Callable, Iterator
 
@@ -44,6 +45,13 @@ def stored(df: DataFrame, name: str, group_bytes: int = 128 * 1024 * 1024) -> Da
     return spark.read.schema(df.schema).parquet(path)
 
 
+def task_count(spark: SparkSession, amount: int, most: int, least: int) -> int:
+    """Tasks for an amount of work: at most ``most`` in each, and where that leaves cores idle, as many
+    tasks as there are cores, of at least ``least``."""
+    cores = spark.sparkContext.defaultParallelism
+    return max(1, math.ceil(amount / most), min(cores, math.ceil(amount / least)))
+
+
 def map_arrow(df: DataFrame, columns: list[str], work: Callable, schema: str) -> DataFrame:
     """``work`` on every Arrow batch of the named columns; it yields record batches."""
     prepare(df.sparkSession)

@@ -7,10 +7,14 @@ the emptiest sequences are cut up to fill the gaps of the others. So a group has
 sequence that is not full.
 
 A group's number is drawn per row from a fixed seed, not from a key, so copies and repeated ids
-spread evenly, and a task that runs again draws the same numbers. Only ids are shuffled, once.
+spread evenly, and a task that runs again draws the same numbers. Only ids are shuffled, once, into
+partitions of a fixed number of groups, so tasks do not grow with the table. A very long text is in one group
+as a whole and makes that group larger; texts are tokenized in passes of bounded length.
 
 Defined results: a null or empty text is just the closing id; repeated rows are packed each on
-their own; a null id is kept; an empty table gives no rows; other columns are ignored.
+their own; a null id is kept, and ids may be numbers or text; of documents of one length the one with
+the least id goes first, and of equal ids that with the least token ids; an empty table gives no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,15 +27,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import tokens
-from tidemark.llm.common import map_arrow
+from tidemark.llm.common import map_arrow, task_count
 
 LENGTH = 1024
 CLOSING = 0
 # Bytes of text that a group is meant to hold.
 GROUP_BYTES = 4_000_000
+# Groups of one task at most, and at least where cores are idle.
+TASK_GROUPS, SMALL_TASK_GROUPS = 8, 2
 SEED = 20
 
-PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+PIECES = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
 def tokenized(docs: DataFrame, closing: int, tokenizer: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -46,8 +52,9 @@ def tokenized(docs: DataFrame, closing: int, tokenizer: str, id_column: str = "d
         rows = [np.append(ids[e - n : e], closing).astype(width).tobytes() for e, n in zip(ends.tolist(), counts.tolist())]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["doc_id", "ids"])
 
-    named = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    return map_arrow(named, ["doc_id", "text"], work, "doc_id long, ids binary").withColumn("width", F.lit(int(width[-1])))
+    named = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
+    kind = named.schema["doc_id"].dataType.simpleString()
+    return map_arrow(named, ["doc_id", "text"], work, f"doc_id {kind}, ids binary").withColumn("width", F.lit(int(width[-1])))
 
 
 def first_fit_decreasing(sizes: list[int], room: int) -> list[list[int]]:
@@ -134,13 +141,15 @@ def pack(
                 piece = ids[item][start : start + n].astype("<u4").tobytes()
                 out.append((names[item], start, n, piece, len(ids[item]), (group << 32) + number, offset))
                 offset += n
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+        kinds = [order.schema.field("doc_id").type, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
         fields = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
         columns = list(zip(*out)) if out else [()] * len(fields)
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], fields)
 
     grouped = coded.withColumn("g", F.floor(F.rand(SEED) * groups).cast("long"))
-    return grouped.groupBy("g").applyInArrow(work, PIECES)
+    tasks = task_count(docs.sparkSession, groups, TASK_GROUPS, SMALL_TASK_GROUPS)
+    kind = coded.schema["doc_id"].dataType.simpleString()
+    return grouped.repartition(tasks, "g").groupBy("g").applyInArrow(work, f"doc_id {kind}, {PIECES}")
 
 
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:

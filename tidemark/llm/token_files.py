@@ -6,16 +6,18 @@ each), and control bytes stand apart from the numbers' bytes. Reading looks the
 in a table of lengths and gathers the numbers with numpy.
 
 Files lie in ascending id order in the shared folder, a bounded number of ids each, and are
-written under another name first, so a task that runs again replaces its file whole. What grows
-with the data and is seen by one task is the list of files alone, a row for each.
+written under another name first, so a task that runs again replaces its file whole. A task sorts one range
+of documents and cuts it into files as it goes. Where a file begins is summed up in three levels (files of a range, ranges of a
+block, blocks), so what one task sees of the whole is a row for each ``BLOCK_RANGES`` ranges.
 
 Defined results: a null or empty text is just the closing id; null ids come first; repeated rows
-are written each; an empty table gives no files and no rows; other columns are ignored.
+are written each, those of one id by the checksum of their token ids and then as they were read, and a range may end
+between them; document ids are integers (others are refused); a very long text makes a longer file; an
+empty table gives no files and no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import math
 import struct
 import uuid
 from collections.abc import Iterator
@@ -26,16 +28,20 @@ from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tidemark.llm import tokens
-from tidemark.llm.common import map_arrow, prepare
+from tidemark.llm.common import map_arrow, prepare, task_count
 from tidemark.llm.packing import tokenized
 from tidemark.session import scratch_dir
 
 CLOSING = 2
-# Ids of one file (a longer document makes a longer file), and stored bytes of one sorted range.
+# Ids of one file (a longer document makes a longer file).
 FILE_IDS = 4_000_000
-RANGE_BYTES = 16_000_000
+# Bytes of the ids in one sorted range at most, and at least where cores are idle; files that one task reads, likewise.
+RANGE_BYTES, SMALL_RANGE_BYTES = 256_000_000, 16_000_000
+READ_FILES, SMALL_READ_FILES = 16, 2
+BLOCK_RANGES = 1024
 MAGIC = b"SVB1"
 
 _LENGTHS = np.array([[(c >> shift & 3) + 1 for shift in (0, 2, 4, 6)] for c in range(256)], np.uint8)
@@ -106,6 +112,9 @@ def write_ids(
     """Writes ``path/ids`` (the files), ``path/files`` (a row per file) and ``path/ranks`` (a row
     per id in use)."""
     spark = docs.sparkSession
+    if not isinstance(docs.schema[id_column].dataType, IntegralType):
+        raise TypeError(f"{id_column} must hold integers")
+    docs = docs.withColumn(id_column, F.col(id_column).cast("long"))
     coded = tokenized(docs, closing, tokenizer or tokens.tokenizer_path(), id_column, text_column)
     plain = scratch_dir(spark, "token-ids")
     coded.write.option("compression", "zstd").parquet(plain)
@@ -157,26 +166,44 @@ def write_ids(
             columns = [pa.array(c) for c in zip(*rows)]
             yield pa.RecordBatch.from_arrays(columns, ["part", "number", "name", "docs", "ids"])
 
-    ranges = max(1, math.ceil((coded.agg(F.sum(F.length("ids"))).first()[0] or 0) / RANGE_BYTES))
+    size = coded.agg(F.sum(F.length("ids"))).first()[0] or 0
     prepare(spark)
+    # The place in the stored table parts rows of one id, copies too, and is the same when a task runs again.
+    order = ["doc_id", "check", "place"]
     files = (
-        coded.repartitionByRange(ranges, "doc_id")
-        .sortWithinPartitions("doc_id", "ids")
+        coded.withColumns({"check": F.crc32("ids"), "place": F.monotonically_increasing_id()})
+        .repartitionByRange(task_count(spark, size, RANGE_BYTES, SMALL_RANGE_BYTES), *order)
+        .sortWithinPartitions(*order)
         .select("doc_id", "ids", "width")
         .mapInArrow(write, "part long, number long, name string, docs long, ids long")
     )
     files.write.parquet(f"{path}/files")
 
 
+def begins(files: DataFrame) -> DataFrame:
+    """``name`` of every file and ``begin``, the ids in all files before it."""
+
+    def before(level: DataFrame, order: str, *within: str) -> DataFrame:
+        window = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return level.withColumn("before", F.coalesce(F.sum("ids").over(window), F.lit(0)))
+
+    listed = files.withColumn("block", F.expr(f"part DIV {BLOCK_RANGES}"))
+    parts = listed.groupBy("block", "part").agg(F.sum("ids").alias("ids"))
+    blocks = parts.groupBy("block").agg(F.sum("ids").alias("ids"))
+    of_block = before(blocks, "block").select("block", F.col("before").alias("b"))
+    of_part = before(parts, "part", "block").select("block", "part", F.col("before").alias("p"))
+    joined = before(listed, "number", "part").join(of_part, ["block", "part"]).join(of_block, "block")
+    return joined.select("name", (F.col("before") + F.col("p") + F.col("b")).alias("begin"))
+
+
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id``, ``start`` (ids of all documents before it) and ``ids`` (little-endian unsigned
     32-bit numbers) of every document in the files."""
     # A row per id of the vocabulary at most.
     order = np.array([r.id for r in spark.read.parquet(f"{path}/ranks").orderBy("rank").collect()], np.uint32)
     table = spark.sparkContext.broadcast(order)
-    before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
     files = spark.read.parquet(f"{path}/files")
-    listed = files.select("name", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("begin"), "ids")
+    listed = begins(files)
     target = f"{path}/ids"
 
     def read(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -197,7 +224,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                     ["doc_id", "start", "ids"],
                 )
 
-    dealt = max(1, math.ceil((files.agg(F.count("*")).first()[0]) / 2))
+    dealt = task_count(spark, files.count(), READ_FILES, SMALL_READ_FILES)
     return map_arrow(listed.repartition(dealt, "name"), ["name", "begin"], read, "doc_id long, start long, ids binary")
 
 
