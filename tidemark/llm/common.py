@@ -7,12 +7,14 @@ import functools
 import math
 import os
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import scratch_dir
+from tidemark.sources.storage import delete
 
 # Most bytes of text that a numpy pass takes at once.
 SLICE_BYTES = 500_000
@@ -21,6 +23,8 @@ BATCH_BYTES = "8m"
 BATCH_ROWS = "2000"
 
 _BASE = 0x9E3779B97F4A7C15 | 1
+# The folders stored inside the innermost call of ``settled``.
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 def prepare(spark: SparkSession) -> None:
@@ -41,10 +45,29 @@ def stored(df: DataFrame, name: str, group_bytes: int = 128 * 1024 * 1024) -> Da
     hold up to a row group's bytes at once; give fewer where rows are large."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
+    made = _MADE.get()
+    if made is not None:
+        made.append(path)
     df.write.option("parquet.block.size", group_bytes).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The rows of the table that ``make`` returns, stored. The tables that it stored on the way are
+    deleted once its rows are written, or when it fails; calls may stand inside each other."""
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        rows = make()
+        _MADE.reset(token)
+        return stored(rows, name)
+    finally:
+        if _MADE.get() is made:
+            _MADE.reset(token)
+        for path in made:
+            delete(spark, path)
+
+
 def task_count(spark: SparkSession, amount: int, most: int, least: int) -> int:
     """Tasks for an amount of work: at most ``most`` in each, and where that leaves cores idle, as many
     tasks as there are cores, of at least ``least``."""

@@ -13,7 +13,8 @@ between them.
 
 Defined results: a null or empty text or item has no words; an item without words matches
 nothing; repeated items with one id count once, a null item id is the empty text; repeated rows
-each get their result; empty tables give no rows or no hits; other columns are kept aside.
+each get their result; several items with one window are all hit by it; a very long text is searched whole, in
+one pass over its words; empty tables give no rows or no hits; other columns are kept aside.
 """
 
 from __future__ import annotations

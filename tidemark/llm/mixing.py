@@ -23,7 +23,7 @@ last. A target stops at twice its source's words; the rest is shared again among
 Defined results: a null text has size 0; documents without words take no words; sources without
 words have target 0, and with no words at all all targets are 0. Rows of equal id, source and size are
 alike: they get equal numbers of copies, but for one more in some of them. Null ids are such an id.
-An empty table gives no rows; other columns are ignored.
+A text is only measured, however long it is. An empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

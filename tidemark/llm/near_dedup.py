@@ -21,8 +21,10 @@ driver but counts.
 
 Defined results: a text of fewer words than a shingle is one shingle of all its words; a null or
 empty text has an empty set and is its own component; rows of one id and text share their result;
-a component's id ignores null ids unless it has no other; an empty table gives no rows; other
-columns are ignored.
+a component's id ignores null ids unless it has no other; of texts with equal sets that with the least
+id stands for the others, and of members with equally many shared buckets the one with the greatest hash is the
+centre, which changes the pairs looked at and no link; a very long text is one set, made in one pass over all of its
+words; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_arrow, mix, prefix_hash, row_slices, run_hash, stored, text_bytes, words_of
+from tidemark.llm.common import map_arrow, mix, prefix_hash, row_slices, run_hash, settled, stored, text_bytes, words_of
 
 SHINGLE = 4
 SIMILAR = 80  # percent
@@ -276,7 +278,7 @@ def near_links(docs: DataFrame, described: DataFrame, size: int, id_column: str,
         return _linked(stored(_agreeing(once.select("a", "b"), sketches), "near-pairs"), sets)
 
     links = stored(linked(members.join(centre, "key").select("node", "centre")), "verified-links")
-    labels = components(links)
+    labels = settled(docs.sparkSession, lambda of=links: components(of), "components")
 
     def open_members(most: int) -> DataFrame:
         """Members, and their components, of the buckets with more members that hold several."""
@@ -293,13 +295,13 @@ def near_links(docs: DataFrame, described: DataFrame, size: int, id_column: str,
     found = stored(linked(placed.join(drawn, "key").filter("c <> centre_c").select("node", "centre")), "verified-links")
     if found.limit(1).count():
         links = stored(links.unionByName(found), "verified-links")
-        labels = components(links)
+        labels = settled(docs.sparkSession, lambda of=links: components(of), "components")
     # Buckets of up to DRAWN members have been searched whole; what others still hold is searched here.
     rest = stored(open_members(DRAWN).groupBy("node").agg(F.min("c").alias("c")), "rest")
     found = stored(linked(_prefix_pairs(rest, sets)), "verified-links")
     if found.limit(1).count():
         links = stored(links.unionByName(found), "verified-links")
-        labels = components(links)
+        labels = settled(docs.sparkSession, lambda of=links: components(of), "components")
     return labels, links
 
 
@@ -340,4 +342,5 @@ def keep_one(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 
 
 def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{folder}/documents.parquet"))
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    return settled(spark, lambda: near_duplicates(docs), "near-duplicates")

@@ -19,7 +19,9 @@ candidates, those with the smallest hash; counts of hashes per halving of their
 may be among them, so what reaches the driver does not grow with the documents.
 
 Defined results: a null or empty text has no spans; without candidates of both kinds nothing is
-added; repeated rows are scanned each; an empty table gives no rows; other columns are ignored. A
+added; repeated rows are scanned each; a candidate whose score equals the threshold is added, and of equally good
+splits the first feature's is taken; a very long text is scanned whole, by expressions that take time in proportion
+to it; an empty table gives no rows; other columns are ignored. A
 control character U+0001 in a text counts as one character of no kind.
 """
 

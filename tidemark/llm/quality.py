@@ -12,7 +12,8 @@ lets a line held by a third of all documents be split.
 Defined results: a null or empty text has no words and fails the base rules; lines without a word
 do not count; a null host is a host of its own; every row is a document, equal or not, so a page with
 more copies on a host than the limit loses its lines there; an empty table gives no rows; other
-columns are ignored; a line that exactly ``LIMIT`` documents hold stays. Hashes have 64 bits.
+columns are ignored; a line that exactly ``LIMIT`` documents hold stays, and so does a document that loses exactly
+``DEPLETED`` of its words. A very long text is one pass over all of its words. Hashes have 64 bits.
 """
 
 from __future__ import annotations

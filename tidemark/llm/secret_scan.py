@@ -19,7 +19,9 @@ Numbers of digits alone cannot be told from other long numbers and are never fou
 Documents are scanned twice and never shuffled.
 
 Defined results: a null or empty text has no spans; repeated rows are scanned each, and count each
-in the procedure; an empty table gives no rows; other columns are kept aside. A control character
+in the procedure; tokens with equal p-values are taken or left together; of spans that begin at one place the
+kinds come as listed; a very long text is scanned whole, by expressions that take time in proportion to it; an
+empty table gives no rows; other columns are kept aside. A control character
 U+0001 in a text counts as one character of no kind.
 """
 
