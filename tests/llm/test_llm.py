@@ -12,6 +12,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import (
-    decontamination, near_dedup, packing, pii, quality, registered, secret_scan, sharding, spans, suffix_dedup, token_files, tokens, toxicity,
+    common, decontamination, near_dedup, packing, pii, quality, registered, secret_scan, sharding, spans, suffix_dedup, token_files, tokens, toxicity,
 )
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -49,6 +50,52 @@ def docs(spark):
     return spark.createDataFrame(rows, SCHEMA).repartition(3)
 
 
+def long_text() -> str:
+    """Three million characters with something to be found at the very end."""
+    body = "\n".join(prose(k, 400) for k in range(1000))
+    return f"{body}\n{prose(1001, 30)} mail a.b@c-d.org password = hunter22x"
+
+
+def test_very_long_texts_are_taken_whole(spark, tmp_path):
+    text = long_text()
+    words = text.split()
+    near = " ".join([*words[:-1], "edited"])
+    short = prose(2000, 80)
+    rows = [(1, text, "h"), (2, near, "h"), (2, near, "h"), (3, short, "h"), (3, short, "h"), (4, None, None), (5, "", None)]
+    kinds = [pa.int64(), pa.string(), pa.string()]
+    columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
+    pq.write_table(pa.table(columns, names=["doc_id", "text", "source"]), str(tmp_path / "long.parquet"))
+    table = spark.read.parquet(str(tmp_path / "long.parquet"))
+    assert len(text) > 3_000_000
+
+    def by_id(df):
+        return {r.doc_id: r for r in df.collect()}
+
+    got = by_id(sharding.shard_rows(table, 2, 16))
+    assert got[1].size == len(text) + 1 and got[1].text_crc32 == zlib.crc32(text.encode())
+    items = spark.createDataFrame([(9, " ".join(words[-15:-5])), (9, "no such words")], "item_id long, text string")
+    got = by_id(decontamination.find_items(table, items))
+    assert got[1]["items"] == ["9"] and got[3].hits == [] and got[4].n_words == got[5].n_words == 0
+    got = by_id(near_dedup.near_duplicates(table))
+    assert [got[k].component_id for k in (1, 2, 3, 4, 5)] == [1, 1, 3, 4, 5]
+    assert got[1].n_shingles == len(set(zip(words, words[1:], words[2:], words[3:])))
+    got = by_id(quality.judge(table))
+    assert got[1].n_words == len(words) and got[1].word_chars == sum(map(len, words)) and got[4].base_failed
+    value = text.index("password")
+    got = by_id(secret_scan.scan(table))
+    assert [(s.start, s.end) for s in got[1].base] == [(value, len(text))] and got[4].found == []
+    mail = text.index("a.b@")
+    got = by_id(pii.find(table))
+    assert [(s.start, s.end) for s in got[1].base] == [(mail, mail + len("a.b@c-d.org"))]
+    got = by_id(suffix_dedup.remove_repeats(table))
+    tail = len(near) - len("edited")
+    shared = len(os.path.commonprefix([text.replace("\n", " "), near]))
+    assert shared == tail and got[1].n_bytes == len(text) and got[2].n_removed == len(near) and got[3].n_removed == len(short)
+    labels = spark.createDataFrame([(k, 0, k % 2) for k in range(1, 4)], "doc_id long, quality int, toxic int")
+    scores = by_id(toxicity.score(table, toxicity.train(table, labels)))
+    assert len(scores) == 5 and all(0 <= r.score <= 1 for r in scores.values())
+
+
 def tuples(df, *columns):
     return [tuple(r) for r in df.select(*columns).collect()]
 
@@ -133,6 +180,53 @@ def test_shards(docs, spark, tmp_path):
     assert set(old) == set(new) == set(range(64)) and 0 < sum(old[s] != new[s] for s in old) < 32
 
 
+def test_slots_in_pieces(spark):
+    """A third of all rows has one id, half of those are alike, and pieces are small."""
+    draw = random.Random(3)
+    rows = [(k, prose(k, draw.randrange(30))) for k in range(400)] + [(7, "alike")] * 100 + [(7, prose(k, 9)) for k in range(90)] + [(None, None)] * 40
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sharding.shard_rows(table, 4, 32, piece_rows=6).collect()
+    want = collections.Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows)
+    assert collections.Counter((r.doc_id, r.size, r.text_crc32) for r in got) == want
+    for shard in range(4):
+        assert sorted(r.slot for r in got if r.shard == shard) == list(range(sum(r.shard == shard for r in got)))
+    of_slot = {}
+    for r in sorted(got, key=lambda r: (r.shard, r.slot)):
+        of_slot.setdefault((r.shard, r.virtual_slot), []).append(r.slot)
+    assert all(places == list(range(places[0], places[0] + len(places))) for places in of_slot.values())
+    assert len({r.shard for r in got if r.doc_id == 7}) == 1
+    again = sharding.shard_rows(table.repartition(2), 4, 32, piece_rows=6).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
+def test_shards_of_a_table_are_near_equal(spark):
+    got = sharding.op2_sharding(spark, FOLDER).groupBy("shard").agg(F.sum("size").alias("b"), F.count("*").alias("n"), F.max("slot").alias("last")).collect()
+    held, most = [r.b for r in got], spark.read.parquet(f"{FOLDER}/documents.parquet").agg(F.max(F.octet_length("text"))).first()[0]
+    assert len(got) == 8 and all(r.last == r.n - 1 for r in got) and max(held) - min(held) <= most + 1
+
+
+def test_settled_leaves_one_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "scratch_dir", lambda _, name: str(tmp_path / f"{name}-{len(list(tmp_path.iterdir()))}"))
+
+    def inner():
+        one = common.stored(spark.range(10), "one")
+        two = common.settled(spark, lambda: common.stored(one.filter("id > 3"), "deep"), "two")
+        return one.join(two, "id")
+
+    rows = common.settled(spark, inner, "rows")
+    assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["rows"] and rows.count() == 6
+    outside = common.stored(spark.range(3), "outside")
+
+    def fails():
+        common.stored(spark.range(5), "lost")
+        raise KeyError("x")
+
+    with pytest.raises(KeyError):
+        common.settled(spark, fails, "never")
+    assert sorted(p.name.split("-")[0] for p in tmp_path.iterdir()) == ["outside", "rows"] and outside.count() == 3
+
+
 @given(st.lists(st.integers(1, 5000), max_size=80), st.integers(8, 1024))
 @settings(max_examples=60, deadline=None)
 def test_packed_sizes_hold_every_position_once(sizes, room):
