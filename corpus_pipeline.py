@@ -3,9 +3,12 @@
 Toxic documents go; one document of each group of near duplicates stays (that with the least id,
 and one row of it); documents with a benchmark passage go; secrets in the rest are replaced by a
 sign; what is left is packed into sequences. Every stage's rows are written as a table and read
-back before the next one, so a lost executor costs at most a stage. All stages but the last keep
-the columns of their input. Empty tables give empty results; null texts pass the filters and are
-packed as empty ones.
+back before the next one, so a lost executor costs at most a stage; the tables that a stage makes
+for itself are deleted then. All stages but the last keep the columns of their input.
+
+Defined results: empty tables give empty results; null texts pass the filters and are
+packed as empty ones; of rows with equal id and text one stays; of ties the stages' operators
+tell (a document at exactly the toxicity threshold goes); very long texts are taken whole by all stages.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontamination, near_dedup, packing, secret_scan, toxicity
-from tidemark.llm.common import stored
+from tidemark.llm.common import settled
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,5 +69,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = settled(spark, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), f"stage-{name}")
     return docs
