@@ -109,6 +109,12 @@ def test_export_replaces_an_older_one(spark, tmp_path):
     assert set(_accounts(out)) == {"y"}
 
 
+def test_an_export_makes_no_checksum_files(spark, tmp_path):
+    out = str(tmp_path / "out")
+    export_by_key(spark.range(40).select("id", (F.col("id") % 20).alias("account")), "account", out, 1)
+    assert len(glob.glob(f"{out}/key=*/*.csv")) == 20 and not glob.glob(f"{out}/key=*/.*.crc")
+
+
 def test_the_folder_column_must_be_new(spark, tmp_path):
     with pytest.raises(ValueError, match="folder column"):
         export_by_key(spark.createDataFrame([("a",)], "key string"), "key", str(tmp_path / "out"), 1)
