@@ -315,6 +315,21 @@ def test_report_names_with_line_breaks(spark, tmp_path):
     assert (got["account_id"], got["report_name"]) == ("7", "Linebreak")
 
 
+def test_reports_with_known_columns_open_no_file_for_their_header(spark, tmp_path):
+    from tidemark.plans.reports import read_report_files, report_payloads
+    from tidemark.sources.export import export_by_key
+
+    rows = spark.createDataFrame([(1, "One", 7), (2, None, 8)], "id int, report_name string, account_id int")
+    export_by_key(rows, "account_id", str(tmp_path / "r"), 512)
+    args = (spark, str(tmp_path / "r"), "Sales_Report_02_2024", date(2024, 3, 31))
+    known = report_payloads(*args, rows.columns).collect()
+    assert len(known) == 2 and sorted(known) == sorted(report_payloads(*args).collect())
+    # There is no file whose header could tell the columns.
+    export_by_key(rows.filter("id > 2"), "account_id", str(tmp_path / "none"), 512)
+    none = read_report_files(spark, str(tmp_path / "none"), rows.columns)
+    assert none.columns == ["file", "line", *rows.columns] and none.isEmpty()
+
+
 def test_scratch_without_a_checkpoint_folder_is_in_the_warehouse(spark, monkeypatch):
     from tidemark import session
 

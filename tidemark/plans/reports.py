@@ -8,6 +8,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.reports import report_metadata, report_path, report_payload
 from tidemark.sources.export import export_by_key
@@ -47,15 +48,18 @@ def export_reports(
     return written
 
 
-def read_report_files(spark: SparkSession, folder: str) -> DataFrame:
+def read_report_files(spark: SparkSession, folder: str, columns: Sequence[str] | None = None) -> DataFrame:
     """The rows of exported files as text, with ``file`` (path) and ``line`` (a rank in it).
 
     Fields may hold line breaks, so a file is read whole by one task; the export's cap on a
-    file's size bounds that.
+    file's size bounds that. Without ``columns``, the ones that were exported, Spark takes them from a file,
+    for which the driver looks at all files one by one.
     """
+    reader = spark.read.options(header=True, escape='"', recursiveFileLookup=True, multiLine=True)
+    if columns is not None:
+        reader = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in columns]))
     rows = (
-        spark.read.options(header=True, escape='"', recursiveFileLookup=True, multiLine=True)
-        .csv(folder)
+        reader.csv(folder)
         .select("*", "_metadata.file_path", "_metadata.file_block_start")
     )
     data = [n for n in rows.columns if n not in ("file_path", "file_block_start")]
@@ -63,8 +67,10 @@ def read_report_files(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(F.col("file_path").alias("file"), line.alias("line"), *data)
 
 
-def report_payloads(spark: SparkSession, folder: str, name: str, as_of: date) -> DataFrame:
+def report_payloads(
+    spark: SparkSession, folder: str, name: str, as_of: date, columns: Sequence[str] | None = None
+) -> DataFrame:
     """The payload of every exported file of a report. The report's name stands in the files'
     name, so the type comes from it."""
-    meta = report_metadata(read_report_files(spark, folder), "file", "line")
+    meta = report_metadata(read_report_files(spark, folder, columns), "file", "line")
     return report_payload(meta, as_of, "file", F.lit(name))

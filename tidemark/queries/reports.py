@@ -83,7 +83,7 @@ def _export(t: Tables) -> DataFrame:
     shown = F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_name")).alias("shown")
     rows = t.customer.select("c_custkey", shown, "c_acctbal", "c_nationkey")
     export_by_key(rows, "c_nationkey", out, 512, order_by=["c_custkey"])
-    return report_payloads(t.spark, out, "Nation_Customer_Report", date(2024, 6, 15)).select("payload")
+    return report_payloads(t.spark, out, "Nation_Customer_Report", date(2024, 6, 15), rows.columns).select("payload")
 
 
 @query(
@@ -97,4 +97,4 @@ def _export_text(t: Tables) -> DataFrame:
     out = f"{scratch_dir(t.spark, 'report')}/text"
     rows = t.documents.select("lang", "text", "source", "doc_id")
     export_by_key(rows, "doc_id", out, 512)
-    return report_payloads(t.spark, out, "Document_Text_Report", date(2024, 6, 15)).select("payload")
+    return report_payloads(t.spark, out, "Document_Text_Report", date(2024, 6, 15), rows.columns).select("payload")
