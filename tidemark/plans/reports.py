@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.reports import report_metadata, report_path, report_payload
+from tidemark.sources import mounted
 from tidemark.sources.export import export_by_key
 
 log = logging.getLogger(__name__)
@@ -53,11 +54,20 @@ def read_report_files(spark: SparkSession, folder: str, columns: Sequence[str] |
 
     Fields may hold line breaks, so a file is read whole by one task; the export's cap on a
     file's size bounds that. Without ``columns``, the ones that were exported, Spark takes them from a file,
-    for which the driver looks at all files one by one.
+    for which the driver looks at all files one by one. With them, tasks list and read a mounted folder; it holds
+    no file then in the driver.
     """
-    reader = spark.read.options(header=True, escape='"', recursiveFileLookup=True, multiLine=True)
+    options = {"escape": '"'}
+    reader = spark.read.options(header=True, recursiveFileLookup=True, multiLine=True, **options)
     if columns is not None:
-        reader = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in columns]))
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in columns])
+        if path := mounted.readable(spark, folder):
+            # Parsed as Spark's reader does it, but for the header and the ends of records.
+            record = F.from_csv(F.col("record").cast("string"), ", ".join("`" + n.replace("`", "``") + "` string" for n in columns), options)
+            line = F.struct(F.lit(0).cast("long").alias("file_block_start"), F.col("row").alias("col2"))
+            rows = mounted.read_records(spark, path)
+            return rows.select("file", line.alias("line"), record.alias("_record")).select("file", "line", "_record.*")
+        reader = reader.schema(schema)
     rows = (
         reader.csv(folder)
         .select("*", "_metadata.file_path", "_metadata.file_block_start")

@@ -12,12 +12,13 @@ from pyspark.sql import types as T
 
 from tidemark.functions.spread import spread
 from tidemark.session import scratch_dir
-from tidemark.sources import storage
+from tidemark.sources import mounted, storage
 from tidemark.sources.files import list_files, write_manifest
 
 log = logging.getLogger(__name__)
 
-# Files and bytes of text per task of an export.
+# Files per task of an export, in a mounted folder and elsewhere, and bytes of text.
+MOUNTED_FILES_PER_TASK = 2048
 FILES_PER_TASK = 64
 BYTES_PER_TASK = 512 * 1024 * 1024
 # Fixed value: timestamps as text, with their microseconds.
@@ -27,7 +28,7 @@ _TEXT = {
     "escape": '"', "timestampFormat": TIMESTAMP_TEXT, "timestampNTZFormat": TIMESTAMP_TEXT,
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
 }
-# For exports of very many files: in a mounted folder a file is made without a checksum file beside it.
+# Where Spark's writer exports to a mounted folder, a file is made without a checksum file beside it.
 # Hadoop starts a process for the permissions of each, which takes longer than filling it.
 _MANY_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
 # The folder of an empty key.
@@ -104,6 +105,19 @@ def _filed(rows: DataFrame, key: str, large: DataFrame, room: int, order_by: Seq
     return joined.select(*rows.columns, number.cast("long").alias("_file")), path
 
 
+def _fits_mounted(df: DataFrame, out: str, folder: str) -> bool:
+    """Whether an export goes to a mounted folder, with what ``mounted`` writes just as Spark's writer would. Types that
+    Spark's writer may refuse, and names that it refuses, are left to it."""
+    conf = df.sparkSession.conf
+    return (
+        mounted.local_path(df.sparkSession, out) is not None
+        and all(type(f.dataType) in _WIDTHS or f.dataType == T.StringType() for f in df.schema.fields)
+        and len({n.lower() for n in (*df.columns, folder)}) == len(df.columns) + 1
+        and int(conf.get("spark.sql.files.maxRecordsPerFile")) <= 0
+        and conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+    )
+
+
 def export_by_key(
     df: DataFrame,
     key: str,
@@ -152,18 +166,22 @@ def export_by_key(
     name = F.when(F.col(key).cast("string") == "", EMPTY_KEY).otherwise(F.col(key).cast("string"))
     # Creating files takes longer than filling small ones, so tasks are sized by both. There are at least as
     # many as any key has files, so that these go to tasks of their own.
-    tasks = math.ceil(max(files / FILES_PER_TASK, (total.get("bytes") or 0) / BYTES_PER_TASK, most))
+    in_mount = _fits_mounted(df, out, folder)
+    per_task = MOUNTED_FILES_PER_TASK if in_mount else FILES_PER_TASK
+    tasks = math.ceil(max(files / per_task, (total.get("bytes") or 0) / BYTES_PER_TASK, most))
     place = F.pmod(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 30)) + F.col("_file"), F.lit(tasks))
-    (
+    placed = (
         exported.withColumn(folder, name)
         .repartitionById(tasks, place.cast("int"))
         .select(*df.columns, folder)
         .sortWithinPartitions(folder, *order_by)
-        .write.partitionBy(folder)
-        .mode("overwrite")
-        .options(header=True, **_TEXT, **_MANY_FILES)
-        .csv(out)
     )
+    if in_mount:
+        names = F.struct(*(F.lit(n).alias(f"_{i}") for i, n in enumerate(df.columns)))
+        header = spark.range(1).select(F.to_csv(names, dict(_TEXT))).first()[0] + "\n"
+        mounted.write_by_key(placed.select(folder, mounted.as_lines(df.columns, dict(_TEXT))), out, folder, header)
+    else:
+        placed.write.partitionBy(folder).mode("overwrite").options(header=True, **_TEXT, **_MANY_FILES).csv(out)
     for one in scratch:
         storage.delete(spark, one)
 
