@@ -20,6 +20,8 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            # The plans of writes are looked up among all executions of the session, of which Spark keeps 1000.
+            "spark.sql.ui.retainedExecutions": "10000",
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(home / "shared"),
             "spark.sql.warehouse.dir": str(home / "warehouse"),
